@@ -281,3 +281,114 @@ for _qname, (_lo, _hi) in VTS_CASES.items():
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page views and visitors per hour over ten days (G2 on the E1 fact)."""
     return SPARK["report_timeseries_hour"](spark, sf_dir)
+
+
+# ----------------------------------------------------------------- ingest A1, B1-B15
+
+def _ingest(spark, sf_dir):
+    from webmetrics.operators import ingest
+    from webmetrics.sources import adapter, dims
+    src = dims.sources(dims.api_key_latest(adapter.api_keys(spark, sf_dir)))
+    return ingest.validate(adapter.requests(spark, sf_dir), src)
+
+
+def _bodies(spark, sf_dir):
+    from webmetrics.sources import adapter
+    r = adapter.requests(spark, sf_dir)
+    return r.select("request_id", "received_at", F.posexplode("events").alias("pos", "e"))
+
+
+@register("uuid7_time", O.with_ingest(
+    "SELECT request_id, pos, lower(bid) AS id, version, CASE WHEN version = 7 THEN ts END AS ts "
+    "FROM rq_body WHERE version IS NOT NULL"))
+def uuid7_time(spark, sf_dir):
+    """Version and second-truncated time of every parsable body id."""
+    from webmetrics.functions.ids import is_uuid, uuid7_ts, uuid_norm, uuid_version
+    b = _bodies(spark, sf_dir)
+    i = F.coalesce(F.col("e.i"), F.col("e.id"))
+    return b.where(is_uuid(i)).select(
+        "request_id", "pos", uuid_norm(i).alias("id"), uuid_version(i).alias("version"),
+        F.when(uuid_version(i) == 7, uuid7_ts(i)).alias("ts"))
+
+
+@register("time_window_accept", O.with_ingest(
+    "SELECT request_id, pos, ts, received_at, "
+    "(ts > received_at - INTERVAL 1 HOUR AND ts < received_at + INTERVAL 5 MINUTE) AS accepted "
+    "FROM rq_body WHERE version = 7"))
+def time_window_accept(spark, sf_dir):
+    """The exclusive (-1 h, +5 min) acceptance window around receive time."""
+    from webmetrics import schema as S
+    from webmetrics.functions.ids import uuid7_ts, uuid_version
+    b = _bodies(spark, sf_dir)
+    i = F.coalesce(F.col("e.i"), F.col("e.id"))
+    ts = uuid7_ts(i)
+    r = F.col("received_at")
+    acc = ((ts > r - F.expr(f"INTERVAL {S.MAX_BEFORE_SECONDS} SECONDS"))
+           & (ts < r + F.expr(f"INTERVAL {S.MAX_AFTER_SECONDS} SECONDS")))
+    return b.where(uuid_version(i) == 7).select("request_id", "pos", ts.alias("ts"), "received_at",
+                                                acc.alias("accepted"))
+
+
+@register("request_summary", O.with_ingest(
+    f"SELECT request_id, {O.STATUS_SQL} AS status, reason, "
+    "CASE WHEN reason IS NULL THEN n ELSE 0 END AS event_count FROM chk"))
+def request_summary(spark, sf_dir):
+    """Per request the status class, the first failing reason, events saved."""
+    return _ingest(spark, sf_dir).summary
+
+
+@register("request_atomic", O.with_ingest(
+    "SELECT request_id, pos, api_key, site, event_type, id, ts, parent FROM accepted"))
+def request_atomic(spark, sf_dir):
+    """Events of accepted requests only (all-or-nothing per request)."""
+    e = _ingest(spark, sf_dir).events
+    return e.select("request_id", "pos", "api_key", "site", "event_type", "id", "ts",
+                    F.col("attrs")["parent"].alias("parent"))
+
+
+@register("request_quarantine", O.with_ingest(
+    f"SELECT c.request_id, b.pos, c.reason, {O.STATUS_SQL} AS status FROM chk c "
+    "LEFT JOIN rq_body b ON b.request_id = c.request_id WHERE c.reason IS NOT NULL"))
+def request_quarantine(spark, sf_dir):
+    """Every event of a refused request (empty requests give one row, pos NULL)."""
+    q = _ingest(spark, sf_dir).quarantine
+    return q.select("request_id", "pos", "reason", "status")
+
+
+@register("attrs_normalise", O.with_ingest(
+    "SELECT id, event_type, parent, user_agent, ipv4, ipv6, location, title, "
+    "concat_ws(',', CASE WHEN ipv4 IS NOT NULL THEN 'ipv4' END, CASE WHEN ipv6 IS NOT NULL THEN 'ipv6' END, "
+    "CASE WHEN location IS NOT NULL THEN 'location' END, CASE WHEN parent IS NOT NULL THEN 'parent' END, "
+    "CASE WHEN title IS NOT NULL THEN 'title' END, CASE WHEN user_agent IS NOT NULL THEN 'user_agent' END) AS attr_keys "
+    "FROM accepted"))
+def attrs_normalise(spark, sf_dir):
+    """Renamed, filtered attribute maps (ip under ipv4 / ipv6)."""
+    e = _ingest(spark, sf_dir).events
+    a = F.col("attrs")
+    return e.select("id", "event_type", a["parent"].alias("parent"), a["user_agent"].alias("user_agent"),
+                    a["ipv4"].alias("ipv4"), a["ipv6"].alias("ipv6"), a["location"].alias("location"),
+                    a["title"].alias("title"),
+                    F.array_join(F.array_sort(F.map_keys(a)), ",").alias("attr_keys"))
+
+
+@register("known_source_semi", O.with_model(
+    "SELECT api_key, site, event_type, count(*) AS events FROM ("
+    " SELECT api_key, site, 'Visitor' AS event_type FROM visitor"
+    " UNION ALL SELECT api_key, site, 'Session' FROM session_raw"
+    " UNION ALL SELECT 'key-' || t, 'site' || t || '.example.com',"
+    "   CASE WHEN event_type = 'click' THEN 'Click' ELSE 'Section' END FROM ev"
+    "   WHERE t < 3 AND event_type IN ('view', 'purchase', 'click')) GROUP BY 1, 2, 3"))
+def known_source_semi(spark, sf_dir):
+    """Hub events of allowed sources (broadcast left semi join)."""
+    from webmetrics.operators import route
+    m = _m(spark, sf_dir)
+    return (route.known(m.event, m.sources).groupBy("api_key", "site", "event_type")
+            .agg(F.count(F.lit(1)).alias("events")))
+
+
+@register("api_key_latest", O.with_model(
+    "SELECT api_key, site, 'customer-' || substr(api_key, 5) || '-v2' AS customer, 2::BIGINT AS seq FROM keys"))
+def api_key_latest(spark, sf_dir):
+    """Last version per (api_key, site) wins."""
+    from webmetrics.sources import adapter, dims
+    return dims.api_key_latest(adapter.api_keys(spark, sf_dir))

@@ -196,3 +196,105 @@ def grain_expr(start, end, day_over: float, col: str = "ts") -> str:
     if g == "hour":
         return f"date_trunc('hour', {col})"
     return f"epoch_ms(epoch_ms({col}) // 300000 * 300000)"
+
+
+UUID_RE_SQL = ("^([0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
+               "|[0-9a-fA-F]{32})$")
+
+
+def _uuid_ok(x: str) -> str:
+    return f"coalesce(regexp_matches({x}, '{UUID_RE_SQL}'), false)"
+
+
+def _uuid_ms(x: str) -> str:
+    return f"CAST('0x' || substr(replace({x}, '-', ''), 1, 12) AS BIGINT)"
+
+
+# Request envelopes and their validation, relationally (no arrays).
+INGEST_CTES = f"""
+rq_ev AS (
+  SELECT ev.event_id // 5 AS request_id, ev.event_id, ev.user_id, ev.day, ev.k, ev.ms, ev.event_type,
+         ev.t,
+         row_number() OVER (PARTITION BY ev.event_id // 5 ORDER BY ev.event_id) - 1 AS pos,
+         CASE WHEN ev.event_type IN ('view', 'purchase') THEN 3 WHEN ev.event_type = 'click' THEN 4
+              WHEN ev.event_type = 'signup' THEN 2 WHEN ev.k % 50 = 49 THEN 5 ELSE 1 END AS typ,
+         CASE WHEN ev.event_type IN ('view', 'purchase') THEN {uuid7('ev.ms', '3', 'ev.event_id')}
+              WHEN ev.event_type = 'click' THEN {uuid7('ev.ms', '4', 'ev.event_id')}
+              WHEN ev.event_type = 'signup' THEN {uuid7('ev.ms', '2', 'ev.event_id')}
+              WHEN ev.k % 50 = 48 THEN 'not-a-uuid'
+              WHEN ev.k % 2 = 0 THEN substr({uuid7('ev.ms', '1', 'ev.event_id')}, 1, 14) || '4' ||
+                                     substr({uuid7('ev.ms', '1', 'ev.event_id')}, 16)
+              ELSE {uuid7('ev.ms', '1', 'ev.event_id')} END AS bid,
+         CASE WHEN ev.event_type IN ('view', 'purchase') AND ev.k = 1 THEN NULL
+              WHEN ev.event_type IN ('view', 'purchase') AND ev.k = 2 THEN 'x'
+              WHEN ev.event_type IN ('view', 'purchase') AND ev.k = 0 THEN {uuid7('ev.ms', '5', 'ev.event_id')}
+              WHEN ev.event_type IN ('view', 'purchase', 'click') THEN {uuid7('sd.sms', '2', 'ev.user_id')}
+              WHEN ev.event_type = 'signup' THEN {uuid7('vd.vms', '1', 'ev.user_id')} END AS p,
+         (ev.event_type IN ('view', 'purchase') AND ev.k % 10 <> 3) AS has_lt,
+         'https://site' || ev.t || '.example.com/dir' || (ev.k % 6) || '/type' || (ev.k % 5) || '?k=' || ev.k
+           || '#s' || (ev.k % 3) AS location,
+         '/dir' || (ev.k % 6) || '/type' || (ev.k % 5) || ' - Title' AS title
+  FROM ev JOIN sd ON ev.user_id = sd.user_id AND ev.day = sd.day JOIN vd ON ev.user_id = vd.user_id),
+rq AS (
+  SELECT request_id, arg_min(user_id, event_id) AS u0, arg_min(k, event_id) AS k0,
+         arg_min(day, event_id) AS d0, min(ms) AS lo, max(ms) AS hi, count(*) AS n
+  FROM rq_ev GROUP BY request_id),
+hdr AS (
+  SELECT request_id, n, k0 % 20 = 13 AS empty,
+         CASE WHEN k0 % 20 IN (14, 17) THEN NULL ELSE 'site' || (u0 % 4) || '.example.com' END AS site,
+         CASE WHEN k0 % 20 = 18 THEN NULL WHEN k0 % 20 = 16 THEN '  '
+              WHEN k0 % 20 = 15 THEN ' key-' || (u0 % 4) || ' ' ELSE 'key-' || (u0 % 4) END AS api_key,
+         CASE WHEN k0 % 20 = 19 THEN NULL ELSE {_UA_LIST}[((u0 + d0) % 10) + 1] END AS user_agent,
+         CASE WHEN k0 % 7 = 0 THEN '2001:db8::' || (u0 % 10000)
+              ELSE '10.' || ((u0 // 4) % 8) || '.' || (d0 % 4) || '.' || (u0 % 250) END AS ip,
+         epoch_ms(CASE WHEN k0 % 10 = 0 THEN hi - 600000 WHEN k0 % 10 = 9 THEN lo + 3660000
+                       ELSE hi + (k0 % 10) * 60000 END) AS received_at
+  FROM rq),
+rq_body AS (
+  SELECT r.*, h.received_at,
+         CASE WHEN {_uuid_ok('r.bid')} THEN CAST('0x' || substr(replace(r.bid, '-', ''), 13, 1) AS INTEGER) END AS version,
+         CASE WHEN {_uuid_ok('r.bid')} THEN epoch_ms({_uuid_ms('r.bid')} // 1000 * 1000) END AS ts
+  FROM rq_ev r JOIN hdr h ON r.request_id = h.request_id WHERE NOT h.empty),
+eerr AS (
+  SELECT b.request_id, b.event_id,
+         (b.typ BETWEEN 1 AND 4 AND {_uuid_ok('b.bid')}) AS body_ok,
+         CASE WHEN b.typ IN (2, 3, 4) AND NOT {_uuid_ok('b.p')} THEN 'InvalidRequestBody'
+              WHEN length(trim(h.api_key)) = 0 THEN 'ApiKey'
+              WHEN length(trim(h.site)) = 0 THEN 'Site'
+              WHEN b.version <> 7 THEN 'UuidVersion'
+              WHEN NOT (b.ts > h.received_at - INTERVAL 1 HOUR AND b.ts < h.received_at + INTERVAL 5 MINUTE)
+                THEN 'TimestampOutOfRange' END AS err
+  FROM rq_body b JOIN hdr h ON b.request_id = h.request_id),
+eagg AS (
+  SELECT request_id, bool_and(body_ok) AS body_ok,
+         arg_min(err, event_id) FILTER (WHERE err IS NOT NULL) AS first_err
+  FROM eerr GROUP BY request_id),
+chk AS (
+  SELECT h.*, coalesce(
+           CASE WHEN h.site IS NULL THEN 'InvalidRequestHeaders' WHEN h.api_key IS NULL THEN 'ApiKey'
+                WHEN h.user_agent IS NULL THEN 'InvalidRequestHeaders' END,
+           CASE WHEN NOT coalesce(a.body_ok, true) THEN 'InvalidRequestBody' END,
+           a.first_err,
+           CASE WHEN h.empty THEN 'InvalidRequest' END,
+           CASE WHEN NOT EXISTS (SELECT 1 FROM keys WHERE keys.api_key = trim(h.api_key)
+                                 AND keys.site = trim(h.site)) THEN 'UnknownSource' END) AS reason
+  FROM hdr h LEFT JOIN eagg a ON h.request_id = a.request_id),
+accepted AS (
+  SELECT b.request_id, b.pos, trim(c.api_key) AS api_key, trim(c.site) AS site,
+         CASE b.typ WHEN 1 THEN 'Visitor' WHEN 2 THEN 'Session' WHEN 3 THEN 'Section' ELSE 'Click' END AS event_type,
+         lower(b.bid) AS id, b.ts, CASE WHEN b.typ IN (2, 3, 4) THEN lower(b.p) END AS parent,
+         CASE WHEN b.typ = 2 THEN c.user_agent END AS user_agent,
+         CASE WHEN b.typ = 2 AND NOT contains(c.ip, ':') THEN c.ip END AS ipv4,
+         CASE WHEN b.typ = 2 AND contains(c.ip, ':') THEN c.ip END AS ipv6,
+         CASE WHEN b.typ = 3 AND b.has_lt THEN b.location END AS location,
+         CASE WHEN b.typ = 3 AND b.has_lt THEN b.title END AS title
+  FROM rq_body b JOIN chk c ON b.request_id = c.request_id WHERE c.reason IS NULL)
+"""
+
+
+def with_ingest(select: str) -> str:
+    return "WITH " + MODEL_CTES.strip() + ",\n" + INGEST_CTES.strip() + "\n" + select
+
+
+STATUS_SQL = ("CASE WHEN reason IS NULL THEN 201 WHEN reason IN ('InvalidRequest', 'UnknownSource') "
+              "THEN 500 ELSE 400 END")

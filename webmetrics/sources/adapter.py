@@ -46,12 +46,10 @@ def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events")
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     return e.select(
-        "event_id", "user_id", "event_type",
-        ms.alias("ms"),
+        "event_id", "user_id", "event_type", ms.alias("ms"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.floor(ms / F.lit(DAY_MS)).alias("day"),
         F.pmod("user_id", F.lit(4)).alias("t"),
-    )
+    ).withColumn("day", F.expr(f"ms div {DAY_MS}"))
 
 
 def user_agent_of(user_id, day) -> Column:
@@ -203,3 +201,100 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = slash24.unionByName(slash16).unionByName(extra)
     return out.select("*", nul.alias("postcode"), F.lit(0.0).alias("latitude"),
                       F.lit(0.0).alias("longitude"), nul.alias("timezone"))
+
+
+# --------------------------------------------------------------------------- requests
+#
+# Ingest-path adapter: driver events grouped into request envelopes of five
+# (request_id = event_id div 5). Headers come from the request's first event
+# (user u0, k0, day0, tenant t0); bodies come from every event by type:
+#   view/purchase -> Section (3), p = user-day session (k=1: no p, k=2: 'x',
+#                    k=0: a session that does not exist); l/t unless k%10 = 3
+#   click         -> Click (4),   p = user-day session
+#   signup        -> Session (2), p = the user's visitor
+#   error         -> Visitor (1), id version 4 when k even; k%50 = 49 -> type 5,
+#                    k%50 = 48 -> id 'not-a-uuid'
+#   k%10 = 4 adds an unknown attribute 'zz'; k%10 = 5 uses the long key names.
+# Header faults by k0 % 20: 17 no origin, 14 host-less origin, 18 no api key,
+# 16 blank api key, 15 padded api key, 19 no user agent, 13 empty event array.
+# ip: IPv6 when k0 % 7 = 0. received_at by k0 % 10: 0 -> last event - 10 min,
+# 9 -> first event + 61 min, else last event + k0%10 min.
+
+
+def _body(struct_fields: dict) -> Column:
+    return F.struct(*[v.alias(k) for k, v in struct_fields.items()])
+
+
+def request_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per driver event with its request id and wire body fields."""
+    from webmetrics.functions.ids import with_version
+    ev = base_events(spark, sf_dir)
+    sd, vd = user_days(ev)
+    j = ev.join(sd, ["user_id", "day"]).join(vd, "user_id")
+    k, et = F.col("k"), F.col("event_type")
+    ms, eid, uid = F.col("ms"), F.col("event_id"), F.col("user_id")
+    is_sec = et.isin(*SECTION_TYPES)
+    typ = (F.when(is_sec, 3).when(et == "click", 4).when(et == "signup", 2)
+            .when(F.pmod(k, F.lit(50)) == 49, 5).otherwise(1))
+    v1 = uuid7(ms, F.lit(1), eid)
+    bid = (F.when(is_sec, uuid7(ms, F.lit(3), eid)).when(et == "click", uuid7(ms, F.lit(4), eid))
+            .when(et == "signup", uuid7(ms, F.lit(2), eid))
+            .when(F.pmod(k, F.lit(50)) == 48, F.lit("not-a-uuid"))
+            .when(F.pmod(k, F.lit(2)) == 0, with_version(v1, "4")).otherwise(v1))
+    sess = uuid7(F.col("sms"), F.lit(2), uid)
+    vis = uuid7(F.col("vms"), F.lit(1), uid)
+    p = (F.when(is_sec & (k == 1), F.lit(None).cast("string"))
+          .when(is_sec & (k == 2), F.lit("x"))
+          .when(is_sec & (k == 0), uuid7(ms, F.lit(5), eid))
+          .when(is_sec | (et == "click"), sess)
+          .when(et == "signup", vis))
+    t = F.pmod(uid, F.lit(4))
+    has_lt = is_sec & (F.pmod(k, F.lit(10)) != 3)
+    loc = F.when(has_lt, location_of(site_of(t), k))
+    title = F.when(has_lt, F.concat(path_of(k), F.lit(" - Title")))
+    zz = F.when(F.pmod(k, F.lit(10)) == 4, F.lit("junk"))
+    attrs = F.map_filter(F.create_map(F.lit("p"), p, F.lit("l"), loc, F.lit("t"), title,
+                                      F.lit("zz"), zz), lambda _k, v: v.isNotNull())
+    long_names = F.pmod(k, F.lit(10)) == 5
+    nul_i, nul_s = F.lit(None).cast("int"), F.lit(None).cast("string")
+    nul_m = F.lit(None).cast("map<string,string>")
+    body = _body({
+        "t": F.when(~long_names, typ).otherwise(nul_i), "i": F.when(~long_names, bid).otherwise(nul_s),
+        "a": F.when(~long_names, attrs).otherwise(nul_m),
+        "event_type": F.when(long_names, typ).otherwise(nul_i),
+        "id": F.when(long_names, bid).otherwise(nul_s), "attrs": F.when(long_names, attrs).otherwise(nul_m)})
+    return j.select(F.expr("event_id div 5").alias("request_id"), eid.alias("event_id"), uid.alias("user_id"),
+                    "day", "k", "ms", body.alias("body"))
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request envelopes (REQUEST schema) built from the driver events.
+
+    The grouping is by request id, five events per group by construction.
+    """
+    from webmetrics import schema as S
+    re_ = request_events(spark, sf_dir)
+    g = re_.groupBy("request_id").agg(
+        F.min_by(F.struct("user_id", "k", "day"), F.col("event_id")).alias("h"),
+        F.min("ms").alias("lo"), F.max("ms").alias("hi"),
+        F.array_sort(F.collect_list(F.struct("event_id", "body")),
+                     lambda x, y: F.signum(x["event_id"] - y["event_id"]).cast("int")).alias("evs"))
+    u, k0, d0 = F.col("h.user_id"), F.col("h.k"), F.col("h.day")
+    t0 = F.pmod(u, F.lit(4))
+    f20, f10 = F.pmod(k0, F.lit(20)), F.pmod(k0, F.lit(10))
+    origin = (F.when(f20 == 17, F.lit(None).cast("string")).when(f20 == 14, F.lit("https://"))
+               .otherwise(F.concat(F.lit("https://"), site_of(t0), F.lit("/app"))))
+    api_key = (F.when(f20 == 18, F.lit(None).cast("string")).when(f20 == 16, F.lit("  "))
+                .when(f20 == 15, F.concat(F.lit(" "), api_key_of(t0), F.lit(" ")))
+                .otherwise(api_key_of(t0)))
+    ua = F.when(f20 != 19, user_agent_of("_u", "_d"))
+    ip = F.when(F.pmod(k0, F.lit(7)) == 0,
+                F.concat(F.lit("2001:db8::"), F.pmod(u, F.lit(10000)).cast("string"))
+                ).otherwise(ipv4_of("_u", "_d"))
+    recv = (F.when(f10 == 0, F.col("hi") - 600_000).when(f10 == 9, F.col("lo") + 3_660_000)
+              .otherwise(F.col("hi") + f10 * 60_000))
+    events = F.when(f20 == 13, F.array().cast(S.REQUEST["events"].dataType)).otherwise(
+        F.transform("evs", lambda x: x["body"]))
+    return (g.withColumn("_u", u).withColumn("_d", d0).select(
+        "request_id", F.timestamp_millis(recv).alias("received_at"), origin.alias("origin"),
+        api_key.alias("api_key"), ua.alias("user_agent"), ip.alias("ip"), events.alias("events")))
