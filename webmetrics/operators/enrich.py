@@ -7,15 +7,17 @@ addresses), which are far fewer than sessions, and join the result back.
 from __future__ import annotations
 
 import re
+import time
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webmetrics import schema as S
 from webmetrics.functions.net import host_mask, ipv4_to_long, range_to_cidr, shl
-from webmetrics.plans.strategy import checked_broadcast, is_bounded
+from webmetrics.plans.strategy import CHECK_TTL_SECONDS, checked_broadcast, is_bounded
 
 MAX_RULES = 5000
+_RULES: dict = {}
 _GROUP = re.compile(r"\$(\d)")
 
 KIND_ATTRS = {
@@ -32,62 +34,85 @@ def load_rules(rules_df: DataFrame) -> list[tuple]:
     The rule table is configuration (a dictionary file), bounded by
     MAX_RULES and checked before it is read into the plan.
     """
+    key = None
+    try:
+        key = (rules_df.sparkSession.sparkContext.applicationId, rules_df.semanticHash())
+    except Exception:  # pragma: no cover
+        pass
+    now = time.monotonic()
+    if key in _RULES and now - _RULES[key][0] < CHECK_TTL_SECONDS:
+        return _RULES[key][1]
     if not is_bounded(rules_df, MAX_RULES):
         raise ValueError(f"rule table exceeds {MAX_RULES} rules")
     rows = rules_df.select("kind", "priority", "regex", "repl").collect()
-    return sorted(((r.kind, r.priority, r.regex, dict(r.repl or {})) for r in rows),
-                  key=lambda r: (r[0], r[1], r[2]))
+    rules = sorted(((r.kind, r.priority, r.regex, dict(r.repl or {})) for r in rows),
+                   key=lambda r: (r[0], r[1], r[2]))
+    if key is not None:
+        _RULES[key] = (now, rules)
+    return rules
 
 
-def template(ua: Column, regex: str, tmpl: str) -> Column:
-    """Expand ``$n`` group references of a replacement against ``regex`` on ``ua``."""
+def _sql_str(x: str) -> str:
+    """Raw Spark SQL string literal (no escape processing of backslashes)."""
+    if "'" in x:
+        return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return "r'" + x + "'"
+
+
+def template_sql(ua: str, regex: str, tmpl: str) -> str:
+    """SQL text expanding ``$n`` group references of a replacement against ``regex``."""
     parts, pos = [], 0
     for m in _GROUP.finditer(tmpl):
         if m.start() > pos:
-            parts.append(F.lit(tmpl[pos:m.start()]))
-        parts.append(F.regexp_extract(ua, regex, int(m.group(1))))
+            parts.append(_sql_str(tmpl[pos:m.start()]))
+        parts.append(f"regexp_extract({ua}, {_sql_str(regex)}, {int(m.group(1))})")
         pos = m.end()
     if pos < len(tmpl):
-        parts.append(F.lit(tmpl[pos:]))
+        parts.append(_sql_str(tmpl[pos:]))
     if not parts:
-        return F.lit("")
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+        return "''"
+    return parts[0] if len(parts) == 1 else "concat(" + ", ".join(parts) + ")"
+
+
+def _kind_rules(rules: list[tuple], kind: str) -> list[tuple]:
+    return sorted([r for r in rules if r[0] == kind], key=lambda r: (r[1], r[2]))
 
 
-def _first_match(ua: Column, rules: list[tuple], kind: str) -> Column:
+def first_match_sql(ua: str, rules: list[tuple], kind: str) -> str:
     """Index (1-based) of the first matching rule of ``kind`` by priority; 0 if none."""
-    idx = F.lit(0)
-    for i, (_, _, regex, _) in reversed(list(enumerate([r for r in rules if r[0] == kind], 1))):
-        idx = F.when(ua.rlike(regex), F.lit(i)).otherwise(idx)
-    return idx
+    rs = _kind_rules(rules, kind)
+    if not rs:
+        return "0"
+    whens = " ".join(f"WHEN {ua} RLIKE {_sql_str(r[2])} THEN {i}" for i, r in enumerate(rs, 1))
+    return f"CASE {whens} ELSE 0 END"
 
 
-def _attr_value(ua: Column, idx: Column, rules: list[tuple], kind: str, attr: str) -> Column:
-    default = KIND_DEFAULTS[kind].get(attr, "")
-    out = F.lit(default)
-    for i, (_, _, regex, repl) in reversed(list(enumerate([r for r in rules if r[0] == kind], 1))):
-        if attr in repl:
-            out = F.when(idx == i, template(ua, regex, repl[attr])).otherwise(out)
-    return out
+def attr_sql(ua: str, idx: str, rules: list[tuple], kind: str, attr: str) -> str:
+    default = _sql_str(KIND_DEFAULTS[kind].get(attr, ""))
+    whens = [f"WHEN {i} THEN {template_sql(ua, r[2], r[3][attr])}"
+             for i, r in enumerate(_kind_rules(rules, kind), 1) if attr in r[3]]
+    return f"CASE {idx} {' '.join(whens)} ELSE {default} END" if whens else default
 
 
 def parse_user_agent(df: DataFrame, rules: list[tuple], ua_col: str = "user_agent") -> DataFrame:
     """D2-D5 as a projection: adds device_brand, device_model, os, os_version,
-    browser, browser_version. Regexes are literals, compiled once per task."""
-    ua = F.col(ua_col)
-    step = df.select("*", *[_first_match(ua, rules, k).alias(f"_m_{k}") for k in KIND_ATTRS])
+    browser, browser_version. Regexes are literals, so each is compiled once
+    per task; the first-match index per kind is computed once and shared by
+    that kind's attributes."""
+    ua = f"`{ua_col}`"
+    step = df.select("*", *[F.expr(first_match_sql(ua, rules, k)).alias(f"_m_{k}") for k in KIND_ATTRS])
 
     def v(kind, attr):
-        return _attr_value(ua, F.col(f"_m_{kind}"), rules, kind, attr)
+        return attr_sql(ua, f"_m_{kind}", rules, kind, attr)
 
-    out = step.select(
+    out = step.selectExpr(
         "*",
-        v("device", "brand").alias("device_brand"),
-        v("device", "device").alias("device_model"),
-        v("os", "os").alias("os"),
-        F.concat_ws(".", v("os", "v1"), v("os", "v2"), v("os", "v3")).alias("os_version"),
-        v("browser", "family").alias("browser"),
-        F.concat_ws(".", v("browser", "v1"), v("browser", "v2")).alias("browser_version"),
+        f"{v('device', 'brand')} AS device_brand",
+        f"{v('device', 'device')} AS device_model",
+        f"{v('os', 'os')} AS os",
+        f"concat_ws('.', {v('os', 'v1')}, {v('os', 'v2')}, {v('os', 'v3')}) AS os_version",
+        f"{v('browser', 'family')} AS browser",
+        f"concat_ws('.', {v('browser', 'v1')}, {v('browser', 'v2')}) AS browser_version",
     )
     return out.drop(*[f"_m_{k}" for k in KIND_ATTRS])
 

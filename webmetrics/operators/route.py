@@ -19,7 +19,12 @@ def _attr(k: str):
 
 
 def known(df: DataFrame, sources_df: DataFrame) -> DataFrame:
-    """Keep rows whose (api_key, site) is an allowed source (left semi)."""
+    """Keep rows whose (api_key, site) is an allowed source (left semi).
+
+    The source list is broadcast when its size is proven bounded, else the
+    semi join shuffles on (api_key, site) of the *distinct* sources side and
+    AQE handles skew of the event side.
+    """
     return df.join(checked_broadcast(sources_df.select("api_key", "site")),
                    ["api_key", "site"], "left_semi")
 

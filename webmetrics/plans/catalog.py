@@ -392,3 +392,63 @@ def api_key_latest(spark, sf_dir):
     """Last version per (api_key, site) wins."""
     from webmetrics.sources import adapter, dims
     return dims.api_key_latest(adapter.api_keys(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- D6 cidr, D8, D9, K7
+
+def _blocks(spark, sf_dir, mode="range"):
+    from webmetrics.plans.facts import geo_blocks
+    return geo_blocks(spark, sf_dir, mode)
+
+
+@register("range_to_cidr", O.with_model(", " + O.CIDR_CTES.strip() + "\n" +
+    f"SELECT {O.ip_text('s')} AS ip_range_start, {O.ip_text('e')} AS ip_range_end, "
+    f"{O.ip_text('net')} || '/' || plen AS cidr, net, plen FROM cidr2").replace("\n, ", ",\n", 1))
+def range_to_cidr(spark, sf_dir):
+    """Covering block of each range by the reference's xor/log2 rule (Q4 kept)."""
+    from webmetrics.functions.net import ipv4_to_long, range_to_cidr as r2c
+    from webmetrics.sources import adapter
+    r = adapter.ip_ranges(spark, sf_dir)
+    c = r2c(ipv4_to_long("ip_range_start"), ipv4_to_long("ip_range_end"))
+    return r.select("ip_range_start", "ip_range_end", c["cidr"].alias("cidr"),
+                    c["net"].alias("net"), c["plen"].alias("plen"))
+
+
+@register("iso_left_join", O.with_model(
+    f"SELECT {O.ip_text('s')} AS ip_range_start, {O.ip_text('e')} AS ip_range_end, country_code, state, city "
+    "FROM blocks"))
+def iso_left_join(spark, sf_dir):
+    """Alpha-2 -> alpha-3 by broadcast left join; '' for unmatched / blank."""
+    from webmetrics.functions.net import long_to_ipv4
+    b = _blocks(spark, sf_dir, "range")
+    return b.select(long_to_ipv4("start").alias("ip_range_start"), long_to_ipv4("end").alias("ip_range_end"),
+                    "country_code", "state", "city")
+
+
+@register("geo_ip_cidr", O.with_model(", " + O.CIDR_CTES.strip() + ",\n" + """
+cb AS (SELECT c.net AS cs, c.net + (1::BIGINT << c.bits) - 1 AS ce, c.plen, b.country_code, b.state, b.city
+       FROM cidr2 c JOIN blocks b ON c.s = b.s AND c.e = b.e),
+g2 AS (SELECT ip, country_code, state, city FROM (
+         SELECT ips.ip, cb.*, row_number() OVER (PARTITION BY ips.ip ORDER BY cb.plen DESC) AS rn
+         FROM (SELECT DISTINCT ip FROM session_raw) ips JOIN cb ON ips.ip BETWEEN cb.cs AND cb.ce) WHERE rn = 1)
+SELECT DISTINCT r.ipv4, coalesce(g2.country_code, 'unknown') AS country_code,
+       coalesce(g2.state, 'unknown') AS state, coalesce(g2.city, 'unknown') AS city
+FROM session_raw r LEFT JOIN g2 ON r.ip = g2.ip""").replace("\n, ", ",\n", 1))
+def geo_ip_cidr(spark, sf_dir):
+    """D6 (mode='cidr'): longest-prefix match as an equi join on (plen, net)."""
+    from webmetrics.operators import enrich, route
+    m = _m(spark, sf_dir)
+    s = route.sessions(m.event, m.sources)
+    g = enrich.geo_ip(s, _blocks(spark, sf_dir, "cidr"), "ipv4", "cidr")
+    return g.select("ipv4", "country_code", "state", "city").distinct()
+
+
+RETENTION_AS_OF = "2024-01-20 00:00:00"
+
+
+@register("retention_week", O.with_model(
+    f"SELECT api_key, site, id, ts FROM section WHERE ts + INTERVAL 7 DAY > {O.ts_lit(RETENTION_AS_OF)}"))
+def retention_week(spark, sf_dir):
+    """K7: page views still retained one week after their time, as of a fixed instant."""
+    from webmetrics.sources.sinks import retained
+    return retained(_m(spark, sf_dir).section, RETENTION_AS_OF).select("api_key", "site", "id", "ts")

@@ -298,3 +298,18 @@ def with_ingest(select: str) -> str:
 
 STATUS_SQL = ("CASE WHEN reason IS NULL THEN 201 WHEN reason IN ('InvalidRequest', 'UnknownSource') "
               "THEN 500 ELSE 400 END")
+
+
+def ip_text(x: str) -> str:
+    return (f"(({x}) >> 24) || '.' || ((({x}) >> 16) & 255) || '.' || ((({x}) >> 8) & 255) "
+            f"|| '.' || (({x}) & 255)")
+
+
+CIDR_CTES = """
+cidr AS (
+  SELECT s, e, xor(s, e) AS x,
+         CAST(CASE WHEN xor(s, e) <> 0 THEN ceil(log2(xor(s, e))) ELSE 0 END AS INTEGER) AS bits
+  FROM ip_range),
+cidr2 AS (
+  SELECT s, e, 32 - bits AS plen, s & ~((1::BIGINT << bits) - 1) AS net, bits FROM cidr)
+"""

@@ -3,22 +3,46 @@
 A side is broadcast only behind a proven size bound: a bounded count
 (``limit(n + 1).count()``, which stops after n + 1 rows) shows it holds at
 most ``max_rows`` rows. Beyond the bound the join is left to the shuffle
-path, where AQE re-plans with runtime statistics and splits skewed
-partitions.
+path, where AQE re-plans with runtime statistics (and still converts to a
+broadcast join when the *measured* shuffle output is small) and splits
+skewed partitions.
+
+Bound checks are memoised per logical plan (``semanticHash``) for
+``CHECK_TTL_SECONDS``, like a dictionary with a refresh lifetime, so a
+dimension used by several joins of one plan is counted once.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Upper bounds for the dimension sides we broadcast.
 DIM_MAX_ROWS = 2_000_000
+CHECK_TTL_SECONDS = 60.0
+
+_checked: dict[tuple, tuple[float, bool]] = {}
+
+
+def _key(df: DataFrame, max_rows: int) -> tuple | None:
+    try:
+        return (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    except Exception:  # pragma: no cover - e.g. Connect sessions
+        return None
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    k = _key(df, max_rows)
+    now = time.monotonic()
+    if k is not None and k in _checked and now - _checked[k][0] < CHECK_TTL_SECONDS:
+        return _checked[k][1]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if k is not None:
+        _checked[k] = (now, ok)
+    return ok
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:

@@ -29,8 +29,16 @@ DAY_MS = 86_400_000
 SECTION_TYPES = ("view", "purchase")
 
 
+_READ: dict = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table of the driver; the relation (file listing) is reused per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READ:
+        _READ[key] = spark.read.parquet(path)
+    return _READ[key]
 
 
 def api_key_of(t) -> Column:
