@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webmetrics.functions.timefn import bucket5, start_of_day, start_of_hour
+from webmetrics.functions.timefn import bucket5, start_of_day, start_of_hour  # noqa: F401
 
 FACT_COLS = ("api_key", "site", "ts", "path", "os", "browser", "country_code", "city", "visitor")
 

@@ -75,8 +75,9 @@ ev AS (
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
          (epoch_us(ts) // 1000) // 86400000 AS day, user_id % 4 AS t
   FROM events),
-sd AS (SELECT user_id, day, min(ms) AS sms FROM ev GROUP BY user_id, day),
-vd AS (SELECT user_id, min(sms) AS vms FROM sd GROUP BY user_id),
+sd AS (SELECT user_id, day, min((ms, event_id))[1] AS sms, min((ms, event_id))[2] AS s_eid
+       FROM ev GROUP BY user_id, day),
+vd AS (SELECT user_id, min((sms, s_eid))[1] AS vms, min((sms, s_eid))[2] AS v_eid FROM sd GROUP BY user_id),
 keys AS (
   SELECT DISTINCT 'key-' || (user_id % 4) AS api_key, 'site' || (user_id % 4) || '.example.com' AS site
   FROM events WHERE user_id % 4 < 3),
@@ -212,10 +213,9 @@ def _uuid_ms(x: str) -> str:
 
 # Request envelopes and their validation, relationally (no arrays).
 INGEST_CTES = f"""
-rq_ev AS (
-  SELECT ev.event_id // 5 AS request_id, ev.event_id, ev.user_id, ev.day, ev.k, ev.ms, ev.event_type,
+rq_own AS (
+  SELECT ev.event_id // 5 AS request_id, ev.event_id, 2 AS sub, ev.user_id, ev.day, ev.k, ev.ms, ev.event_type,
          ev.t,
-         row_number() OVER (PARTITION BY ev.event_id // 5 ORDER BY ev.event_id) - 1 AS pos,
          CASE WHEN ev.event_type IN ('view', 'purchase') THEN 3 WHEN ev.event_type = 'click' THEN 4
               WHEN ev.event_type = 'signup' THEN 2 WHEN ev.k % 50 = 49 THEN 5 ELSE 1 END AS typ,
          CASE WHEN ev.event_type IN ('view', 'purchase') THEN {uuid7('ev.ms', '3', 'ev.event_id')}
@@ -233,11 +233,23 @@ rq_ev AS (
          (ev.event_type IN ('view', 'purchase') AND ev.k % 10 <> 3) AS has_lt,
          'https://site' || ev.t || '.example.com/dir' || (ev.k % 6) || '/type' || (ev.k % 5) || '?k=' || ev.k
            || '#s' || (ev.k % 3) AS location,
-         '/dir' || (ev.k % 6) || '/type' || (ev.k % 5) || ' - Title' AS title
+         '/dir' || (ev.k % 6) || '/type' || (ev.k % 5) || ' - Title' AS title,
+         sd.s_eid, vd.v_eid, sd.sms, vd.vms
   FROM ev JOIN sd ON ev.user_id = sd.user_id AND ev.day = sd.day JOIN vd ON ev.user_id = vd.user_id),
+rq_all AS (
+  SELECT request_id, event_id, sub, user_id, day, k, ms, t, typ, bid, p, has_lt, location, title FROM rq_own
+  UNION ALL
+  SELECT request_id, event_id, 0, user_id, day, k, ms, t, 1, {uuid7('vms', '1', 'user_id')}, NULL, false, NULL, NULL
+  FROM rq_own WHERE event_id = v_eid
+  UNION ALL
+  SELECT request_id, event_id, 1, user_id, day, k, ms, t, 2, {uuid7('sms', '2', 'user_id')},
+         {uuid7('vms', '1', 'user_id')}, false, NULL, NULL
+  FROM rq_own WHERE event_id = s_eid),
+rq_ev AS (
+  SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY event_id, sub) - 1 AS pos FROM rq_all),
 rq AS (
-  SELECT request_id, arg_min(user_id, event_id) AS u0, arg_min(k, event_id) AS k0,
-         arg_min(day, event_id) AS d0, min(ms) AS lo, max(ms) AS hi, count(*) AS n
+  SELECT request_id, arg_min(user_id, pos) AS u0, arg_min(k, pos) AS k0,
+         arg_min(day, pos) AS d0, min(ms) AS lo, max(ms) AS hi, count(*) AS n
   FROM rq_ev GROUP BY request_id),
 hdr AS (
   SELECT request_id, n, k0 % 20 = 13 AS empty,
@@ -256,7 +268,7 @@ rq_body AS (
          CASE WHEN {_uuid_ok('r.bid')} THEN epoch_ms({_uuid_ms('r.bid')} // 1000 * 1000) END AS ts
   FROM rq_ev r JOIN hdr h ON r.request_id = h.request_id WHERE NOT h.empty),
 eerr AS (
-  SELECT b.request_id, b.event_id,
+  SELECT b.request_id, b.event_id, b.pos,
          (b.typ BETWEEN 1 AND 4 AND {_uuid_ok('b.bid')}) AS body_ok,
          CASE WHEN b.typ IN (2, 3, 4) AND NOT {_uuid_ok('b.p')} THEN 'InvalidRequestBody'
               WHEN length(trim(h.api_key)) = 0 THEN 'ApiKey'
@@ -267,7 +279,7 @@ eerr AS (
   FROM rq_body b JOIN hdr h ON b.request_id = h.request_id),
 eagg AS (
   SELECT request_id, bool_and(body_ok) AS body_ok,
-         arg_min(err, event_id) FILTER (WHERE err IS NOT NULL) AS first_err
+         arg_min(err, pos) FILTER (WHERE err IS NOT NULL) AS first_err
   FROM eerr GROUP BY request_id),
 chk AS (
   SELECT h.*, coalesce(

@@ -88,8 +88,12 @@ def user_days(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
     Both are aggregations with map-side partial aggregation, so a user holding
     a large share of all rows does not overload one task.
     """
-    sd = ev.groupBy("user_id", "day").agg(F.min("ms").alias("sms"))
-    vd = sd.groupBy("user_id").agg(F.min("sms").alias("vms"))
+    f = F.min(F.struct("ms", "event_id")).alias("f")
+    sd = ev.groupBy("user_id", "day").agg(f).select(
+        "user_id", "day", F.col("f.ms").alias("sms"), F.col("f.event_id").alias("s_eid"))
+    v = F.min(F.struct("sms", "s_eid")).alias("f")
+    vd = sd.groupBy("user_id").agg(v).select(
+        "user_id", F.col("f.sms").alias("vms"), F.col("f.s_eid").alias("v_eid"))
     return sd, vd
 
 
@@ -215,11 +219,14 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 #
 # Ingest-path adapter: driver events grouped into request envelopes of five
 # (request_id = event_id div 5). Headers come from the request's first event
-# (user u0, k0, day0, tenant t0); bodies come from every event by type:
+# (user u0, k0, day0, tenant t0). The first event of a user also carries that
+# user's Visitor body (id uuid7(first ms, 1, user_id)) and the first event of
+# a user-day the Session body (id uuid7(first ms of day, 2, user_id), p = the
+# visitor), ancestors first. Then every event's own body by type:
 #   view/purchase -> Section (3), p = user-day session (k=1: no p, k=2: 'x',
 #                    k=0: a session that does not exist); l/t unless k%10 = 3
 #   click         -> Click (4),   p = user-day session
-#   signup        -> Session (2), p = the user's visitor
+#   signup        -> Session (2) of its own, p = the user's visitor
 #   error         -> Visitor (1), id version 4 when k even; k%50 = 49 -> type 5,
 #                    k%50 = 48 -> id 'not-a-uuid'
 #   k%10 = 4 adds an unknown attribute 'zz'; k%10 = 5 uses the long key names.
@@ -271,8 +278,16 @@ def request_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "a": F.when(~long_names, attrs).otherwise(nul_m),
         "event_type": F.when(long_names, typ).otherwise(nul_i),
         "id": F.when(long_names, bid).otherwise(nul_s), "attrs": F.when(long_names, attrs).otherwise(nul_m)})
+    nul_b = F.lit(None).cast(j.select(body.alias("b")).schema["b"].dataType)
+    vis_body = _body({"t": F.lit(1), "i": vis, "a": F.create_map().cast("map<string,string>"),
+                      "event_type": nul_i, "id": nul_s, "attrs": nul_m})
+    ses_body = _body({"t": F.lit(2), "i": sess, "a": F.create_map(F.lit("p"), vis),
+                      "event_type": nul_i, "id": nul_s, "attrs": nul_m})
+    bodies = F.filter(F.array(F.when(eid == F.col("v_eid"), vis_body).otherwise(nul_b),
+                              F.when(eid == F.col("s_eid"), ses_body).otherwise(nul_b), body),
+                      lambda b: b.isNotNull())
     return j.select(F.expr("event_id div 5").alias("request_id"), eid.alias("event_id"), uid.alias("user_id"),
-                    "day", "k", "ms", body.alias("body"))
+                    "day", "k", "ms", F.posexplode(bodies).alias("sub", "body"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,10 +298,11 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     from webmetrics import schema as S
     re_ = request_events(spark, sf_dir)
     g = re_.groupBy("request_id").agg(
-        F.min_by(F.struct("user_id", "k", "day"), F.col("event_id")).alias("h"),
+        F.min_by(F.struct("user_id", "k", "day"), F.struct("event_id", "sub")).alias("h"),
         F.min("ms").alias("lo"), F.max("ms").alias("hi"),
-        F.array_sort(F.collect_list(F.struct("event_id", "body")),
-                     lambda x, y: F.signum(x["event_id"] - y["event_id"]).cast("int")).alias("evs"))
+        F.array_sort(F.collect_list(F.struct("event_id", "sub", "body")),
+                     lambda x, y: F.signum((x["event_id"] - y["event_id"]) * 4 + x["sub"] - y["sub"])
+                     .cast("int")).alias("evs"))
     u, k0, d0 = F.col("h.user_id"), F.col("h.k"), F.col("h.day")
     t0 = F.pmod(u, F.lit(4))
     f20, f10 = F.pmod(k0, F.lit(20)), F.pmod(k0, F.lit(10))

@@ -17,6 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
+from webmetrics import schema as S
 from webmetrics.operators import rollup
 
 
@@ -66,8 +69,23 @@ def write_table(df: DataFrame, path: str, table: str, mode: str = "append",
     w.parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+TABLE_SCHEMAS = {
+    "visitor_event": S.VISITOR_EVENT, "session_event": S.SESSION_EVENT,
+    "section_event": S.SECTION_EVENT, "hierarchy_event": S.HIERARCHY_EVENT,
+    "section_combined": S.SECTION_COMBINED, "visitor_timeseries": S.VISITOR_TIMESERIES,
+}
+
+
+def read_table(spark: SparkSession, path: str, table: str | None = None,
+               extra_partitions: tuple[str, ...] = ()) -> DataFrame:
+    """Read a written table. With ``table`` the schema is given (no inference,
+    and a table with no files yet reads as empty)."""
+    if table is None:
+        return spark.read.parquet(path)
+    sch = T.StructType(list(TABLE_SCHEMAS[table].fields)
+                       + [T.StructField(c, T.LongType()) for c in extra_partitions]
+                       + [T.StructField("event_date", T.DateType())])
+    return spark.read.schema(sch).parquet(path)
 
 
 def write_model(model, root: str, mode: str = "append") -> dict[str, str]:
