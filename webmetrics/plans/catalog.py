@@ -452,3 +452,89 @@ def retention_week(spark, sf_dir):
     """K7: page views still retained one week after their time, as of a fixed instant."""
     from webmetrics.sources.sinks import retained
     return retained(_m(spark, sf_dir).section, RETENTION_AS_OF).select("api_key", "site", "id", "ts")
+
+
+# ----------------------------------------------------------------- action log O1-O5
+
+def _act_id(code: str, ts: str, seq: str) -> str:
+    return O.uuid7(f"epoch_us({ts}) // 1000", code, f"({seq} % 281474976710656)")
+
+
+ACTION_SQL = f"""
+WITH act AS (
+  SELECT 'key-' || (user_id % 4) AS api_key, CAST(user_id AS VARCHAR) AS client, event_id AS seq, ts,
+         CASE WHEN event_type = 'view' AND k % 10 = 7 THEN 'registerSession'
+              WHEN event_type = 'view' THEN 'registerSection'
+              WHEN event_type IN ('purchase', 'click') THEN 'registerClick'
+              WHEN event_type = 'signup' THEN 'registerVisitor'
+              WHEN k % 3 = 0 THEN 'deregisterVisitor' WHEN k % 3 = 1 THEN 'deregisterSession'
+              ELSE 'deregisterSection' END AS action,
+         'https://site' || (user_id % 4) || '.example.com/dir' || (k % 6) || '/type' || (k % 5) || '?k=' || k
+           || '#s' || (k % 3) AS loc,
+         '/dir' || (k % 6) || '/type' || (k % 5) || ' - Title' AS ttl
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)),
+ep AS (
+  SELECT *,
+    sum(CASE WHEN action IN ('registerVisitor', 'deregisterVisitor') THEN 1 ELSE 0 END) OVER w AS v_ep,
+    sum(CASE WHEN action IN ('registerVisitor', 'deregisterVisitor', 'registerSession', 'deregisterSession')
+        THEN 1 ELSE 0 END) OVER w AS s_ep,
+    sum(CASE WHEN action IN ('registerVisitor', 'deregisterVisitor', 'registerSession', 'deregisterSession',
+        'registerSection', 'deregisterSection') THEN 1 ELSE 0 END) OVER w AS x_ep
+  FROM act WINDOW w AS (PARTITION BY api_key, client ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+cv AS (SELECT api_key, client, v_ep, min(seq) AS seq FROM ep
+       WHERE action IN ('registerVisitor', 'registerSession', 'registerSection', 'registerClick')
+       GROUP BY 1, 2, 3),
+cs AS (SELECT api_key, client, s_ep, min(seq) AS seq FROM ep
+       WHERE action IN ('registerSession', 'registerSection', 'registerClick') GROUP BY 1, 2, 3),
+cx AS (SELECT api_key, client, x_ep, min(seq) AS seq FROM ep
+       WHERE action IN ('registerSection', 'registerClick') GROUP BY 1, 2, 3),
+v AS (SELECT e.*, {_act_id('1', 'e.ts', 'e.seq')} AS id FROM cv JOIN ep e USING (api_key, client, seq)),
+s AS (SELECT e.*, {_act_id('2', 'e.ts', 'e.seq')} AS id FROM cs JOIN ep e USING (api_key, client, seq)),
+x AS (SELECT e.*, {_act_id('3', 'e.ts', 'e.seq')} AS id FROM cx JOIN ep e USING (api_key, client, seq)),
+c AS (SELECT e.*, {_act_id('4', 'e.ts', 'e.seq')} AS id FROM ep e WHERE action = 'registerClick')
+SELECT api_key, client, seq, 0 AS sub, 'Visitor' AS event_type, id, ts, NULL AS parent, NULL AS location, NULL AS title FROM v
+UNION ALL
+SELECT s.api_key, s.client, s.seq, 1, 'Session', s.id, s.ts, v.id, NULL, NULL
+FROM s LEFT JOIN v ON s.api_key = v.api_key AND s.client = v.client AND s.v_ep = v.v_ep
+UNION ALL
+SELECT x.api_key, x.client, x.seq, 2, 'Section', x.id, x.ts, s.id,
+       CASE WHEN x.action IN ('registerSection', 'registerClick') THEN x.loc END,
+       CASE WHEN x.action IN ('registerSection', 'registerClick') THEN x.ttl END
+FROM x LEFT JOIN s ON x.api_key = s.api_key AND x.client = s.client AND x.s_ep = s.s_ep
+UNION ALL
+SELECT c.api_key, c.client, c.seq, 3, 'Click', c.id, c.ts, x.id, NULL, NULL
+FROM c LEFT JOIN x ON c.api_key = x.api_key AND c.client = x.client AND c.x_ep = x.x_ep
+"""
+
+
+@register("action_hierarchy", ACTION_SQL)
+def action_hierarchy(spark, sf_dir):
+    """O1-O3: client action log -> events with ancestors created on demand."""
+    from webmetrics.operators import actions
+    from webmetrics.sources import adapter
+    return actions.from_actions(adapter.actions(spark, sf_dir))
+
+
+@register("action_hierarchy_chunked", ACTION_SQL)
+def action_hierarchy_chunked(spark, sf_dir):
+    """O1-O3 with tiny prefix-sum chunks (a client spread over many groups)."""
+    from webmetrics.operators import actions
+    from webmetrics.sources import adapter
+    return actions.from_actions(adapter.actions(spark, sf_dir), chunk=64)
+
+
+@register("action_wire", ACTION_SQL.replace("\nSELECT api_key, client, seq, 0 AS sub", ", out AS (\nSELECT api_key, client, seq, 0 AS sub", 1)
+          + """)
+SELECT api_key, client, seq, sub, CASE event_type WHEN 'Visitor' THEN 1 WHEN 'Session' THEN 2
+       WHEN 'Section' THEN 3 ELSE 4 END AS t, id AS i,
+       concat_ws(',', CASE WHEN location IS NOT NULL THEN 'l' END, CASE WHEN parent IS NOT NULL THEN 'p' END,
+                 CASE WHEN title IS NOT NULL THEN 't' END) AS a_keys
+FROM out WHERE substr(id, 15, 1) = '7'""")
+def action_wire(spark, sf_dir):
+    """Wire bodies {t, i, a} of the emitted events whose id is a valid v7 reference."""
+    from webmetrics.operators import actions
+    from webmetrics.sources import adapter
+    ev = actions.from_actions(adapter.actions(spark, sf_dir))
+    w = actions.to_wire(ev.where(actions.valid_reference(F.col("id"))))
+    return w.select("api_key", "client", "seq", "sub", "t", "i",
+                    F.array_join(F.array_sort(F.map_keys("a")), ",").alias("a_keys"))

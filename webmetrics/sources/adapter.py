@@ -322,3 +322,29 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (g.withColumn("_u", u).withColumn("_d", d0).select(
         "request_id", F.timestamp_millis(recv).alias("received_at"), origin.alias("origin"),
         api_key.alias("api_key"), ua.alias("user_agent"), ip.alias("ip"), events.alias("events")))
+
+
+# --------------------------------------------------------------------------- action log
+
+def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client action log from the driver events (client = user, seq = event_id):
+    view -> registerSection (registerSession when k%10 = 7), purchase and click
+    -> registerClick, signup -> registerVisitor, error -> deregister of the
+    visitor / session / section by k%3."""
+    e = read(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    et = F.col("event_type")
+    act = (F.when((et == "view") & (F.pmod(k, F.lit(10)) == 7), F.lit("registerSession"))
+            .when(et == "view", F.lit("registerSection"))
+            .when(et.isin("purchase", "click"), F.lit("registerClick"))
+            .when(et == "signup", F.lit("registerVisitor"))
+            .when(F.pmod(k, F.lit(3)) == 0, F.lit("deregisterVisitor"))
+            .when(F.pmod(k, F.lit(3)) == 1, F.lit("deregisterSession"))
+            .otherwise(F.lit("deregisterSection")))
+    t = F.pmod("user_id", F.lit(4))
+    is_x = act.isin("registerSection", "registerClick")
+    return e.select(
+        api_key_of(t).alias("api_key"), F.col("user_id").cast("string").alias("client"),
+        F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), act.alias("action"),
+        F.when(is_x, location_of(site_of(t), k)).alias("location"),
+        F.when(is_x, F.concat(path_of(k), F.lit(" - Title"))).alias("title"))
