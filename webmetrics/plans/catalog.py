@@ -538,3 +538,64 @@ def action_wire(spark, sf_dir):
     w = actions.to_wire(ev.where(actions.valid_reference(F.col("id"))))
     return w.select("api_key", "client", "seq", "sub", "t", "i",
                     F.array_join(F.array_sort(F.map_keys("a")), ",").alias("a_keys"))
+
+
+# ----------------------------------------------------------------- synthetic job N1-N10 (rows-only)
+
+def _synth(spark, sf_dir):
+    """Synthetic tenant scaled by the driver data: base = distinct users of
+    ``events``, as_of = its last event time, tenant = key-0."""
+    from webmetrics.operators import synth
+    from webmetrics.sources import adapter
+    r = adapter.read(spark, sf_dir, "events").agg(
+        F.count_distinct("user_id").alias("n"), F.max(F.col("ts").cast("timestamp")).alias("t")).first()
+    return synth.Synth(int(r.n), r.t.replace(microsecond=0), "key-0", "site0.example.com")
+
+
+@register("synth_paths")
+def synth_paths(spark, sf_dir):
+    """216-path catalogue (fixed size by definition of the generator)."""
+    from webmetrics.operators import synth
+    return synth.paths(spark)
+
+
+@register("synth_browsers")
+def synth_browsers(spark, sf_dir):
+    """100 generated agents parsed by the UA rules."""
+    from webmetrics.operators import synth
+    from webmetrics.sources import dims
+    return synth.browsers(spark, dims.ua_rules_df(spark))
+
+
+@register("synth_visitors")
+def synth_visitors(spark, sf_dir):
+    """20 * base visitors (uniform year + three spikes)."""
+    return _synth(spark, sf_dir).visitors(spark)
+
+
+@register("synth_sessions")
+def synth_sessions(spark, sf_dir):
+    """10 sessions per visitor with catalogue agents."""
+    from webmetrics.operators import synth
+    from webmetrics.sources import dims
+    s = _synth(spark, sf_dir)
+    return s.routed_sessions(spark, synth.browsers(spark, dims.ua_rules_df(spark)))
+
+
+@register("synth_sections")
+def synth_sections(spark, sf_dir):
+    """10 page views per session."""
+    return _synth(spark, sf_dir).sections(spark)
+
+
+@register("synth_section_combined")
+def synth_section_combined(spark, sf_dir):
+    """The synthetic hub routed, enriched and joined by the real plan."""
+    from webmetrics.operators import synth
+    from webmetrics.plans import facts
+    from webmetrics.sources import adapter, dims
+    s = _synth(spark, sf_dir)
+    rules = dims.ua_rules_df(spark)
+    hub = synth.staged_hub(s, spark, rules)
+    return facts.build(hub, adapter.api_keys(spark, sf_dir), rules,
+                       facts.geo_blocks(spark, sf_dir)).section_combined
