@@ -7,11 +7,13 @@ guards; the caller decides what to write or query.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from webmetrics.operators import enrich, rollup, route
+from webmetrics.plans.strategy import CHECK_TTL_SECONDS
 from webmetrics.sources import adapter, dims
 
 
@@ -52,7 +54,21 @@ def geo_blocks(spark: SparkSession, sf_dir: str, mode: str = "range") -> DataFra
                                      adapter.iso_country(spark, sf_dir), mode)
 
 
+_MODELS: dict = {}
+
+
 def driver_model(spark: SparkSession, sf_dir: str, geo_mode: str = "range") -> Model:
-    """The model over the driver's test tables (see :mod:`webmetrics.sources.adapter`)."""
-    return build(adapter.event_hub(spark, sf_dir), adapter.api_keys(spark, sf_dir),
-                 dims.ua_rules_df(spark), geo_blocks(spark, sf_dir, geo_mode), geo_mode)
+    """The model over the driver's test tables (see :mod:`webmetrics.sources.adapter`).
+
+    The lazy plan is reused for CHECK_TTL_SECONDS per session and directory,
+    the same lifetime as the dimension size checks baked into it.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), geo_mode)
+    now = time.monotonic()
+    hit = _MODELS.get(key)
+    if hit and now - hit[0] < CHECK_TTL_SECONDS:
+        return hit[1]
+    m = build(adapter.event_hub(spark, sf_dir), adapter.api_keys(spark, sf_dir),
+              dims.ua_rules_df(spark), geo_blocks(spark, sf_dir, geo_mode), geo_mode)
+    _MODELS[key] = (now, m)
+    return m

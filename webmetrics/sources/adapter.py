@@ -88,15 +88,28 @@ def user_days(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
     Both are aggregations with map-side partial aggregation, so a user holding
     a large share of all rows does not overload one task.
     """
-    f = F.min(F.struct("ms", "event_id")).alias("f")
-    sd = ev.groupBy("user_id", "day").agg(f).select(
-        "user_id", "day", F.col("f.ms").alias("sms"), F.col("f.event_id").alias("s_eid"))
-    v = F.min(F.struct("sms", "s_eid")).alias("f")
-    vd = sd.groupBy("user_id").agg(v).select(
-        "user_id", F.col("f.sms").alias("vms"), F.col("f.s_eid").alias("v_eid"))
+    # The first event is the least (ms, event_id). Packed into one decimal
+    # key, so the minimum runs as a hash aggregate with partial aggregation.
+    key = (F.col("ms").cast("decimal(38,0)") * F.lit(_PACK).cast("decimal(38,0)")
+           + F.col("event_id").cast("decimal(38,0)")).cast("decimal(38,0)")
+    sd = ev.groupBy("user_id", "day").agg(F.min(key).alias("f"))
+    sd = sd.select("user_id", "day", *_unpack("f", "sms", "s_eid"))
+    vd = sd.groupBy("user_id").agg(F.min(
+        (F.col("sms").cast("decimal(38,0)") * F.lit(_PACK).cast("decimal(38,0)")
+         + F.col("s_eid").cast("decimal(38,0)")).cast("decimal(38,0)")).alias("f"))
+    vd = vd.select("user_id", *_unpack("f", "vms", "v_eid"))
     return sd, vd
 
 
+_PACK = 10 ** 18  # event ids stay below 10^18; ms * 10^18 fits decimal(38)
+
+
+def _unpack(c: str, hi: str, lo: str):
+    k = F.col(c)
+    p = F.lit(_PACK).cast("decimal(38,0)")
+    return [F.floor(k / p).cast("long").alias(hi), F.pmod(k, p).cast("long").alias(lo)]
+
+
 def event_hub(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: the generic event DataFrame (api_key, site, event_type, id, ts, attrs)."""
     ev = base_events(spark, sf_dir)

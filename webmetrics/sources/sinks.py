@@ -6,8 +6,10 @@ rows range-partitioned and sorted by the table's key so that
 * partition pruning works on site / date predicates,
 * Parquet min/max statistics skip row groups on the sort key,
 * a site-day holding a large share of all rows is split across several
-  tasks by the range partitioner (its boundaries include the id), instead
-  of landing in one task as a plain hash repartition would do.
+  tasks: rows are shuffled with the REBALANCE hint on the partition columns,
+  and AQE splits oversized (skewed) shuffle partitions and merges small
+  ones into advisory-size tasks. Unlike a range repartition this needs no
+  sampling pass, which would re-run the whole upstream plan once more.
 """
 
 from __future__ import annotations
@@ -56,8 +58,10 @@ def write_table(df: DataFrame, path: str, table: str, mode: str = "append",
     lay = LAYOUTS[table]
     out = with_event_date(df)
     keys = [*lay.partition, *[c for c in lay.sort if c not in lay.partition]]
-    out = (out.repartitionByRange(num_partitions, *keys) if num_partitions
-           else out.repartitionByRange(*keys))
+    if num_partitions:
+        out = out.hint("rebalance", num_partitions, *lay.partition)
+    else:
+        out = out.hint("rebalance", *lay.partition)
     out = out.sortWithinPartitions(*keys)
     w = out.write.partitionBy(*lay.partition)
     for c in lay.bloom:
