@@ -97,3 +97,15 @@ def test_visitor_timeseries(spark):
     assert sorted((x.ts, x.visitors) for x in r.collect()) == [(D(2024, 1, 1, 0), 5), (D(2024, 1, 1, 1), 1)]
     with pytest.raises(ValueError):
         report.visitor_timeseries(v, ["k"], ["s"], None, None)
+
+
+def test_rollup_answers_equal_fact(fact):
+    from webmetrics.operators import rollup
+    d = rollup.daily(fact, "os", sketch=True)
+    a = pv(report.from_daily(d, "by_os", "os", ["k"], ["s"]), "os")
+    assert a == pv(report.by_os(fact, ["k"], ["s"]), "os")
+    r = report.from_daily(rollup.daily(fact, None, sketch=True), "total_visitors", None, ["k"], ["s"],
+                          with_visitors=True).first()
+    assert r.visitors == 3 and r.page_views == 4
+    with pytest.raises(ValueError):  # a filter on another dimension needs the fact
+        report.from_daily(d, "by_os", "os", ["k"], ["s"], filters={"path": ["/a"]})

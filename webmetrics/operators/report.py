@@ -153,3 +153,42 @@ REPORTS = {
     "by_path": by_path, "by_city": by_city, "total_visitors": total_visitors,
     "timeseries": timeseries,
 }
+
+
+# --------------------------------------------------------------------------- rollups
+
+def rollup_applies(name: str, dim: str | None, start, end, filters: dict | None,
+                   time_mode: str = "reference") -> bool:
+    """True when a daily rollup of ``dim`` answers the report exactly: no
+    filter on another dimension, and a time predicate that is day-aligned
+    (no range, the reference's day-truncated mode, or midnight bounds)."""
+    if any((filters or {}).get(d) for d in S.REPORT_FILTERS[name]):
+        return False
+    if start is None or end is None:
+        return True
+    lo, hi = to_dt(start), to_dt(end)
+    aligned = lo == ceil_to(lo, 86400) and hi == ceil_to(hi, 86400)
+    if aligned:
+        return True
+    forced = any((filters or {}).get(d) for d in S.FORCE_RAW[name])
+    return time_mode == "reference" and not forced and range_days(start, end) > 10
+
+
+def from_daily(daily: DataFrame, name: str, dim: str | None, api_keys, sites, start=None, end=None,
+               filters: dict | None = None, time_mode: str = "reference",
+               with_visitors: bool = False) -> DataFrame:
+    """Answer a report from a daily rollup (``rollup.daily``) instead of the fact.
+
+    Page views are re-summed; distinct visitors come from the union of the
+    daily HLL sketches (approximate). Raises ValueError when the rollup cannot
+    answer the request exactly (see :func:`rollup_applies`).
+    """
+    if not rollup_applies(name, dim, start, end, filters, time_mode):
+        raise ValueError("daily rollup cannot answer this request exactly")
+    df = _tenant(daily, api_keys, sites)
+    if start is not None and end is not None:
+        df = df.where(_range(F.col("day"), start, end, GRAIN_SECONDS["day"]))
+    aggs = [F.sum("page_views").cast("long").alias("page_views")]
+    if with_visitors:
+        aggs.append(F.hll_sketch_estimate(F.hll_union_agg("visitors_sketch")).alias("visitors"))
+    return df.groupBy(dim).agg(*aggs) if dim else df.agg(*aggs)

@@ -15,14 +15,17 @@ from webmetrics.functions.timefn import bucket5, start_of_day, start_of_hour  #
 FACT_COLS = ("api_key", "site", "ts", "path", "os", "browser", "country_code", "city", "visitor")
 
 
-def section_combined(section: DataFrame, session: DataFrame) -> DataFrame:
+def section_combined(section: DataFrame, session: DataFrame, join_hint: str | None = None) -> DataFrame:
     """E1 + F3: page views joined with their session's attributes, 5-minute ts.
 
     Inner join on (api_key, site, parent = session.id); sections whose
-    session is absent are dropped, as in the reference.
+    session is absent are dropped, as in the reference. ``join_hint``
+    (e.g. 'merge', E7) forces a strategy; by default AQE chooses.
     """
     s = session.select("api_key", "site", F.col("id").alias("parent"), "os", "browser",
                        "country_code", "city", F.col("parent").alias("visitor"))
+    if join_hint:
+        s = s.hint(join_hint)
     p = section.select("api_key", "site", "parent", "ts", "path")
     return p.join(s, ["api_key", "site", "parent"], "inner").select(
         "api_key", "site", bucket5("ts").alias("ts"), "path", "os", "browser",
@@ -88,10 +91,18 @@ def session_timeseries(session: DataFrame, visitor: DataFrame) -> DataFrame:
         *keys, "os", "browser", "num", "uniq_visitors")
 
 
-def daily(fact: DataFrame, dim: str | None = None, with_visitors: bool = False) -> DataFrame:
-    """Daily page views per (api_key, site, day[, dim]) [+ distinct visitors]."""
+def daily(fact: DataFrame, dim: str | None = None, with_visitors: bool = False,
+          sketch: bool = False) -> DataFrame:
+    """Daily page views per (api_key, site, day[, dim]) [+ distinct visitors].
+
+    ``sketch=True`` adds ``visitors_sketch``, a mergeable HLL sketch, so
+    distinct visitors over several days can be answered from the rollup
+    (``hll_union_agg``), which plain per-day counts cannot.
+    """
     keys = ["api_key", "site", start_of_day("ts").alias("day")] + ([dim] if dim else [])
     aggs = [F.count(F.lit(1)).alias("page_views")]
     if with_visitors:
         aggs.append(F.count_distinct("visitor").alias("visitors"))
+    if sketch:
+        aggs.append(F.hll_sketch_agg("visitor", 12).alias("visitors_sketch"))
     return fact.groupBy(*keys).agg(*aggs)

@@ -599,3 +599,23 @@ def synth_section_combined(spark, sf_dir):
     hub = synth.staged_hub(s, spark, rules)
     return facts.build(hub, adapter.api_keys(spark, sf_dir), rules,
                        facts.geo_blocks(spark, sf_dir)).section_combined
+
+
+
+# ----------------------------------------------------------------- reports from daily rollups
+
+@register("report_by_os_rollup", SQL["report_by_os"])
+def report_by_os_rollup(spark, sf_dir):
+    """G5 answered from the F9 daily rollup (re-summed page views) = G5 on the fact."""
+    d = rollup.daily(_m(spark, sf_dir).section_combined, "os")
+    return report.from_daily(d, "by_os", "os", KEYS, SITES)
+
+
+_ROLLUP_RANGE = ("2024-01-02 06:00:00", "2024-01-25 18:00:00")
+
+
+@register("report_by_path_rollup", _report_sql("by_path", "path", *_ROLLUP_RANGE))
+def report_by_path_rollup(spark, sf_dir):
+    """G6 over > 10 days with non-midnight bounds (day-truncated) from the F10 rollup."""
+    d = rollup.daily(_m(spark, sf_dir).section_combined, "path")
+    return report.from_daily(d, "by_path", "path", KEYS, SITES, *_ROLLUP_RANGE)
