@@ -72,22 +72,28 @@ def session_timeseries(session: DataFrame, visitor: DataFrame) -> DataFrame:
     """hourly per (api_key, site, country): os and browser count maps,
     session count and distinct visitors, over sessions whose visitor exists.
 
-    The per-value maps are built from a pre-aggregated (key, value, n)
-    table, so no group ever collects raw rows.
+    One pass: GROUPING SETS over (keys, os), (keys, browser) and (keys)
+    computes the per-value counts and the totals together; the count maps
+    are then built from the small aggregated rows (bounded by the number of
+    distinct os / browser values), so no group ever collects raw rows.
     """
+    keys = ["api_key", "site", "ts_bin", "country_code"]
     sv = session_visitor(session, visitor).select(
         "api_key", "site", start_of_hour("ts").alias("ts_bin"), "country_code", "os",
         "browser", "parent")
-    keys = ["api_key", "site", "ts_bin", "country_code"]
-    base = sv.groupBy(*keys).agg(F.count(F.lit(1)).alias("num"),
-                                 F.count_distinct("parent").alias("uniq_visitors"))
-
-    def count_map(col: str) -> DataFrame:
-        c = sv.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("n"))
-        return c.groupBy(*keys).agg(F.map_from_entries(
+    g = sv.groupingSets([[*keys, "os"], [*keys, "browser"], keys], *keys, "os", "browser").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("parent").alias("uniq"),
+        F.grouping_id().alias("gid"))
+    # grouping_id bits (keys, os, browser): os set -> 1 (browser aggregated),
+    # browser set -> 2, totals -> 3
+    base = g.where(F.col("gid") == 3).select(*keys, F.col("n").alias("num"),
+                                             F.col("uniq").alias("uniq_visitors"))
+
+    def count_map(col: str, gid: int) -> DataFrame:
+        return g.where(F.col("gid") == gid).groupBy(*keys).agg(F.map_from_entries(
             F.array_sort(F.collect_list(F.struct(F.col(col), F.col("n"))))).alias(col))
 
-    return base.join(count_map("os"), keys).join(count_map("browser"), keys).select(
+    return base.join(count_map("os", 1), keys).join(count_map("browser", 2), keys).select(
         *keys, "os", "browser", "num", "uniq_visitors")
 
 
