@@ -25,6 +25,14 @@ class Model:
     session: DataFrame
     section: DataFrame
     click: DataFrame
+    api_key_df: DataFrame | None = None
+    rules_df: DataFrame | None = None
+    blocks: DataFrame | None = None
+    geo_mode: str = "range"
+
+    def rebuild(self, event: DataFrame) -> "Model":
+        """The same plan over another hub (e.g. the stored bronze table)."""
+        return build(event, self.api_key_df, self.rules_df, self.blocks, self.geo_mode)
 
     @property
     def section_combined(self) -> DataFrame:
@@ -46,7 +54,8 @@ def build(event: DataFrame, api_key_df: DataFrame, rules_df: DataFrame,
     session = enrich.enrich_sessions(route.sessions(event, src), rules_df, blocks, geo_mode)
     return Model(event=event, sources=src, visitor=route.visitors(event, src),
                  session=session, section=route.sections(event, src),
-                 click=route.clicks(event))
+                 click=route.clicks(event), api_key_df=api_key_df, rules_df=rules_df,
+                 blocks=blocks, geo_mode=geo_mode)
 
 
 def geo_blocks(spark: SparkSession, sf_dir: str, mode: str = "range") -> DataFrame:

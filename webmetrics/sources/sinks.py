@@ -40,7 +40,8 @@ LAYOUTS = {
     "hierarchy_event": Layout(("api_key", "site", "visitor", "session", "section")),
     "section_combined": Layout(("api_key", "site", "ts"), bloom=("city",)),
     "visitor_timeseries": Layout(("api_key", "site", "ts")),
-    "event": Layout(("api_key", "site", "event_type", "id")),
+    # bronze hub: event_type first, so each route reads only its own slice
+    "event": Layout(("api_key", "site", "id"), partition=("event_type", "event_date")),
 }
 
 
@@ -101,7 +102,12 @@ def write_model(model, root: str, mode: str = "append") -> dict[str, str]:
     """
     spark = model.event.sparkSession
     root = root.rstrip("/")
-    paths = {n: f"{root}/{n}" for n in LAYOUTS if n != "event"}
+    paths = {n: f"{root}/{n}" for n in LAYOUTS}
+    if model.rules_df is not None:
+        # bronze hub first: the raw input is read and shaped once; routing and
+        # enrichment then read the stored hub (partition-pruned by event_type)
+        write_table(model.event, paths["event"], "event", mode)
+        model = model.rebuild(read_table(spark, paths["event"]).drop("event_date"))
     for name, df in [("visitor_event", model.visitor), ("session_event", model.session),
                      ("section_event", model.section)]:
         write_table(df, paths[name], name, mode)
