@@ -134,7 +134,7 @@ def validate(requests: DataFrame, sources_df: DataFrame) -> IngestResult:
                             "reason", "status", F.posexplode_outer("events").alias("pos", "e"))
     summary = c.select("request_id", "status", "reason",
                        F.when(F.col("reason").isNull(), F.size("events")).otherwise(F.lit(0))
-                        .alias("event_count"))
+                        .cast("long").alias("event_count"))
     return IngestResult(events=events, quarantine=quarantine, summary=summary, checked=c)
 
 

@@ -246,7 +246,8 @@ rq_all AS (
          {uuid7('vms', '1', 'user_id')}, false, NULL, NULL
   FROM rq_own WHERE event_id = s_eid),
 rq_ev AS (
-  SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY event_id, sub) - 1 AS pos FROM rq_all),
+  SELECT *, CAST(row_number() OVER (PARTITION BY request_id ORDER BY event_id, sub) - 1 AS INTEGER) AS pos
+  FROM rq_all),
 rq AS (
   SELECT request_id, arg_min(user_id, pos) AS u0, arg_min(k, pos) AS k0,
          arg_min(day, pos) AS d0, min(ms) AS lo, max(ms) AS hi, count(*) AS n
