@@ -619,3 +619,61 @@ def report_by_path_rollup(spark, sf_dir):
     """G6 over > 10 days with non-midnight bounds (day-truncated) from the F10 rollup."""
     d = rollup.daily(_m(spark, sf_dir).section_combined, "path")
     return report.from_daily(d, "by_path", "path", KEYS, SITES, *_ROLLUP_RANGE)
+
+
+# ----------------------------------------------------------------- streaming runs K1, K4
+
+def _stream_source(spark, sf_dir):
+    """Request envelopes written as JSON files into the shared checkpoint folder
+    (one run folder per call), the input of the file-source streams."""
+    import uuid
+
+    from webmetrics.session import checkpoint_dir
+    from webmetrics.sources import adapter
+    run = f"{checkpoint_dir(spark).rstrip('/')}/stream-run-{uuid.uuid4().hex}"
+    adapter.requests(spark, sf_dir).repartition(8, "request_id").write.json(f"{run}/requests")
+    return run
+
+
+def _sources(spark, sf_dir):
+    from webmetrics.sources import adapter, dims
+    return dims.sources(dims.api_key_latest(adapter.api_keys(spark, sf_dir)))
+
+
+@register("stream_visitor_counts", O.with_ingest(
+    "SELECT api_key, site, epoch_ms(epoch_ms(ts) // 300000 * 300000) AS ts, count(*) AS visitors "
+    "FROM accepted WHERE event_type = 'Visitor' GROUP BY 1, 2, 3"))
+def stream_visitor_counts(spark, sf_dir):
+    """K4/K5: watermarked 5-minute visitor counts over the validated request stream
+    (file source, availableNow; complete-mode batches written to Parquet)."""
+    from webmetrics import schema as S
+    from webmetrics.streaming import fanout
+    run = _stream_source(spark, sf_dir)
+    stream = spark.readStream.schema(S.REQUEST).option("maxFilesPerTrigger", 4).json(f"{run}/requests")
+    counts = fanout.visitor_counts(fanout.validated_events(stream, _sources(spark, sf_dir)))
+    out = f"{run}/visitor_counts"
+    q = (counts.writeStream.outputMode("complete").option("checkpointLocation", f"{run}/ckpt-vc")
+         .foreachBatch(lambda df, _bid: df.write.mode("overwrite").parquet(out))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_fanout_sections", O.with_ingest(
+    "SELECT api_key, site, id, ts, parent, "
+    "coalesce(regexp_extract(location, '^[a-z]+://[^/?#]*([^?#]*)', 1), '') AS path FROM accepted "
+    "WHERE event_type = 'Section' AND parent > ''"))
+def stream_fanout_sections(spark, sf_dir):
+    """K1: the checkpointed foreachBatch fan-out; page-view table as stored."""
+    from webmetrics import schema as S
+    from webmetrics.plans.facts import geo_blocks
+    from webmetrics.sources import adapter, dims
+    from webmetrics.streaming import fanout
+    run = _stream_source(spark, sf_dir)
+    keys = fanout.Refreshing(lambda: adapter.api_keys(spark, sf_dir), fanout.KEY_TTL)
+    blocks = fanout.Refreshing(lambda: geo_blocks(spark, sf_dir), fanout.GEO_TTL)
+    stream = spark.readStream.schema(S.REQUEST).option("maxFilesPerTrigger", 4).json(f"{run}/requests")
+    q = fanout.start_fan_out(stream, f"{run}/tables", f"{run}/ckpt-fan", keys, dims.ua_rules_df(spark), blocks)
+    q.awaitTermination()
+    return fanout.read_tables(spark, f"{run}/tables", "section_event").select(
+        "api_key", "site", "id", "ts", "parent", "path")
