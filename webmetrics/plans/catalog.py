@@ -677,3 +677,11 @@ def stream_fanout_sections(spark, sf_dir):
     q.awaitTermination()
     return fanout.read_tables(spark, f"{run}/tables", "section_event").select(
         "api_key", "site", "id", "ts", "parent", "path")
+
+
+@register("visitors_hll")
+def visitors_hll(spark, sf_dir):
+    """distinct visitors per country from mergeable HLL sketches (approximate,
+    rows-only; the exact twin is report_by_country)."""
+    fact = _m(spark, sf_dir).section_combined
+    return report.by_country(fact, KEYS, SITES, distinct="hll")
