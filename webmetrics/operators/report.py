@@ -10,6 +10,8 @@ into exact ranges on the raw ``ts`` column so they reach the Parquet scan:
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,15 +37,22 @@ def _dims(df: DataFrame, name: str, filters: dict | None) -> DataFrame:
     return df
 
 
-def _range(ts: Column, lo, hi, seconds: int = 1) -> Column:
+def _range(ts: Column, lo, hi, seconds: int = 1, df: DataFrame | None = None) -> Column:
+    """``lo <= ts < hi`` after aligning both ends up to the grain. On a stored
+    table partitioned by ``event_date`` the matching date range is added, so
+    partitions outside it are pruned (a ts predicate alone cannot prune)."""
     lo, hi = to_dt(lo), to_dt(hi)
     if seconds > 1:
         lo, hi = ceil_to(lo, seconds), ceil_to(hi, seconds)
-    return (ts >= F.lit(lo)) & (ts < F.lit(hi))
+    p = (ts >= F.lit(lo)) & (ts < F.lit(hi))
+    if df is not None and "event_date" in df.columns and hi > lo:
+        last = hi - _dt.timedelta(microseconds=1)
+        p = p & (F.col("event_date") >= F.lit(lo.date())) & (F.col("event_date") <= F.lit(last.date()))
+    return p
 
 
 def time_predicate(name: str, start, end, filters: dict | None,
-                   time_mode: str = "reference") -> Column | None:
+                   time_mode: str = "reference", df: DataFrame | None = None) -> Column | None:
     """H3-H5: half-open range on raw ts, or day-truncated comparison when the
     range exceeds 10 days and no forcing dimension filter is set."""
     if start is None or end is None:
@@ -52,8 +61,8 @@ def time_predicate(name: str, start, end, filters: dict | None,
         raise ValueError(f"time_mode {time_mode!r}")
     forced = any((filters or {}).get(d) for d in S.FORCE_RAW[name])
     if time_mode == "exact" or forced or range_days(start, end) <= 10:
-        return _range(F.col("ts"), start, end)
-    return _range(F.col("ts"), start, end, GRAIN_SECONDS["day"])
+        return _range(F.col("ts"), start, end, 1, df)
+    return _range(F.col("ts"), start, end, GRAIN_SECONDS["day"], df)
 
 
 def _visitors(distinct: str) -> Column:
@@ -72,7 +81,7 @@ def _page_views() -> Column:
 
 def _filtered(fact, name, api_keys, sites, start, end, filters, time_mode) -> DataFrame:
     df = _tenant(fact, api_keys, sites)
-    p = time_predicate(name, start, end, filters, time_mode)
+    p = time_predicate(name, start, end, filters, time_mode, fact)
     if p is not None:
         df = df.where(p)
     return _dims(df, name, filters)
@@ -129,7 +138,7 @@ def timeseries(fact, api_keys, sites, start=None, end=None, filters=None,
     g = GRAIN_SECONDS[granularity(start, end, 10)]
     df = _tenant(fact, api_keys, sites)
     if start is not None and end is not None:
-        df = df.where(_range(F.col("ts"), start, end, g))
+        df = df.where(_range(F.col("ts"), start, end, g, fact))
     df = _dims(df, "timeseries", filters)
     return df.groupBy(bucket("ts", g).alias("time")).agg(_page_views(), _visitors(distinct))
 
@@ -142,7 +151,7 @@ def visitor_timeseries(vts: DataFrame, api_keys, sites, start, end,
     if start is None or end is None:
         raise ValueError("visitor_timeseries needs start and end")
     g = GRAIN_SECONDS[granularity(start, end, 30)]
-    df = _tenant(vts, api_keys, sites).where(_range(F.col("ts"), start, end, g))
+    df = _tenant(vts, api_keys, sites).where(_range(F.col("ts"), start, end, g, vts))
     keys = [] if merge_tenants else ["api_key", "site"]
     return (df.groupBy(*keys, bucket("ts", g).alias("ts"))
               .agg(F.sum("visitors").cast("long").alias("visitors")))
