@@ -16,6 +16,12 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Broadcast only behind a proven bound: no planning-time broadcast from
+    # *estimated* statistics (they under-count e.g. after explode). Joins are
+    # broadcast by the explicit bounded checks (plans/strategy.py) or by AQE
+    # from the *measured* size of a finished shuffle stage.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
