@@ -131,7 +131,10 @@ def user_agents(df: DataFrame, rules_df: DataFrame, ua_col: str = "user_agent")
     key = F.coalesce(F.col(ua_col), F.lit(""))
     keyed = df.withColumn("_ua", key)
     parsed = parse_user_agent(keyed.select("_ua").distinct(), rules, "_ua")
-    return keyed.join(parsed, "_ua", "left").drop("_ua")
+    # Distinct agents are few next to sessions; broadcasting the parsed table
+    # (when proven <= DIM_MAX_ROWS) avoids shuffling every session by agent
+    # text, where popular agents would make one partition hot.
+    return keyed.join(checked_broadcast(parsed), "_ua", "left").drop("_ua")
 
 
 def ua_preview(session: DataFrame, n: int = 20) -> DataFrame:
