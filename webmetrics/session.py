@@ -25,10 +25,29 @@ SESSION_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing session."""
+# Partition sizing for cluster runs (applied only where the cluster has not
+# set its own value): many initial shuffle partitions that AQE coalesces to
+# ~256 MB tasks, so a 100 TB shuffle does not spill from oversized tasks and
+# a small one does not run thousands of empty tasks.
+SCALE_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
+def configure(spark: SparkSession, scale: bool = False) -> SparkSession:
+    """Apply the runtime SQL settings to an existing session.
+
+    ``scale=True`` also applies SCALE_CONF for keys the session leaves unset.
+    """
     for k, v in SESSION_CONF.items():
         spark.conf.set(k, v)
+    if scale:
+        for k, v in SCALE_CONF.items():
+            if spark.conf.get(k, None) in (None, ""):
+                spark.conf.set(k, v)
     return spark
 
 
@@ -53,7 +72,7 @@ def get_spark(master: str | None = None, app: str = "webmetrics",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return configure(spark)
+    return configure(spark, scale=master is None)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
