@@ -45,8 +45,9 @@ def configure(spark: SparkSession, scale: bool = False) -> SparkSession:
     for k, v in SESSION_CONF.items():
         spark.conf.set(k, v)
     if scale:
+        launched = spark.sparkContext.getConf()
         for k, v in SCALE_CONF.items():
-            if spark.conf.get(k, None) in (None, ""):
+            if not launched.contains(k):  # keep what the cluster launch set
                 spark.conf.set(k, v)
     return spark
 
