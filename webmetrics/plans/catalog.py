@@ -401,9 +401,9 @@ def _blocks(spark, sf_dir, mode="range"):
     return geo_blocks(spark, sf_dir, mode)
 
 
-@register("range_to_cidr", O.with_model(", " + O.CIDR_CTES.strip() + "\n" +
+@register("range_to_cidr", O.with_model(
     f"SELECT {O.ip_text('s')} AS ip_range_start, {O.ip_text('e')} AS ip_range_end, "
-    f"{O.ip_text('net')} || '/' || plen AS cidr, net, plen FROM cidr2").replace("\n, ", ",\n", 1))
+    f"{O.ip_text('net')} || '/' || plen AS cidr, net, plen FROM cidr2", O.CIDR_CTES))
 def range_to_cidr(spark, sf_dir):
     """Covering block of each range by the reference's xor/log2 rule (Q4 kept)."""
     from webmetrics.functions.net import ipv4_to_long, range_to_cidr as r2c
@@ -425,15 +425,15 @@ def iso_left_join(spark, sf_dir):
                     "country_code", "state", "city")
 
 
-@register("geo_ip_cidr", O.with_model(", " + O.CIDR_CTES.strip() + ",\n" + """
+@register("geo_ip_cidr", O.with_model("""
+SELECT DISTINCT r.ipv4, coalesce(g2.country_code, 'unknown') AS country_code,
+       coalesce(g2.state, 'unknown') AS state, coalesce(g2.city, 'unknown') AS city
+FROM session_raw r LEFT JOIN g2 ON r.ip = g2.ip""", O.CIDR_CTES.strip() + """,
 cb AS (SELECT c.net AS cs, c.net + (1::BIGINT << c.bits) - 1 AS ce, c.plen, b.country_code, b.state, b.city
        FROM cidr2 c JOIN blocks b ON c.s = b.s AND c.e = b.e),
 g2 AS (SELECT ip, country_code, state, city FROM (
          SELECT ips.ip, cb.*, row_number() OVER (PARTITION BY ips.ip ORDER BY cb.plen DESC) AS rn
-         FROM (SELECT DISTINCT ip FROM session_raw) ips JOIN cb ON ips.ip BETWEEN cb.cs AND cb.ce) WHERE rn = 1)
-SELECT DISTINCT r.ipv4, coalesce(g2.country_code, 'unknown') AS country_code,
-       coalesce(g2.state, 'unknown') AS state, coalesce(g2.city, 'unknown') AS city
-FROM session_raw r LEFT JOIN g2 ON r.ip = g2.ip""").replace("\n, ", ",\n", 1))
+         FROM (SELECT DISTINCT ip FROM session_raw) ips JOIN cb ON ips.ip BETWEEN cb.cs AND cb.ce) WHERE rn = 1)"""))
 def geo_ip_cidr(spark, sf_dir):
     """D6 (mode='cidr'): longest-prefix match as an equi join on (plen, net)."""
     from webmetrics.operators import enrich, route

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 
 from webmetrics import schema as S
-from webmetrics.operators.enrich import KIND_ATTRS, KIND_DEFAULTS
+from webmetrics.operators.enrich import KIND_DEFAULTS
 from webmetrics.sources.catalogue import UA_RULES, USER_AGENTS
 
 _GROUP = re.compile(r"\$(\d)")
@@ -66,7 +66,6 @@ def ua_columns(ua: str) -> str:
 
 
 _UA_LIST = "list_value(" + ", ".join(q(u) for u in USER_AGENTS) + ")"
-_ = KIND_ATTRS
 
 # Common table expressions of the whole model over the driver tables.
 MODEL_CTES = f"""
@@ -154,8 +153,10 @@ vts AS (
 """
 
 
-def with_model(select: str) -> str:
-    return "WITH " + MODEL_CTES.strip() + "\n" + select
+def with_model(select: str, ctes: str = "") -> str:
+    """Model CTEs (+ extra CTE text starting with its name) followed by ``select``."""
+    extra = (",\n" + ctes.strip()) if ctes else ""
+    return "WITH " + MODEL_CTES.strip() + extra + "\n" + select
 
 
 def in_list(vals) -> str:
