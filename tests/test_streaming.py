@@ -134,3 +134,14 @@ def test_retention(spark, tmp_path):
     assert left.where(F.col("event_date") <= F.lit(dt.date(2024, 1, 12))).count() == 0
     assert sinks.retained(left, as_of).count() == n_kept
     assert enrich is not None
+
+
+def test_bucketed_join_has_no_shuffle(spark, tmp_path):
+    m = facts.driver_model(spark, SF_SMALL)
+    sinks.write_bucketed(m.session, "session_event", "t_ses_b", 8, str(tmp_path / "ses"))
+    sinks.write_bucketed(m.section, "section_event", "t_sec_b", 8, str(tmp_path / "sec"))
+    j = rollup.section_combined(spark.table("t_sec_b"), spark.table("t_ses_b"))
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    fc = list(rollup.FACT_COLS)
+    assert rows(j, fc) == rows(m.section_combined, fc)
