@@ -109,3 +109,15 @@ def test_rollup_answers_equal_fact(fact):
     assert r.visitors == 3 and r.page_views == 4
     with pytest.raises(ValueError):  # a filter on another dimension needs the fact
         report.from_daily(d, "by_os", "os", ["k"], ["s"], filters={"path": ["/a"]})
+
+
+def test_answer_dispatch(fact):
+    from webmetrics.operators import rollup
+    rolls = {"os": rollup.daily(fact, "os"), "country_code": rollup.daily(fact, "country_code", sketch=True)}
+    a = report.answer("by_os", fact, ["k"], ["s"], rollups=rolls)
+    assert pv(a, "os") == pv(report.by_os(fact, ["k"], ["s"]), "os")
+    # a filter on another dimension falls back to the fact
+    b = report.answer("by_os", fact, ["k"], ["s"], filters={"path": ["/a"]}, rollups=rolls)
+    assert pv(b, "os") == {"Linux": 1, "iOS": 1}
+    c = report.answer("by_country", fact, ["k"], ["s"], distinct="hll", rollups=rolls)
+    assert {r.country_code: r.visitors for r in c.collect()} == {"NAA": 2, "NAB": 1}

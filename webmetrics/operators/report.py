@@ -201,3 +201,26 @@ def from_daily(daily: DataFrame, name: str, dim: str | None, api_keys, sites, st
     if with_visitors:
         aggs.append(F.hll_sketch_estimate(F.hll_union_agg("visitors_sketch")).alias("visitors"))
     return df.groupBy(dim).agg(*aggs) if dim else df.agg(*aggs)
+
+
+DIM_OF = {"by_country": "country_code", "by_browser": "browser", "by_os": "os", "by_path": "path",
+          "by_city": "city", "total_visitors": None}
+
+
+def answer(name: str, fact: DataFrame, api_keys, sites, start=None, end=None,
+           filters: dict | None = None, time_mode: str = "reference", distinct: str = "exact",
+           rollups: dict | None = None) -> DataFrame:
+    """One entry point for G1 and G3-G7 (``use_rollup``): answer from a daily
+    rollup of the report's dimension when one is given and can answer
+    (:func:`rollup_applies`; distinct visitors only as HLL), else scan the fact."""
+    dim = DIM_OF[name]
+    with_visitors = name in ("by_country", "total_visitors")
+    daily = (rollups or {}).get(dim or "total")
+    if (daily is not None and rollup_applies(name, dim, start, end, filters, time_mode)
+            and (not with_visitors or (distinct == "hll" and "visitors_sketch" in daily.columns))):
+        out = from_daily(daily, name, dim, api_keys, sites, start, end, filters, time_mode, with_visitors)
+        return out.drop("page_views") if name == "total_visitors" else out
+    fn = REPORTS[name]
+    if with_visitors:
+        return fn(fact, api_keys, sites, start, end, filters, time_mode, distinct)
+    return fn(fact, api_keys, sites, start, end, filters, time_mode)
