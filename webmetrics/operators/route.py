@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from webmetrics.functions.ids import is_uuid, uuid_norm
 from webmetrics.functions.url import url_part
 from webmetrics.plans.strategy import checked_broadcast
 
@@ -36,9 +37,12 @@ def visitors(event: DataFrame, sources_df: DataFrame) -> DataFrame:
 
 
 def _with_parent(df: DataFrame) -> DataFrame:
-    # Parent > '' (NULL fails too); D13: canonical lower-case text.
-    return (df.where(_attr("parent") > "")
-              .withColumn("parent", F.lower(F.trim(_attr("parent")))))
+    # Parent > '' (NULL fails too); D13: the parent must parse as a
+    # UUID (the reference's cast would reject the row) and is stored in
+    # canonical lower-case hyphenated form.
+    p = F.trim(_attr("parent"))
+    return (df.where((_attr("parent") > "") & is_uuid(p))
+              .withColumn("parent", uuid_norm(p)))
 
 
 def sessions(event: DataFrame, sources_df: DataFrame) -> DataFrame:
