@@ -120,7 +120,8 @@ def parse_user_agent(df: DataFrame, rules: list[tuple], ua_col: str = "user_agen
 UA_COLS = ("device_brand", "device_model", "os", "os_version", "browser", "browser_version")
 
 
-def user_agents(df: DataFrame, rules_df: DataFrame, ua_col: str = "user_agent") -> DataFrame:
+def user_agents(df: DataFrame, rules_df: DataFrame, ua_col: str = "user_agent",
+                distinct_first: bool = True) -> DataFrame:
     """Distinct-first UA enrichment: parse each distinct agent once, join back.
 
     The parsed table is as large as the number of distinct agents; the join
@@ -130,6 +131,8 @@ def user_agents(df: DataFrame, rules_df: DataFrame, ua_col: str = "user_agent")
     rules = load_rules(rules_df)
     key = F.coalesce(F.col(ua_col), F.lit(""))
     keyed = df.withColumn("_ua", key)
+    if not distinct_first:  # row-wise: every row runs the rule chain (bench comparison)
+        return parse_user_agent(keyed, rules, "_ua").drop("_ua")
     parsed = parse_user_agent(keyed.select("_ua").distinct(), rules, "_ua")
     # Distinct agents are few next to sessions; broadcasting the parsed table
     # (when proven <= DIM_MAX_ROWS) avoids shuffling every session by agent
