@@ -17,6 +17,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 import time
 from collections.abc import Callable
 
@@ -50,9 +51,13 @@ def _batch_path(root: str, table: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/{table}/batch={batch_id}"
 
 
-def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return sinks.read_table(spark, f"{root.rstrip('/')}/{table}", table, ("batch",)).drop(
-        "batch", "event_date")
+def _stored(spark: SparkSession, root: str, table: str, since=None) -> DataFrame:
+    """All stored batches of ``table``; with ``since`` (a date) only the
+    event_date partitions from that day on are read (partition pruning)."""
+    df = sinks.read_table(spark, f"{root.rstrip('/')}/{table}", table, ("batch",))
+    if since is not None:
+        df = df.where(F.col("event_date") >= F.lit(since))
+    return df.drop("batch", "event_date")
 
 
 def _this_batch(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame:
@@ -60,8 +65,15 @@ def _this_batch(spark: SparkSession, root: str, table: str, batch_id: int) -> Da
 
 
 def fan_out_batch(batch: DataFrame, batch_id: int, root: str, api_keys: Refreshing,
-                  rules: DataFrame, blocks: Refreshing, geo_mode: str = "range") -> None:
-    """One micro-batch of request rows -> all tables."""
+                  rules: DataFrame, blocks: Refreshing, geo_mode: str = "range",
+                  lookback_days: int | None = 7) -> None:
+    """One micro-batch of request rows -> all tables.
+
+    Page views join sessions stored so far, read only from ``lookback_days``
+    before the batch's first page-view day (a session starts before its page
+    views; raw page views are kept one week), so the per-batch join does not
+    grow with the whole history. ``lookback_days=None`` reads all sessions.
+    """
     spark = batch.sparkSession
     src = dims.sources(dims.api_key_latest(api_keys.get()))
     res = ingest.validate(batch, src)
@@ -76,7 +88,12 @@ def fan_out_batch(batch: DataFrame, batch_id: int, root: str, api_keys: Refreshi
         res.summary.write.mode("overwrite").parquet(_batch_path(root, "request_summary", batch_id))
         # K2/K3 parity: join with what is stored, this batch included
         sec = _this_batch(spark, root, "section_event", batch_id)
-        ses_all = _stored(spark, root, "session_event")
+        since = None
+        if lookback_days is not None:
+            first = sec.agg(F.min(F.to_date("ts")).alias("d")).first().d  # one scalar
+            if first is not None:
+                since = first - _dt.timedelta(days=lookback_days)
+        ses_all = _stored(spark, root, "session_event", since)
         vis_all = _stored(spark, root, "visitor_event")
         vis = _this_batch(spark, root, "visitor_event", batch_id)
         sinks.write_table(rollup.section_combined(sec, ses_all),
@@ -91,10 +108,11 @@ def fan_out_batch(batch: DataFrame, batch_id: int, root: str, api_keys: Refreshi
 
 def start_fan_out(requests_stream: DataFrame, root: str, checkpoint: str, api_keys: Refreshing,
                   rules: DataFrame, blocks: Refreshing, trigger: dict | None = None,
-                  geo_mode: str = "range"):
+                  geo_mode: str = "range", lookback_days: int | None = 7):
     """K1: start the checkpointed fan-out query; returns the StreamingQuery."""
     w = (requests_stream.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: fan_out_batch(df, bid, root, api_keys, rules, blocks, geo_mode)))
+         .foreachBatch(lambda df, bid: fan_out_batch(df, bid, root, api_keys, rules, blocks, geo_mode,
+                                                     lookback_days)))
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
 
