@@ -62,3 +62,19 @@ def test_daily_and_session_timeseries(spark):
     assert (t.page_views, t.visitors) == (2, 2)
     st = rollup.session_timeseries(ses, vis).collect()
     assert len(st) == 1 and dict(st[0].os) == {"Linux": 1} and st[0].uniq_visitors == 1
+
+
+def test_hierarchy_ids_exist_on_driver_data(spark):
+    from webmetrics.plans.facts import driver_model
+
+    from .conftest import SF_SMALL
+    m = driver_model(spark, SF_SMALL)
+    h = m.hierarchy
+    assert h.count() > 0
+    for col, table in [("visitor", m.visitor), ("session", m.session), ("section", m.section)]:
+        ids = table.select("api_key", "site", F.col("id").alias(col))
+        assert h.join(ids, ["api_key", "site", col], "left_anti").count() == 0, col
+    # every fact row is a page view whose session exists; visitors <= page views per bucket
+    f = m.section_combined
+    assert f.count() == m.section.join(
+        m.session.select("api_key", "site", F.col("id").alias("parent")), ["api_key", "site", "parent"]).count()
