@@ -17,14 +17,15 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webmetrics.functions.ids import uuid7_ts
 from webmetrics.operators import enrich, ingest, rollup, route
+from webmetrics.plans.strategy import is_bounded
 from webmetrics.sources import dims, sinks
 
 KEY_TTL = 60.0      # seconds, key dictionary lifetime
@@ -51,28 +52,41 @@ def _batch_path(root: str, table: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/{table}/batch={batch_id}"
 
 
-def _stored(spark: SparkSession, root: str, table: str, since=None) -> DataFrame:
-    """All stored batches of ``table``; with ``since`` (a date) only the
-    event_date partitions from that day on are read (partition pruning)."""
+def _stored(spark: SparkSession, root: str, table: str, dates=None) -> DataFrame:
+    """All stored batches of ``table``; with ``dates`` only those event_date
+    partitions are read (partition pruning)."""
     df = sinks.read_table(spark, f"{root.rstrip('/')}/{table}", table, ("batch",))
-    if since is not None:
-        df = df.where(F.col("event_date") >= F.lit(since))
+    if dates is not None:
+        df = df.where(F.col("event_date").isin(list(dates)))
     return df.drop("batch", "event_date")
 
 
+MAX_PRUNE_DATES = 10_000
+
+
+def _id_dates(df: DataFrame, col: str):
+    """Distinct days encoded in the UUIDv7 ids of ``col``: the only event_date
+    partitions that can hold those rows (a stored row's date is its id's date).
+    None when there are too many days to list (then nothing is pruned)."""
+    d = (df.select(F.to_date(uuid7_ts(F.col(col))).alias("d")).where(F.col("d").isNotNull())
+           .distinct())
+    if not is_bounded(d, MAX_PRUNE_DATES):
+        return None
+    return [r.d for r in d.collect()]
+
+
 def _this_batch(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame:
     return sinks.read_table(spark, _batch_path(root, table, batch_id), table).drop("event_date")
 
 
 def fan_out_batch(batch: DataFrame, batch_id: int, root: str, api_keys: Refreshing,
-                  rules: DataFrame, blocks: Refreshing, geo_mode: str = "range",
-                  lookback_days: int | None = 7) -> None:
+                  rules: DataFrame, blocks: Refreshing, geo_mode: str = "range") -> None:
     """One micro-batch of request rows -> all tables.
 
-    Page views join sessions stored so far, read only from ``lookback_days``
-    before the batch's first page-view day (a session starts before its page
-    views; raw page views are kept one week), so the per-batch join does not
-    grow with the whole history. ``lookback_days=None`` reads all sessions.
+    Page views join the sessions stored so far, and sessions their visitors.
+    Only the event_date partitions named by the parent ids' UUIDv7 times are
+    read, so the result equals a join with the whole history while the scan
+    stays proportional to the days the batch refers to.
     """
     spark = batch.sparkSession
     src = dims.sources(dims.api_key_latest(api_keys.get()))
@@ -88,13 +102,10 @@ def fan_out_batch(batch: DataFrame, batch_id: int, root: str, api_keys: Refreshi
         res.summary.write.mode("overwrite").parquet(_batch_path(root, "request_summary", batch_id))
         # K2/K3 parity: join with what is stored, this batch included
         sec = _this_batch(spark, root, "section_event", batch_id)
-        since = None
-        if lookback_days is not None:
-            first = sec.agg(F.min(F.to_date("ts")).alias("d")).first().d  # one scalar
-            if first is not None:
-                since = first - _dt.timedelta(days=lookback_days)
-        ses_all = _stored(spark, root, "session_event", since)
-        vis_all = _stored(spark, root, "visitor_event")
+        ses_all = _stored(spark, root, "session_event", _id_dates(sec, "parent"))
+        wanted = sec.select("api_key", "site", F.col("parent").alias("id")).distinct()
+        ses_used = ses_all.join(wanted, ["api_key", "site", "id"], "left_semi")
+        vis_all = _stored(spark, root, "visitor_event", _id_dates(ses_used, "parent"))
         vis = _this_batch(spark, root, "visitor_event", batch_id)
         sinks.write_table(rollup.section_combined(sec, ses_all),
                           _batch_path(root, "section_combined", batch_id), "section_combined", "overwrite")
@@ -108,11 +119,10 @@ def fan_out_batch(batch: DataFrame, batch_id: int, root: str, api_keys: Refreshi
 
 def start_fan_out(requests_stream: DataFrame, root: str, checkpoint: str, api_keys: Refreshing,
                   rules: DataFrame, blocks: Refreshing, trigger: dict | None = None,
-                  geo_mode: str = "range", lookback_days: int | None = 7):
+                  geo_mode: str = "range"):
     """K1: start the checkpointed fan-out query; returns the StreamingQuery."""
     w = (requests_stream.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: fan_out_batch(df, bid, root, api_keys, rules, blocks, geo_mode,
-                                                     lookback_days)))
+         .foreachBatch(lambda df, bid: fan_out_batch(df, bid, root, api_keys, rules, blocks, geo_mode)))
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
 
