@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from webmetrics import schema as S
 from webmetrics.functions.net import host_mask, ipv4_to_long, range_to_cidr, shl
-from webmetrics.plans.strategy import CHECK_TTL_SECONDS, checked_broadcast, is_bounded
+from webmetrics.plans.strategy import CHECK_TTL_SECONDS, DIM_MAX_ROWS, checked_broadcast, is_bounded
 
 MAX_RULES = 5000
 _RULES: dict = {}
@@ -213,6 +213,11 @@ def geo_ip(df: DataFrame, blocks: DataFrame, ip_col: str = "ipv4", mode: str = "
     ips = keyed.select("_ipkey").distinct().select(
         "_ipkey", F.coalesce(ipv4_to_long(F.col("_ipkey")), F.lit(0).cast("long")).alias("_ip"))
     found = _lookup_prefix(ips, blocks) if mode == "cidr" else _lookup_range(ips, blocks)
+    # the resolved table has at most one row per distinct address: broadcast
+    # it when the distinct count is proven bounded (no shuffle of sessions by
+    # address, where a hot address would skew), else a skew-aware shuffle join
+    if is_bounded(ips, DIM_MAX_ROWS):
+        found = F.broadcast(found)
     out = keyed.join(found, "_ipkey", "left")
     cols = [c for c in df.columns if c not in ("country_code", "state", "city")]
     return out.select(
