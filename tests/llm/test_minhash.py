@@ -91,3 +91,18 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     assert sorted((tuple(r) for r in got), key=repr) == sorted(
         [(None, 4, None, True), (4, 4, None, False), (4, 4, None, False), (5, 0, 5, True), (6, 0, 6, True)], key=repr)
     assert minhash.near_duplicates(frame(spark, []).limit(0)).count() == 0
+
+
+def test_large_group_of_unlinked_and_linked_copies(spark):
+    """Copies edited on their own, many not linked to the original or each other."""
+    import random
+    r = random.Random(8)
+    words = [f"w{r.randrange(500)}" for _ in range(140)]
+    rows = [(900, " ".join(words))]
+    for i in range(220):
+        w = list(words)
+        for _ in range(r.choice((2, 4, 6, 7))):
+            w[r.randrange(140)] = r.choice(("is", "it", "of", f"u{i}"))
+        rows.append((i, " ".join(w)))
+    got = sorted(tuple(x) for x in minhash.near_duplicates(frame(spark, rows)).collect())
+    assert got == brute(rows) and len({x[2] for x in got}) > 5

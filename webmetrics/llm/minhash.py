@@ -13,12 +13,18 @@ of four with probability (1 - 0.75^4)^48 = 1.2e-8.
 Whole groups are handled without emitting their pairs:
 
 * Documents with equal sets form one class; only its smallest id goes on.
-* First, each class is compared with the smallest id that shares a band with it. Pairs
-  are confirmed on the full sets, components are formed.
-* Then only bands that still hold different components are left. Pairs of classes from
-  different components that share two of them or more (fewer happens to a pair of
-  similarity 0.75 with probability 2.7e-7) and whose sizes allow the similarity are
-  confirmed too. Every other pair is already connected or dissimilar.
+* First, each class is compared with one other: of all classes that share a band with it,
+  that with the most band mates (an original has more of them than its edited copies).
+  Pairs are confirmed on the full sets, components are formed.
+* Then only bands that still hold different components are left. Of their pairs those go
+  on that can be links: with e(x) the shingles of x that any other class left has too,
+  |x & y| <= min(e(x), e(y)), so a link needs 7 min(e(x), e(y)) >= 3 (|x| + |y|), which
+  drops classes edited on their own for good. The others compare, inside the join, finer
+  sketches of one bit in 2048 bins; 4.5 standard deviations of slack lose a pair of
+  similarity 0.75 with probability 3e-6. A pair is emitted once, for its first shared
+  band, and confirmed on the full sets.
+
+Every other pair is already connected or no link.
 
 Full sets are read again for the ids in question only.
 
@@ -41,7 +47,8 @@ from webmetrics.llm.frames import mapped, narrowed
 from webmetrics.llm.words import SPACES, Texts, Words, mix
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
-NONE = np.iinfo(np.int64).min
+NONE = np.iinfo(np.int64).min + 1     # has a negative
+FINE = 2048
 
 
 def shingles(t: Texts, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,9 +123,7 @@ def sets(docs: DataFrame, ids: DataFrame, ident: str, text: str, k: int) -> Data
         return {"n": pa.array(np.diff(off), pa.int64()),
                 "body": pa.array([h[a:b].tobytes() for a, b in zip(off[:-1], off[1:], strict=True)], pa.binary())}
 
-    flat = narrowed(docs, ident, text)
-    flat = flat.withColumn("id", F.coalesce(F.col("id").cast("long"), F.lit(int(NONE)))).join(ids, "id", "left_semi")
-    return mapped(flat, run, "n long, body binary", "id")
+    return mapped(_of(docs, ids, ident, text), run, "n long, body binary", "id")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, ident: str, text: str, k: int, percent: int) -> DataFrame:
@@ -159,18 +164,26 @@ def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     keyed = (every.join(reps, "id").where("s1 = t1 and s2 = t2")
              .select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")))
     keyed = written(_shared(keyed), "bands")
-    star = keyed.groupBy("id").agg(F.min("least").alias("a")).where("a < id").select("a", F.col("id").alias("b"))
+    star = _leaders(keyed)
     links = confirmed(star, docs, ident, text, k, percent)
     comp = written(components(links), "components")
 
     left = keyed.join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
-    mixed = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    left = written(left.join(mixed, "key", "left_semi"), "left")
+    left = written(_mixed(left), "left")
+    fine = written(one_each(_fine(docs, left.select("id").distinct(), ident, text, k), ("n", "bits")), "fine")
+    lone = (fine.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("c"))
+            .where("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("lone")))
+    able = fine.select("id", "bits", "n").join(lone, "id", "left").select("id", "bits", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("e"))
+    bands_of = every.select("id", "bands").join(reps.select("id"), "id", "left_semi")
+    able = written(one_each(able.join(bands_of, "id"), ("bands",)), "able")
+    left = left.join(able, "id").where(f"100 * e >= {percent} * n")
     x, y = left.alias("x"), left.alias("y")
-    size = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
-    rest = x.join(y, F.expr(f"x.key = y.key and x.component < y.component and {size}"))
-    rest = (rest.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count(F.lit(1)).alias("c")).where("c >= 2"))
-    more = confirmed(rest, docs, ident, text, k, percent)
+    # |x & y| >= percent (|x| + |y|) / (100 + percent) for links
+    enough = f"{100 + percent} * least(x.e, y.e) >= {percent} * (x.n + y.n)"
+    same = "aggregate(zip_with(x.bits, y.bits, (a, b) -> bit_count(a ^ b)), 0, (s, c) -> s + c)"
+    once = "x.key = element_at(array_intersect(x.bands, y.bands), 1)"
+    rest = x.join(y, F.expr(f"x.key = y.key and x.component < y.component and {enough} and {same} <= {_differ(percent)} and {once}"))
+    more = confirmed(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), docs, ident, text, k, percent)
     comp = written(components(links.unionByName(more)), "components")
 
     member = unique.join(classes.select("s1", "s2", "n_shingles", "rep"), ["s1", "s2", "n_shingles"], "left")
@@ -185,9 +198,49 @@ def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text",
 
 
 def _shared(keyed: DataFrame) -> DataFrame:
-    """Rows of keys that two ids or more share, with the key's smallest id."""
-    least = keyed.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    return keyed.join(least.drop("most"), "key")
+    """Rows of keys that two ids or more share."""
+    keys = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
+    return keyed.join(keys, "key", "left_semi")
+
+
+def _leaders(keyed: DataFrame) -> DataFrame:
+    """(a, b): each id b with the id a that, of its band mates, has the most band mates."""
+    size = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    mates = keyed.select("key", "id").join(size, "key").groupBy("id").agg(F.sum("c").alias("mates"))
+    lead = F.max(F.struct("mates", (-F.col("id")).alias("o"))).alias("lead")
+    rows = keyed.select("key", "id").join(mates, "id")
+    best = rows.join(rows.groupBy("key").agg(lead), "key").groupBy("id").agg(F.max("lead").alias("lead"))
+    return best.select((-F.col("lead.o")).alias("a"), F.col("id").alias("b")).where("a <> b")
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows of keys that hold more than one component."""
+    keys = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    return rows.join(keys, "key", "left_semi")
+
+
+def _fine(docs: DataFrame, ids: DataFrame, ident: str, text: str, k: int) -> DataFrame:
+    """(id, n, shingles, bits): full sets and one-bit sketches of the wanted ids."""
+    def run(batch):
+        h, off = shingles(Texts(batch.column("text")), k)
+        bits = np.packbits((mix(sketches(h, off, FINE)) & np.uint64(1)).astype(bool), axis=1).view(np.int64)
+        lists = lambda o, v: pa.ListArray.from_arrays(pa.array(o, pa.int32()), pa.array(v, pa.int64()))
+        return {"n": pa.array(np.diff(off), pa.int64()), "shingles": lists(off, h.view(np.int64)),
+                "bits": lists(np.arange(len(off)) * bits.shape[1], bits.ravel())}
+
+    return mapped(_of(docs, ids, ident, text), run, "n long, shingles array<long>, bits array<long>", "id")
+
+
+def _differ(percent: int) -> int:
+    """Bits that a link's fine sketches differ in at most (4.5 standard deviations)."""
+    p = (1 - percent / 100) / 2
+    return int(FINE * p + 4.5 * (FINE * p * (1 - p)) ** 0.5)
+
+
+def _of(docs: DataFrame, ids: DataFrame, ident: str, text: str) -> DataFrame:
+    """id and text of the wanted ids; a null id is NONE."""
+    flat = narrowed(docs, ident, text)
+    return flat.withColumn("id", F.coalesce(F.col("id").cast("long"), F.lit(int(NONE)))).join(ids, "id", "left_semi")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
