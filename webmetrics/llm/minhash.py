@@ -15,8 +15,8 @@ Whole groups are handled without emitting their pairs:
 * Documents with equal sets form one class; only its smallest id goes on.
 * First, each class is compared with one other: of all classes that share a band with it,
   that with the most band mates (an original has more of them than its edited copies).
-  Pairs are confirmed on the full sets, components are formed.
-* Then only bands that still hold different components are left. Of their pairs those go
+  Pairs are confirmed on the full sets; classes with one leader are connected.
+* Then only bands that still hold classes with different leaders are left. Of their pairs those go
   on that can be links: with e(x) the shingles of x that any other class left has too,
   |x & y| <= min(e(x), e(y)), so a link needs 7 min(e(x), e(y)) >= 3 (|x| + |y|), which
   drops classes edited on their own for good. The others compare, inside the join, finer
@@ -166,9 +166,11 @@ def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     keyed = written(_shared(keyed), "bands")
     star = _leaders(keyed)
     links = confirmed(star, docs, ident, text, k, percent)
-    comp = written(components(links), "components")
+    # a class's leader, or its leader's: leaders have more mates than those they lead
+    lead = links.select(F.col("b").alias("id"), "a").join(links.select(F.col("b").alias("a"), F.col("a").alias("aa")), "a", "left")
+    lead = lead.select("id", F.coalesce("aa", "a").alias("lead"))
 
-    left = keyed.join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+    left = keyed.join(lead, "id", "left").select("key", "id", "n", F.coalesce("lead", "id").alias("lead"))
     left = written(_mixed(left), "left")
     fine = written(one_each(_fine(docs, left.select("id").distinct(), ident, text, k), ("n", "bits")), "fine")
     lone = (fine.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("c"))
@@ -182,7 +184,7 @@ def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     enough = f"{100 + percent} * least(x.e, y.e) >= {percent} * (x.n + y.n)"
     same = "aggregate(zip_with(x.bits, y.bits, (a, b) -> bit_count(a ^ b)), 0, (s, c) -> s + c)"
     once = "x.key = element_at(array_intersect(x.bands, y.bands), 1)"
-    rest = x.join(y, F.expr(f"x.key = y.key and x.component < y.component and {enough} and {same} <= {_differ(percent)} and {once}"))
+    rest = x.join(y, F.expr(f"x.key = y.key and x.lead < y.lead and {enough} and {same} <= {_differ(percent)} and {once}"))
     more = confirmed(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), docs, ident, text, k, percent)
     comp = written(components(links.unionByName(more)), "components")
 
@@ -214,8 +216,8 @@ def _leaders(keyed: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows of keys that hold more than one component."""
-    keys = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    """Rows of keys whose classes have different leaders."""
+    keys = rows.groupBy("key").agg(F.min("lead").alias("lo"), F.max("lead").alias("hi")).where("lo < hi").select("key")
     return rows.join(keys, "key", "left_semi")
 
 
