@@ -125,6 +125,7 @@ def _packed(held: list[pa.RecordBatch], block: int) -> pa.RecordBatch:
 def _blocks(batches):
     for batch in batches:
         for i in range(batch.num_rows):
+            pa.default_memory_pool().release_unused()
             docs = pa.ipc.open_stream(batch.column("docs")[i].as_buffer()).read_all().combine_chunks()
             got: dict[int, dict[int, bytes]] = {}
             if "answers" in batch.schema.names:

@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
+#: Bytes of an Arrow batch on its way to a task's Python, which holds it whole.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def ship(spark: SparkSession) -> None:
-    """Gives the executors' Python this package, once per application."""
+    """Gives the executors' Python this package, once per application, and bounds its batches."""
+    spark.conf.set(*BATCH)
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
@@ -55,6 +58,7 @@ def mapped(flat: DataFrame, fn, extra: str, ident: str, carry=(), text: str = "t
         from webmetrics.llm.words import slices
         for batch in batches:
             for piece in slices(batch, "text"):
+                pa.default_memory_pool().release_unused()
                 yield pa.RecordBatch.from_pydict({n: piece.column(n) for n in names} | fn(piece))
 
     out = flat.mapInArrow(run, ", ".join([*kinds, extra]))
