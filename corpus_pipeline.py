@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from webmetrics.llm import decontaminate, minhash, mixing, quality, window_dedup
 from webmetrics.llm.blocks import scratch, step, written
+from webmetrics.session import configure
 
 ID, TEXT, CHARS = "doc_id", "text", "n_chars"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
+    configure(spark)
     inner, names = _renamed(docs, ID)
     judged = quality.judged(inner, ID, names[TEXT], names["lang"], carry=list(names.values()))
     return _restored(docs, judged.where("kept"), names)
@@ -25,6 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: that with the smallest id."""
+    configure(spark)
     found = written(minhash.near_duplicates(docs, ID, TEXT).select(F.col(ID).alias("i"), "kept"), "near")
     stay = found.groupBy("i").agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("kept")
     one, many = [stay.where(c).select(F.col("i").alias("~id")) for c in ("n = 1", "n > 1")]
@@ -36,6 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in windows that an earlier document has go; a document left without words goes."""
+    configure(spark)
     inner, names = _renamed(docs, ID, CHARS)
     text = names.pop(TEXT)
     cut = window_dedup.remove_repeats(inner, ID, text, carry=list(names.values()))
@@ -44,6 +48,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in benchmark passages go; documents that mostly consist of them go whole."""
+    configure(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     inner, names = _renamed(docs, ID, CHARS)
     text = names.pop(TEXT)
@@ -53,6 +58,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the order of the mix: _slot, _place, and _epoch of each."""
+    configure(spark)
     return mixing.mixed(docs, ident=ID)
 
 

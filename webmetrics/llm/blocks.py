@@ -54,6 +54,15 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that no result reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Blocks:
     """Documents (id, text and carried columns) packed into a table of blocks."""
 

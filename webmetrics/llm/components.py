@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webmetrics.llm.blocks import written
+from webmetrics.llm.blocks import discard, written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -25,7 +25,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = large.unionByName(least.where("m < u").select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = written(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
+        old, e = e, written(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
+        discard(old)
         now = _state(e)
         if now == seen:
             break

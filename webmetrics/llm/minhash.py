@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webmetrics.llm.blocks import written
+from webmetrics.llm.blocks import discard, written
 from webmetrics.llm.components import components
 from webmetrics.llm.frames import mapped, narrowed
 from webmetrics.llm.words import SPACES, Texts, Words, mix
@@ -143,7 +143,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, ident: str, text: str, k: int,
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_pydict({"a": t.column("a"), "b": t.column("b")}).filter(pa.array(ok, pa.bool_()))
 
-    return written(pairs.join(b, "b").join(a, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+    links = written(pairs.join(b, "b").join(a, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+    discard(pairs, full)
+    return links
 
 
 def one_each(rows: DataFrame, order) -> DataFrame:
@@ -171,14 +173,14 @@ def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     lead = lead.select("id", F.coalesce("aa", "a").alias("lead"))
 
     left = keyed.join(lead, "id", "left").select("key", "id", "n", F.coalesce("lead", "id").alias("lead"))
-    left = written(_mixed(left), "left")
+    left = mixed = written(_mixed(left), "left")
     fine = written(one_each(_fine(docs, left.select("id").distinct(), ident, text, k), ("n", "bits")), "fine")
     lone = (fine.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("c"))
             .where("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("lone")))
     able = fine.select("id", "bits", "n").join(lone, "id", "left").select("id", "bits", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("e"))
     bands_of = every.select("id", "bands").join(reps.select("id"), "id", "left_semi")
     able = written(one_each(able.join(bands_of, "id"), ("bands",)), "able")
-    left = left.join(able, "id").where(f"100 * e >= {percent} * n")
+    left = mixed.join(able, "id").where(f"100 * e >= {percent} * n")
     x, y = left.alias("x"), left.alias("y")
     # |x & y| >= percent (|x| + |y|) / (100 + percent) for links
     enough = f"{100 + percent} * least(x.e, y.e) >= {percent} * (x.n + y.n)"
@@ -186,7 +188,8 @@ def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     once = "x.key = element_at(array_intersect(x.bands, y.bands), 1)"
     rest = x.join(y, F.expr(f"x.key = y.key and x.lead < y.lead and {enough} and {same} <= {_differ(percent)} and {once}"))
     more = confirmed(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), docs, ident, text, k, percent)
-    comp = written(components(links.unionByName(more)), "components")
+    discard(fine, able, mixed, keyed)
+    comp = components(links.unionByName(more))
 
     member = unique.join(classes.select("s1", "s2", "n_shingles", "rep"), ["s1", "s2", "n_shingles"], "left")
     member = member.select("id", "n_shingles", F.coalesce("rep", "id").alias("rep"))
@@ -195,8 +198,10 @@ def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     ids = every.select("id")
     out = ids.join(out, "id")
     back = lambda c: F.when(F.col(c) != F.lit(int(NONE)), F.col(c))
-    return out.select(back("id").alias(ident), "n_shingles", back("component").alias("component_id"),
-                      (F.col("id") == F.col("component")).alias("kept"))
+    out = written(out.select(back("id").alias(ident), "n_shingles", back("component").alias("component_id"),
+                             (F.col("id") == F.col("component")).alias("kept")), "components")
+    discard(every, links, more)
+    return out
 
 
 def _shared(keyed: DataFrame) -> DataFrame:
