@@ -87,3 +87,11 @@ def test_two_address_range_modes(spark):
             enrich.geo_ip(df, _blocks(spark, rng, mode="cidr"), "ipv4", "cidr").collect()}
     assert exact == {"10.0.0.0": "C", "10.0.0.1": "C"}
     assert cidr == {"10.0.0.0": "C", "10.0.0.1": "unknown"}  # quirk Q4
+
+
+def test_missing_regex_group_expands_to_nothing(spark):
+    from webmetrics.operators import enrich
+    for regex, groups in [("a(b)c", 1), (r"a\(b(?:x)", 0), ("[(](x)(?<n>y)", 2), (r"\Q(\E(x)", 1)]:
+        assert enrich._groups(regex) == groups
+    sql = enrich.template_sql("ua", "A/(\\d+)", "v$1-$2")
+    assert spark.sql(f"SELECT {sql} AS v FROM (SELECT 'A/12' AS ua)").first()[0] == "v12-"

@@ -171,3 +171,11 @@ def test_read_requests_json(spark, tmp_path):
     msg = spark.createDataFrame([(json.dumps(line),)], "value string")
     assert run(spark, ingest.parse_request_json(msg)).summary.first().event_count == 2
     assert F is not None
+
+
+def test_uuid_text_forms(spark):
+    from webmetrics.functions import ids
+    u = "f47ac10b-58cc-4372-a567-0e02b2c3d479"
+    rows = [(u,), ("{" + u + "}",), ("urn:uuid:" + u,), (u.replace("-", "").upper(),), ("{" + u,), (u + "}",), ("urn:" + u,), (None,)]
+    got = spark.createDataFrame(rows, "u string").select(ids.uuid_norm("u"), ids.uuid_version("u")).collect()
+    assert [tuple(r) for r in got] == [(u, 4)] * 4 + [(None, None)] * 4

@@ -10,15 +10,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _HEX = "[0-9a-fA-F]"
-# Hyphenated (8-4-4-4-12) or simple (32 hex digits) textual forms.
-UUID_RE = (f"^({_HEX}{{8}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{12}}"
-           f"|{_HEX}{{32}})$")
+# Hyphenated (8-4-4-4-12), also in braces or as a URN, or simple (32 hex digits).
+_HYPHENATED = f"{_HEX}{{8}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{12}}"
+UUID_RE = f"^({_HYPHENATED}|\\{{{_HYPHENATED}\\}}|urn:uuid:{_HYPHENATED}|{_HEX}{{32}})$"
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _digits(c) -> Column:
+    return F.regexp_replace(_c(c), "^urn:uuid:|[-{}]", "")
+
+
 def is_uuid(c) -> Column:
     """True when ``c`` parses as a UUID (any version); NULL input -> False."""
     c = _c(c)
@@ -28,7 +32,7 @@ def is_uuid(c) -> Column:
 def uuid_norm(c) -> Column:
     """Canonical lower-case hyphenated form of a parsable UUID, else NULL."""
     c = _c(c)
-    h = F.lower(F.regexp_replace(c, "-", ""))
+    h = F.lower(_digits(c))
     canon = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4),
                         F.substring(h, 13, 4), F.substring(h, 17, 4),
                         F.substring(h, 21, 12))
@@ -37,13 +41,13 @@ def uuid_norm(c) -> Column:
 
 def uuid_version(c) -> Column:
     """Version nibble (0..15) of a parsable UUID, else NULL."""
-    h = F.regexp_replace(_c(c), "-", "")
+    h = _digits(c)
     return F.when(is_uuid(c), F.conv(F.substring(h, 13, 1), 16, 10).cast("int"))
 
 
 def uuid7_millis(c) -> Column:
     """Unix milliseconds held in the first 48 bits of a UUIDv7."""
-    h = F.regexp_replace(_c(c), "-", "")
+    h = _digits(c)
     return F.conv(F.substring(h, 1, 12), 16, 10).cast("long")
 
 

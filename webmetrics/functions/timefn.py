@@ -49,6 +49,11 @@ def to_dt(x) -> _dt.datetime | None:
     return x
 
 
+def utc_lit(x) -> Column:
+    """A timestamp literal for a (naive UTC) time, whatever the driver's time zone."""
+    return F.timestamp_micros(F.lit((to_dt(x) - _dt.datetime(1970, 1, 1)) // _dt.timedelta(microseconds=1)))
+
+
 def range_days(lo, hi) -> float | None:
     """Length of [lo, hi) in fractional days; None when either end is unset."""
     lo, hi = to_dt(lo), to_dt(hi)

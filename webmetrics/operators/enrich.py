@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from webmetrics import schema as S
 from webmetrics.functions.net import host_mask, ipv4_to_long, range_to_cidr, shl
-from webmetrics.plans.strategy import CHECK_TTL_SECONDS, DIM_MAX_ROWS, checked_broadcast, is_bounded
+from webmetrics.plans.strategy import CHECK_TTL_SECONDS, checked_broadcast
 
-MAX_RULES = 5000
 _RULES: dict = {}
 _GROUP = re.compile(r"\$(\d)")
 
@@ -31,8 +30,7 @@ KIND_DEFAULTS = {"os": S.OS_DEFAULTS, "browser": S.BROWSER_DEFAULTS, "device": S
 def load_rules(rules_df: DataFrame) -> list[tuple]:
     """Rule table -> sorted list (kind, priority, regex, repl).
 
-    The rule table is configuration (a dictionary file), bounded by
-    MAX_RULES and checked before it is read into the plan.
+    The rule table is configuration (a dictionary file); it becomes part of the plan.
     """
     key = None
     try:
@@ -42,8 +40,6 @@ def load_rules(rules_df: DataFrame) -> list[tuple]:
     now = time.monotonic()
     if key in _RULES and now - _RULES[key][0] < CHECK_TTL_SECONDS:
         return _RULES[key][1]
-    if not is_bounded(rules_df, MAX_RULES):
-        raise ValueError(f"rule table exceeds {MAX_RULES} rules")
     rows = rules_df.select("kind", "priority", "regex", "repl").collect()
     rules = sorted(((r.kind, r.priority, r.regex, dict(r.repl or {})) for r in rows),
                    key=lambda r: (r[0], r[1], r[2]))
@@ -59,13 +55,22 @@ def _sql_str(x: str) -> str:
     return "r'" + x + "'"
 
 
+def _groups(regex: str) -> int:
+    """Capturing groups of a Java regex: unescaped ( outside of a class, not followed by ?
+    unless it names a group."""
+    plain = re.sub(r"\\Q.*?(?:\\E|$)|\\.|\[\^?\]?(?:\\.|[^\]\\])*\]", "", regex)
+    return len(re.findall(r"\((?!\?)|\(\?<[A-Za-z]", plain))
+
+
 def template_sql(ua: str, regex: str, tmpl: str) -> str:
-    """SQL text expanding ``$n`` group references of a replacement against ``regex``."""
-    parts, pos = [], 0
+    """SQL text expanding ``$n`` group references of a replacement against ``regex``;
+    a group that the regex does not have expands to ''."""
+    parts, pos, groups = [], 0, _groups(regex)
     for m in _GROUP.finditer(tmpl):
         if m.start() > pos:
             parts.append(_sql_str(tmpl[pos:m.start()]))
-        parts.append(f"regexp_extract({ua}, {_sql_str(regex)}, {int(m.group(1))})")
+        if int(m.group(1)) <= groups:
+            parts.append(f"regexp_extract({ua}, {_sql_str(regex)}, {int(m.group(1))})")
         pos = m.end()
     if pos < len(tmpl):
         parts.append(_sql_str(tmpl[pos:]))
@@ -134,10 +139,10 @@ def user_agents(df: DataFrame, rules_df: DataFrame, ua_col: str = "user_agent",
     if not distinct_first:  # row-wise: every row runs the rule chain (bench comparison)
         return parse_user_agent(keyed, rules, "_ua").drop("_ua")
     parsed = parse_user_agent(keyed.select("_ua").distinct(), rules, "_ua")
-    # Distinct agents are few next to sessions; broadcasting the parsed table
-    # (when proven <= DIM_MAX_ROWS) avoids shuffling every session by agent
-    # text, where popular agents would make one partition hot.
-    return keyed.join(checked_broadcast(parsed), "_ua", "left").drop("_ua")
+    # AQE broadcasts the parsed table when it measures it small (32 MB), which spares
+    # the sessions' shuffle by agent text; else it splits popular agents. No count
+    # of derived data is run while the plan is built.
+    return keyed.join(parsed, "_ua", "left").drop("_ua")
 
 
 def ua_preview(session: DataFrame, n: int = 20) -> DataFrame:
@@ -213,11 +218,8 @@ def geo_ip(df: DataFrame, blocks: DataFrame, ip_col: str = "ipv4", mode: str = "
     ips = keyed.select("_ipkey").distinct().select(
         "_ipkey", F.coalesce(ipv4_to_long(F.col("_ipkey")), F.lit(0).cast("long")).alias("_ip"))
     found = _lookup_prefix(ips, blocks) if mode == "cidr" else _lookup_range(ips, blocks)
-    # the resolved table has at most one row per distinct address: broadcast
-    # it when the distinct count is proven bounded (no shuffle of sessions by
-    # address, where a hot address would skew), else a skew-aware shuffle join
-    if is_bounded(ips, DIM_MAX_ROWS):
-        found = F.broadcast(found)
+    # at most one row per distinct address: broadcast by AQE when measured small,
+    # else a join that splits hot addresses
     out = keyed.join(found, "_ipkey", "left")
     cols = [c for c in df.columns if c not in ("country_code", "state", "city")]
     return out.select(

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webmetrics import schema as S
-from webmetrics.functions.timefn import GRAIN_SECONDS, bucket, ceil_to, granularity, range_days, to_dt
+from webmetrics.functions.timefn import GRAIN_SECONDS, bucket, ceil_to, granularity, range_days, to_dt, utc_lit
 
 DISTINCT_MODES = ("exact", "hll", "approx")
 
@@ -44,7 +44,7 @@ def _range(ts: Column, lo, hi, seconds: int = 1, df: DataFrame | None = None) ->
     lo, hi = to_dt(lo), to_dt(hi)
     if seconds > 1:
         lo, hi = ceil_to(lo, seconds), ceil_to(hi, seconds)
-    p = (ts >= F.lit(lo)) & (ts < F.lit(hi))
+    p = (ts >= utc_lit(lo)) & (ts < utc_lit(hi))
     if df is not None and "event_date" in df.columns and hi > lo:
         last = hi - _dt.timedelta(microseconds=1)
         p = p & (F.col("event_date") >= F.lit(lo.date())) & (F.col("event_date") <= F.lit(last.date()))

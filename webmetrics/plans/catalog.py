@@ -7,6 +7,7 @@ oracle SQL exactly.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -471,7 +472,7 @@ WITH act AS (
               ELSE 'deregisterSection' END AS action,
          'https://site' || (user_id % 4) || '.example.com/dir' || (k % 6) || '/type' || (k % 5) || '?k=' || k
            || '#s' || (k % 3) AS loc,
-         '/dir' || (k % 6) || '/type' || (k % 5) || ' - Title' AS ttl
+         '/dir' || (k % 6) || '/type' || (k % 5) || ' | Demo' AS ttl
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)),
 ep AS (
   SELECT *,
@@ -548,23 +549,82 @@ def _synth(spark, sf_dir):
     from webmetrics.operators import synth
     from webmetrics.sources import adapter
     r = adapter.read(spark, sf_dir, "events").agg(
-        F.count_distinct("user_id").alias("n"), F.max(F.col("ts").cast("timestamp")).alias("t")).first()
-    return synth.Synth(int(r.n), r.t.replace(microsecond=0), "key-0", "site0.example.com")
+        F.count_distinct("user_id").alias("n"), F.unix_seconds(F.max(F.col("ts").cast("timestamp"))).alias("t")).first()
+    as_of = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=r.t)
+    return synth.Synth(int(r.n), as_of, "key-0", "site0.example.com")
 
 
-@register("synth_paths")
+_PARTS = {"p1": "['/shop/', '/blog/', '/help/', '/team/', '/docs/', '/jobs/']",
+          "p2": "['', 'spring/', 'summer/', 'autumn/', 'winter/', 'archive/']",
+          "r": "['index', 'list', 'detail', 'search', 'print', 'feed']"}
+
+
+@register("synth_paths", f"""
+    WITH c AS (SELECT i::INT AS rv, {_PARTS['p1']}[i // 36 + 1] AS path1, {_PARTS['p2']}[(i // 6) % 6 + 1] AS path2,
+                      {_PARTS['r']}[i % 6 + 1] AS resource FROM range(216) t(i)),
+    n AS (SELECT (event_id % 216)::INT AS rv, count(*) AS events FROM events GROUP BY 1)
+    SELECT rv, path1, path2, resource, path1 || path2 || resource || ' | Demo' AS title, events FROM c JOIN n USING (rv)""")
 def synth_paths(spark, sf_dir):
-    """216-path catalogue (fixed size by definition of the generator)."""
+    """The path catalogue, each path with the ``events`` that draw it (event_id modulo
+    the number of paths, F15)."""
     from webmetrics.operators import synth
-    return synth.paths(spark)
+    from webmetrics.sources import adapter
+    e = adapter.read(spark, sf_dir, "events").select(F.pmod("event_id", F.lit(synth.N_PATHS)).cast("int").alias("rv"))
+    return synth.paths(spark).join(e.groupBy("rv").agg(F.count(F.lit(1)).alias("events")), "rv")
 
 
 @register("synth_browsers")
 def synth_browsers(spark, sf_dir):
-    """100 generated agents parsed by the UA rules."""
+    """Generated agents parsed by the UA rules, each with the users of ``events`` that
+    draw it (user_id modulo 100)."""
     from webmetrics.operators import synth
-    from webmetrics.sources import dims
-    return synth.browsers(spark, dims.ua_rules_df(spark))
+    from webmetrics.sources import adapter, dims
+    u = adapter.read(spark, sf_dir, "events").select(F.pmod("user_id", F.lit(100)).cast("int").alias("rv"), "user_id")
+    users = u.groupBy("rv").agg(F.count_distinct("user_id").alias("users"))
+    return synth.browsers(spark, dims.ua_rules_df(spark)).join(users, "rv")
+
+
+# ----------------------------------------------------------------- sinks A3-A8: incremental batches
+
+def _appended(spark, sf_dir, table):
+    """The hub in two batches that split every visit (children before their parents too),
+    the first batch written again at the end; the table as read back."""
+    import uuid
+
+    from webmetrics.plans import facts
+    from webmetrics.session import checkpoint_dir
+    from webmetrics.sources import sinks
+    m = _m(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/append-{uuid.uuid4().hex}"
+    first = F.pmod(F.crc32("id"), F.lit(2)) == 0
+    for batch, rows in [(0, first), (1, ~first), (0, first)]:
+        part = facts.build(m.event.where(rows), m.api_key_df, m.rules_df, m.blocks, m.geo_mode)
+        sinks.write_model(part, root, "append", batch)
+    return sinks.read_table(spark, f"{root}/{table}", table, ("batch",))
+
+
+@register("sink_append_section", SQL["route_section"])
+def sink_append_section(spark, sf_dir):
+    """A5: page views of two appended batches."""
+    return _appended(spark, sf_dir, "section_event").select("api_key", "site", "id", "ts", "parent", "path", "query", "fragment", "title")
+
+
+@register("sink_append_hierarchy", SQL["hierarchy"])
+def sink_append_hierarchy(spark, sf_dir):
+    """The hierarchy of two appended batches equals one join over everything."""
+    return _appended(spark, sf_dir, "hierarchy_event").select("api_key", "site", "visitor", "session", "section", "ts")
+
+
+@register("sink_append_section_combined", SQL["section_combined"])
+def sink_append_section_combined(spark, sf_dir):
+    """The fact of two appended batches equals one join over everything."""
+    return _appended(spark, sf_dir, "section_combined").select(*rollup.FACT_COLS)
+
+
+@register("sink_append_visitor_timeseries", SQL["visitor_timeseries_state"])
+def sink_append_visitor_timeseries(spark, sf_dir):
+    """Partial sums of two appended batches, merged."""
+    return rollup.merge_timeseries(_appended(spark, sf_dir, "visitor_timeseries"))
 
 
 @register("synth_visitors")

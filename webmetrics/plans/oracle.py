@@ -136,7 +136,7 @@ section AS (
          {uuid7('ms', '3', 'event_id')} AS id, {sec_ts('ms')} AS ts,
          CASE WHEN k = 0 THEN {uuid7('ms', '5', 'event_id')} ELSE {uuid7('sms', '2', 'user_id')} END AS parent,
          '/dir' || (k % 6) || '/type' || (k % 5) AS path, 'k=' || k AS query, 's' || (k % 3) AS fragment,
-         '/dir' || (k % 6) || '/type' || (k % 5) || ' - Title' AS title,
+         '/dir' || (k % 6) || '/type' || (k % 5) || ' | Demo' AS title,
          'https://site' || t || '.example.com/dir' || (k % 6) || '/type' || (k % 5) || '?k=' || k || '#s' || (k % 3) AS location
   FROM kid WHERE event_type IN ('view', 'purchase') AND t < 3 AND k <> 1),
 click AS (
@@ -234,7 +234,7 @@ rq_own AS (
          (ev.event_type IN ('view', 'purchase') AND ev.k % 10 <> 3) AS has_lt,
          'https://site' || ev.t || '.example.com/dir' || (ev.k % 6) || '/type' || (ev.k % 5) || '?k=' || ev.k
            || '#s' || (ev.k % 3) AS location,
-         '/dir' || (ev.k % 6) || '/type' || (ev.k % 5) || ' - Title' AS title,
+         '/dir' || (ev.k % 6) || '/type' || (ev.k % 5) || ' | Demo' AS title,
          sd.s_eid, vd.v_eid, sd.sms, vd.vms
   FROM ev JOIN sd ON ev.user_id = sd.user_id AND ev.day = sd.day JOIN vd ON ev.user_id = vd.user_id),
 rq_all AS (

@@ -143,7 +143,7 @@ def event_hub(spark: SparkSession, sf_dir: str) -> DataFrame:
     site = site_of(t)
     attrs = F.when(is_section, F.create_map(
         F.lit("parent"), parent, F.lit("location"), location_of(site, k),
-        F.lit("title"), F.concat(path_of(k), F.lit(" - Title")))
+        F.lit("title"), F.concat(path_of(k), F.lit(" | Demo")))
     ).otherwise(F.create_map(F.lit("parent"), parent))
     children = kids.select(
         api_key_of(t).alias("api_key"), site.alias("site"),
@@ -279,7 +279,7 @@ def request_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.pmod(uid, F.lit(4))
     has_lt = is_sec & (F.pmod(k, F.lit(10)) != 3)
     loc = F.when(has_lt, location_of(site_of(t), k))
-    title = F.when(has_lt, F.concat(path_of(k), F.lit(" - Title")))
+    title = F.when(has_lt, F.concat(path_of(k), F.lit(" | Demo")))
     zz = F.when(F.pmod(k, F.lit(10)) == 4, F.lit("junk"))
     attrs = F.map_filter(F.create_map(F.lit("p"), p, F.lit("l"), loc, F.lit("t"), title,
                                       F.lit("zz"), zz), lambda _k, v: v.isNotNull())
@@ -360,4 +360,4 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
         api_key_of(t).alias("api_key"), F.col("user_id").cast("string").alias("client"),
         F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), act.alias("action"),
         F.when(is_x, location_of(site_of(t), k)).alias("location"),
-        F.when(is_x, F.concat(path_of(k), F.lit(" - Title"))).alias("title"))
+        F.when(is_x, F.concat(path_of(k), F.lit(" | Demo"))).alias("title"))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webmetrics import schema as S
+from webmetrics.functions.ids import uuid7_ts
 from webmetrics.operators import rollup
 
 
@@ -93,34 +94,85 @@ def read_table(spark: SparkSession, path: str, table: str | None = None,
     return spark.read.schema(sch).parquet(path)
 
 
-def write_model(model, root: str, mode: str = "append") -> dict[str, str]:
+def write_model(model, root: str, mode: str = "append", batch_id: int | None = None) -> dict[str, str]:
     """Write the typed tables, then derive the facts from the *stored*
     typed tables (as the reference's views read stored tables).
 
+    ``append`` writes one batch below ``<table>/batch=<id>``: its own hub rows,
+    typed rows and what they add to the facts (:func:`write_facts`). Writing a
+    batch again replaces it; without an id it gets the next free one.
+    ``overwrite`` replaces whole tables (no batch folders); a root is filled by
+    one of the two.
+
     Reading back cuts the lineage: the enrichment of sessions runs once, not
     once per fact, and a lost executor only re-runs the stage at hand.
     """
     spark = model.event.sparkSession
     root = root.rstrip("/")
     paths = {n: f"{root}/{n}" for n in LAYOUTS}
+    if mode == "append":
+        batch = max(batches(spark, paths["section_event"]), default=-1) + 1 if batch_id is None else batch_id
+        at = {n: f"{p}/batch={batch}" for n, p in paths.items()}
+    else:
+        batch, at = None, paths
     if model.rules_df is not None:
         # bronze hub first: the raw input is read and shaped once; routing and
         # enrichment then read the stored hub (partition-pruned by event_type)
-        write_table(model.event, paths["event"], "event", mode)
-        model = model.rebuild(read_table(spark, paths["event"]).drop("event_date"))
+        write_table(model.event, at["event"], "event", "overwrite")
+        model = model.rebuild(read_table(spark, at["event"]).drop("event_date"))
     for name, df in [("visitor_event", model.visitor), ("session_event", model.session),
                      ("section_event", model.section)]:
-        write_table(df, paths[name], name, mode)
-    vis = read_table(spark, paths["visitor_event"]).drop("event_date")
-    ses = read_table(spark, paths["session_event"]).drop("event_date")
-    sec = read_table(spark, paths["section_event"]).drop("event_date")
-    for name, df in [("hierarchy_event", rollup.hierarchy(sec, ses, vis)),
-                     ("section_combined", rollup.section_combined(sec, ses)),
-                     ("visitor_timeseries", rollup.visitor_timeseries(vis))]:
-        write_table(df, paths[name], name, mode)
+        write_table(df, at[name], name, "overwrite")
+    write_facts(spark, root, batch)
     return paths
 
 
+def batches(spark: SparkSession, path: str) -> list[int]:
+    """Ids of a table's batches, by its folders."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n[6:]) for n in names if n.startswith("batch="))
+
+
+def write_facts(spark: SparkSession, root: str, batch: int | None) -> None:
+    """Write what a batch adds to the facts, from the stored typed tables.
+
+    The facts are inner joins, so what batch b adds to them is: its page views
+    with all sessions up to b, and earlier page views with its sessions (and
+    likewise for visitors). Whatever the order in which parents and children
+    arrive, the batches together hold the rows of one join over everything,
+    each once; and a batch that is written again yields the same rows.
+    ``None``: whole tables without batch folders.
+    """
+    names = ("section_event", "session_event", "visitor_event")
+    paths = {n: f"{root.rstrip('/')}/{n}" for n in LAYOUTS}
+    at = paths if batch is None else {n: f"{p}/batch={batch}" for n, p in paths.items()}
+    sec, ses, vis = [read_table(spark, at[n], n).drop("event_date") for n in names]
+    combined, chain = rollup.section_combined(sec, ses), rollup.hierarchy(sec, ses, vis)
+    if batch is not None and any(b < batch for b in batches(spark, paths["section_event"])):
+        old_sec, old_ses, old_vis = [read_table(spark, paths[n], n, ("batch",)).where(F.col("batch") < batch) for n in names]
+        old_ses = _of_days(old_ses, sec).drop("batch", "event_date")
+        old_sec, old_vis = old_sec.drop("batch", "event_date"), old_vis.drop("batch", "event_date")
+        all_ses, all_vis = ses.unionByName(old_ses), vis.unionByName(old_vis)
+        ses_before = read_table(spark, paths["session_event"], "session_event", ("batch",)).where(F.col("batch") < batch).drop("batch", "event_date")
+        combined = rollup.section_combined(sec, all_ses).unionByName(rollup.section_combined(old_sec, ses))
+        chain = (rollup.hierarchy(sec, all_ses, all_vis).unionByName(rollup.hierarchy(old_sec, ses, all_vis))
+                 .unionByName(rollup.hierarchy(old_sec, ses_before, vis)))
+    for name, df in [("hierarchy_event", chain), ("section_combined", combined),
+                     ("visitor_timeseries", rollup.visitor_timeseries(vis))]:
+        write_table(df, at[name], name, "overwrite")
+
+
+def _of_days(parents: DataFrame, children: DataFrame) -> DataFrame:
+    """Stored parents of the days that the children's parent ids name: a row's
+    event_date is the day of its id, so the join below needs no others. A join on
+    the partition column, without a collect; ids of other versions name any day."""
+    days = children.select(F.to_date(uuid7_ts(F.col("parent"))).alias("event_date")).distinct()
+    return parents.join(days, "event_date", "left_semi").select(parents.columns)
+
+
 def compact_timeseries(spark: SparkSession, path: str, out_path: str) -> None:
     """merge partial rows with equal (api_key, site, ts) into one row.
 
@@ -141,8 +193,8 @@ def backfill(staged: dict[str, DataFrame], root: str) -> None:
 
 def retained(df: DataFrame, as_of, keep: str = "7 days") -> DataFrame:
     """K7 (query-time): rows whose ``ts + keep`` is still after ``as_of``."""
-    from webmetrics.functions.timefn import to_dt
-    return df.where(F.col("ts") + F.expr(f"INTERVAL {keep}") > F.lit(to_dt(as_of)))
+    from webmetrics.functions.timefn import utc_lit
+    return df.where(F.col("ts") + F.expr(f"INTERVAL {keep}") > utc_lit(as_of))
 
 
 def expire_partitions(spark: SparkSession, path: str, as_of, keep_days: int = 7) -> list[str]:
@@ -163,17 +215,15 @@ def expire_partitions(spark: SparkSession, path: str, as_of, keep_days: int = 7)
     dropped = []
     if not fs.exists(root):
         return dropped
-    for site_dir in fs.listStatus(root):
-        if not site_dir.isDirectory():
-            continue
-        for day_dir in fs.listStatus(site_dir.getPath()):
-            name = day_dir.getPath().getName()
-            if not name.startswith("event_date="):
-                continue
-            day = dt.date.fromisoformat(name.split("=", 1)[1])
-            if day <= cutoff:
-                fs.delete(day_dir.getPath(), True)
-                dropped.append(str(day_dir.getPath()))
+    folders = [root]
+    while folders:      # event_date folders lie below site, or below batch and site
+        for d in fs.listStatus(folders.pop()):
+            name = d.getPath().getName()
+            if d.isDirectory() and not name.startswith("event_date="):
+                folders.append(d.getPath())
+            elif d.isDirectory() and dt.date.fromisoformat(name.split("=", 1)[1]) <= cutoff:
+                fs.delete(d.getPath(), True)
+                dropped.append(str(d.getPath()))
     return dropped
 
 

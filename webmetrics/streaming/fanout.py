@@ -6,10 +6,10 @@
       table and fact. Each batch writes under ``batch=<id>`` with overwrite,
       so a re-run of a batch after a failure replaces its own output
       (idempotent by batch id); readers see one table per name.
-* K2/K3 parity: page views of a batch join the sessions *stored so far*
-      (stream-static, as the reference's insert-triggered views do);
+* K2/K3: each batch writes what it adds to the joins over all stored rows, so
+      nothing is lost when a session comes after its page views;
       ``section_session_join`` is the stream-stream alternative with a
-      watermark and a time bound, which does not lose late sessions.
+      watermark and a time bound.
 * K4  ``visitor_counts``: 5-minute tumbling window with a 1-hour watermark.
 * K5  lateness is refused at the door (B7) and the watermark equals it.
 * K6/K8 ``Refreshing``: dimensions re-read when older than their lifetime.
@@ -23,9 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webmetrics.functions.ids import uuid7_ts
 from webmetrics.operators import enrich, ingest, rollup, route
-from webmetrics.plans.strategy import is_bounded
 from webmetrics.sources import dims, sinks
 
 KEY_TTL = 60.0      # seconds, key dictionary lifetime
@@ -52,44 +50,22 @@ def _batch_path(root: str, table: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/{table}/batch={batch_id}"
 
 
-def _stored(spark: SparkSession, root: str, table: str, dates=None) -> DataFrame:
-    """All stored batches of ``table``; with ``dates`` only those event_date
-    partitions are read (partition pruning)."""
-    df = sinks.read_table(spark, f"{root.rstrip('/')}/{table}", table, ("batch",))
-    if dates is not None:
-        df = df.where(F.col("event_date").isin(list(dates)))
-    return df.drop("batch", "event_date")
-
-
-MAX_PRUNE_DATES = 10_000
-
-
-def _id_dates(df: DataFrame, col: str):
-    """Distinct days encoded in the UUIDv7 ids of ``col``: the only event_date
-    partitions that can hold those rows (a stored row's date is its id's date).
-    None when there are too many days to list (then nothing is pruned)."""
-    d = (df.select(F.to_date(uuid7_ts(F.col(col))).alias("d")).where(F.col("d").isNotNull())
-           .distinct())
-    if not is_bounded(d, MAX_PRUNE_DATES):
-        return None
-    return [r.d for r in d.collect()]
-
-
-def _this_batch(spark: SparkSession, root: str, table: str, batch_id: int) -> DataFrame:
-    return sinks.read_table(spark, _batch_path(root, table, batch_id), table).drop("event_date")
+def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All stored batches of ``table``."""
+    return sinks.read_table(spark, f"{root.rstrip('/')}/{table}", table, ("batch",)).drop("batch", "event_date")
 
 
 def fan_out_batch(batch: DataFrame, batch_id: int, root: str, api_keys: Refreshing,
                   rules: DataFrame, blocks: Refreshing, geo_mode: str = "range") -> None:
     """One micro-batch of request rows -> all tables.
 
-    Page views join the sessions stored so far, and sessions their visitors.
-    Only the event_date partitions named by the parent ids' UUIDv7 times are
-    read, so the result equals a join with the whole history while the scan
-    stays proportional to the days the batch refers to.
+    The batch is validated once. Its page views join the sessions stored so far,
+    earlier page views its sessions (:func:`sinks.write_facts`), so the facts are
+    those of one join over all batches, in whatever order the events arrive.
     """
     spark = batch.sparkSession
     src = dims.sources(dims.api_key_latest(api_keys.get()))
+    batch = batch.persist()
     res = ingest.validate(batch, src)
     hub = ingest.hub(res).persist()
     try:
@@ -100,21 +76,10 @@ def fan_out_batch(batch: DataFrame, batch_id: int, root: str, api_keys: Refreshi
                           ("section_event", section)]:
             sinks.write_table(df, _batch_path(root, table, batch_id), table, "overwrite")
         res.summary.write.mode("overwrite").parquet(_batch_path(root, "request_summary", batch_id))
-        # K2/K3 parity: join with what is stored, this batch included
-        sec = _this_batch(spark, root, "section_event", batch_id)
-        ses_all = _stored(spark, root, "session_event", _id_dates(sec, "parent"))
-        wanted = sec.select("api_key", "site", F.col("parent").alias("id")).distinct()
-        ses_used = ses_all.join(wanted, ["api_key", "site", "id"], "left_semi")
-        vis_all = _stored(spark, root, "visitor_event", _id_dates(ses_used, "parent"))
-        vis = _this_batch(spark, root, "visitor_event", batch_id)
-        sinks.write_table(rollup.section_combined(sec, ses_all),
-                          _batch_path(root, "section_combined", batch_id), "section_combined", "overwrite")
-        sinks.write_table(rollup.hierarchy(sec, ses_all, vis_all),
-                          _batch_path(root, "hierarchy_event", batch_id), "hierarchy_event", "overwrite")
-        sinks.write_table(rollup.visitor_timeseries(vis),
-                          _batch_path(root, "visitor_timeseries", batch_id), "visitor_timeseries", "overwrite")
+        sinks.write_facts(spark, root, batch_id)
     finally:
         hub.unpersist()
+        batch.unpersist()
 
 
 def start_fan_out(requests_stream: DataFrame, root: str, checkpoint: str, api_keys: Refreshing,
