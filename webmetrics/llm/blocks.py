@@ -46,6 +46,17 @@ def step(spark: SparkSession):
         spark.conf.set(_CLEAN, old)
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for eager steps, put back afterwards."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """The rows as a table in the shared folder; cuts the lineage."""
     spark, path = df.sparkSession, scratch(df.sparkSession, what)

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webmetrics.llm.blocks import discard, written
+from webmetrics.llm.blocks import discard, setting, written
 from webmetrics.llm.components import components
 from webmetrics.llm.frames import mapped, narrowed
 from webmetrics.llm.words import SPACES, Texts, Words, mix
@@ -157,7 +157,13 @@ def one_each(rows: DataFrame, order) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text", k: int = 5, percent: int = 75,
                     bands: int = 48, rows: int = 4) -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept."""
+    """One row per document: id, n_shingles, component_id, kept. Worked out when called."""
+    # many joins follow each other: what is broadcast stays small for the driver's sake
+    with setting(docs.sparkSession, "spark.sql.adaptive.autoBroadcastJoinThreshold", "8MB"):
+        return _near_duplicates(docs, ident, text, k, percent, bands, rows)
+
+
+def _near_duplicates(docs: DataFrame, ident: str, text: str, k: int, percent: int, bands: int, rows: int) -> DataFrame:
     every = written(signed(docs, ident, text, k, bands, rows), "signed")
     narrow = every.select("id", "n_shingles", "s1", "s2")
     unique = narrow.groupBy("id").agg(F.min(F.struct("n_shingles", "s1", "s2")).alias("s")).select("id", "s.*")
