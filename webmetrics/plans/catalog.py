@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from webmetrics.operators import enrich, report, rollup
 from webmetrics.plans import oracle as O
+from webmetrics.plans import oracle_synth as SY
 from webmetrics.plans.facts import Model, driver_model
 
 KEYS = ["key-0", "key-1", "key-2"]
@@ -541,7 +542,7 @@ def action_wire(spark, sf_dir):
                     F.array_join(F.array_sort(F.map_keys("a")), ",").alias("a_keys"))
 
 
-# ----------------------------------------------------------------- synthetic job N1-N10 (rows-only)
+# ----------------------------------------------------------------- synthetic job N1-N10
 
 def _synth(spark, sf_dir):
     """Synthetic tenant scaled by the driver data: base = distinct users of
@@ -551,19 +552,10 @@ def _synth(spark, sf_dir):
     r = adapter.read(spark, sf_dir, "events").agg(
         F.count_distinct("user_id").alias("n"), F.unix_seconds(F.max(F.col("ts").cast("timestamp"))).alias("t")).first()
     as_of = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=r.t)
-    return synth.Synth(int(r.n), as_of, "key-0", "site0.example.com")
+    return synth.Synth(int(r.n), as_of, SY.API_KEY, SY.SITE)
 
 
-_PARTS = {"p1": "['/shop/', '/blog/', '/help/', '/team/', '/docs/', '/jobs/']",
-          "p2": "['', 'spring/', 'summer/', 'autumn/', 'winter/', 'archive/']",
-          "r": "['index', 'list', 'detail', 'search', 'print', 'feed']"}
-
-
-@register("synth_paths", f"""
-    WITH c AS (SELECT i::INT AS rv, {_PARTS['p1']}[i // 36 + 1] AS path1, {_PARTS['p2']}[(i // 6) % 6 + 1] AS path2,
-                      {_PARTS['r']}[i % 6 + 1] AS resource FROM range(216) t(i)),
-    n AS (SELECT (event_id % 216)::INT AS rv, count(*) AS events FROM events GROUP BY 1)
-    SELECT rv, path1, path2, resource, path1 || path2 || resource || ' | Demo' AS title, events FROM c JOIN n USING (rv)""")
+@register("synth_paths", SY.PATHS)
 def synth_paths(spark, sf_dir):
     """The path catalogue, each path with the ``events`` that draw it (event_id modulo
     the number of paths, F15)."""
@@ -573,7 +565,7 @@ def synth_paths(spark, sf_dir):
     return synth.paths(spark).join(e.groupBy("rv").agg(F.count(F.lit(1)).alias("events")), "rv")
 
 
-@register("synth_browsers")
+@register("synth_browsers", SY.BROWSERS)
 def synth_browsers(spark, sf_dir):
     """Generated agents parsed by the UA rules, each with the users of ``events`` that
     draw it (user_id modulo 100)."""
@@ -627,13 +619,14 @@ def sink_append_visitor_timeseries(spark, sf_dir):
     return rollup.merge_timeseries(_appended(spark, sf_dir, "visitor_timeseries"))
 
 
-@register("synth_visitors")
+@register("synth_visitors", SY.VISITORS)
 def synth_visitors(spark, sf_dir):
     """20 * base visitors (uniform year + three spikes)."""
-    return _synth(spark, sf_dir).visitors(spark)
+    v = _synth(spark, sf_dir).visitors(spark)
+    return v.select("api_key", "site", "event_type", "id", "ts", F.col("attrs")["channel"].alias("channel"))
 
 
-@register("synth_sessions")
+@register("synth_sessions", SY.SESSIONS)
 def synth_sessions(spark, sf_dir):
     """10 sessions per visitor with catalogue agents."""
     from webmetrics.operators import synth
@@ -642,13 +635,14 @@ def synth_sessions(spark, sf_dir):
     return s.routed_sessions(spark, synth.browsers(spark, dims.ua_rules_df(spark)))
 
 
-@register("synth_sections")
+@register("synth_sections", SY.SECTIONS)
 def synth_sections(spark, sf_dir):
     """10 page views per session."""
-    return _synth(spark, sf_dir).sections(spark)
+    x = _synth(spark, sf_dir).sections(spark)
+    return x.select("api_key", "site", "event_type", "id", "ts", *[F.col("attrs")[a].alias(a) for a in ("parent", "location", "title")])
 
 
-@register("synth_section_combined")
+@register("synth_section_combined", SY.COMBINED)
 def synth_section_combined(spark, sf_dir):
     """The synthetic hub routed, enriched and joined by the real plan."""
     from webmetrics.operators import synth
@@ -739,9 +733,17 @@ def stream_fanout_sections(spark, sf_dir):
         "api_key", "site", "id", "ts", "parent", "path")
 
 
-@register("visitors_hll")
+@register("visitors_hll", O.with_model(
+    "SELECT country_code, count(*) AS page_views, count(DISTINCT visitor) AS visitors, true AS hll_close, "
+    "true AS approx_close FROM fact GROUP BY 1"))
 def visitors_hll(spark, sf_dir):
-    """distinct visitors per country from mergeable HLL sketches (approximate,
-    rows-only; the exact twin is report_by_country)."""
+    """exact distinct visitors per country, and whether the mergeable HLL sketch
+    (relative error 1.04 / sqrt(2^12)) and ``approx_count_distinct`` (0.01) lie within
+    three standard errors, or one visitor, of them."""
     fact = _m(spark, sf_dir).section_combined
-    return report.by_country(fact, KEYS, SITES, distinct="hll")
+    out = report.by_country(fact, KEYS, SITES)
+    for mode, error in [("hll", 1.04 / 2 ** 6), ("approx", 0.01)]:
+        got = report.by_country(fact, KEYS, SITES, distinct=mode).select("country_code", F.col("visitors").alias(mode))
+        off = F.abs(F.col(mode) - F.col("visitors")) <= F.greatest(F.lit(1.0), F.lit(3 * error) * F.col("visitors"))
+        out = out.join(got, "country_code").withColumn(f"{mode}_close", off).drop(mode)
+    return out
