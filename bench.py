@@ -111,14 +111,11 @@ def extras(spark, sf_dir, out, timed, force) -> dict:
     d2 = timed(lambda: force(enrich.user_agents(raw, rules, distinct_first=False)), 2)
     ex["ua_distinct_first_sec"], ex["ua_rowwise_sec"] = d1, d2
     ex["ua_rowwise_over_distinct"] = round(d2 / d1, 2) if d1 else None
-    run = catalog._stream_source(spark, sf_dir)
+    run = catalog._stream_source(spark, sf_dir, in_order=True)
     stream = spark.readStream.schema(S.REQUEST).option("maxFilesPerTrigger", 2).json(f"{run}/requests")
-    counts = fanout.visitor_counts(fanout.validated_events(stream, catalog._sources(spark, sf_dir)))
+    events = fanout.validated_events(stream, catalog._sources(spark, sf_dir))
     t = time.perf_counter()
-    q = (counts.writeStream.outputMode("complete").option("checkpointLocation", f"{run}/ckpt")
-         .foreachBatch(lambda df, _b: df.write.mode("overwrite").parquet(f"{run}/vc"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    fanout.start_visitor_counts(events, f"{run}/vc", f"{run}/ckpt").awaitTermination()
     ex["k4_stream_sec"] = round(time.perf_counter() - t, 3)
     ex["k4_stream_events_per_sec"] = round(n_events / ex["k4_stream_sec"], 1)
     s = synth.Synth(500, dt.datetime(2024, 2, 1), "key-0", "site0.example.com")

@@ -2,7 +2,7 @@
 
 import pytest
 
-from webmetrics.operators import enrich
+from webmetrics.operators import enrich, ua_table
 from webmetrics.sources import dims
 
 
@@ -90,8 +90,36 @@ def test_two_address_range_modes(spark):
 
 
 def test_missing_regex_group_expands_to_nothing(spark):
-    from webmetrics.operators import enrich
+    from webmetrics.operators import enrich, ua_table
     for regex, groups in [("a(b)c", 1), (r"a\(b(?:x)", 0), ("[(](x)(?<n>y)", 2), (r"\Q(\E(x)", 1)]:
         assert enrich._groups(regex) == groups
     sql = enrich.template_sql("ua", "A/(\\d+)", "v$1-$2")
     assert spark.sql(f"SELECT {sql} AS v FROM (SELECT 'A/12' AS ua)").first()[0] == "v12-"
+
+
+def test_required_text():
+    got = {r: ua_table.required_text(r) for r in [
+        r"Edg/(\d+)\.(\d+)", r"Chrome/(\d+)\.(\d+).*Mobile", r"^(curl)/(\d+)", r"(?i)bot|crawler", r"a|bcd", r"colou?rs",
+        r"Windows NT 10\.0", r"x[a-f]{2}yz+", r"SM-([A-Z0-9]+)", r"\x41bcd", r"(?:long group)?ab"]}
+    assert list(got.values()) == ["Edg/", "Chrome/", "/", "", "", "colo", "Windows NT 10.0", "yz", "SM-", "", "ab"]
+
+
+def test_rule_table_equals_expression(spark, rules, monkeypatch):
+    from webmetrics.sources.catalogue import USER_AGENTS
+    agents = [*USER_AGENTS, None, "", "x", "nothing", "GoogleBOT/2", "Foo 1 Foo 2", "Edg/1.2 Edg/3.4", "Android 9"]
+    df = spark.createDataFrame([(a,) for a in agents * 2], "user_agent string")
+    more = dims.ua_rules_df(spark, [tuple(r) for r in rules.collect()] + [
+        ("device", 5, r"Foo (\d)", {"device": "F$1$9-$2", "brand": ""}), ("device", 5, r"Foo", {"device": "G"}),
+        ("os", 70, "", {"os": "any"})])
+    want = sorted(map(tuple, enrich.user_agents(df, more).collect()), key=repr)
+    monkeypatch.setattr(enrich, "CASE_RULES", 0)
+    assert sorted(map(tuple, enrich.user_agents(df, more).collect()), key=repr) == want
+
+
+def test_large_rule_table(spark):
+    rules = dims.ua_rules_df(spark, [("device", i, rf"Model{i}x/(\d+)", {"device": f"M{i} v$1"}) for i in range(2000)])
+    df = spark.range(10000).selectExpr("concat('Mozilla/5.0 (Linux) Model', id % 2500, 'x/', id % 7, ' AppleWebKit/', id) AS user_agent")
+    got = enrich.user_agents(df, rules).groupBy().agg({"*": "count"}).first()[0]
+    hit = enrich.user_agents(df, rules).where("device_model = concat('M', regexp_extract(user_agent, 'Model([0-9]+)', 1), ' v', "
+                                              "regexp_extract(user_agent, 'x/([0-9])', 1))").count()
+    assert (got, hit) == (10000, 8000)

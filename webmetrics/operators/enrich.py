@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from webmetrics import schema as S
 from webmetrics.functions.net import host_mask, ipv4_to_long, range_to_cidr, shl
+from webmetrics.operators import ua_table
 from webmetrics.plans.strategy import CHECK_TTL_SECONDS, checked_broadcast
 
+CASE_RULES = 100
 _RULES: dict = {}
 _GROUP = re.compile(r"\$(\d)")
 
@@ -129,6 +131,8 @@ def user_agents(df: DataFrame, rules_df: DataFrame, ua_col: str = "user_agent",
                 distinct_first: bool = True) -> DataFrame:
     """Distinct-first UA enrichment: parse each distinct agent once, join back.
 
+    Up to CASE_RULES rules are one generated expression, more are joined as a table
+    (:mod:`ua_table`); both give the same rows.
     The parsed table is as large as the number of distinct agents; the join
     back is left to the planner (broadcast when AQE measures it small, else a
     skew-aware shuffle join on the agent text).
@@ -138,7 +142,11 @@ def user_agents(df: DataFrame, rules_df: DataFrame, ua_col: str = "user_agent",
     keyed = df.withColumn("_ua", key)
     if not distinct_first:  # row-wise: every row runs the rule chain (bench comparison)
         return parse_user_agent(keyed, rules, "_ua").drop("_ua")
-    parsed = parse_user_agent(keyed.select("_ua").distinct(), rules, "_ua")
+    agents = keyed.select("_ua").distinct()
+    if len(rules) <= CASE_RULES:
+        parsed = parse_user_agent(agents, rules, "_ua")
+    else:
+        parsed = ua_table.parse(agents, ua_table.rule_table(df.sparkSession, rules, _groups), "_ua")
     # AQE broadcasts the parsed table when it measures it small (32 MB), which spares
     # the sessions' shuffle by agent text; else it splits popular agents. No count
     # of derived data is run while the plan is built.

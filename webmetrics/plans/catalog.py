@@ -656,6 +656,37 @@ def synth_section_combined(spark, sf_dir):
 
 
 
+# ----------------------------------------------------------------- UA rules as a table
+
+@register("ua_rule_table", """
+    WITH a AS (SELECT DISTINCT user_id AS u, event_id % 20 AS f, event_id % 7 AS v FROM events),
+    seen AS (SELECT 'Mozilla/5.0 (Linux; Android 14; Unit-' || u || ') AppleWebKit/537.36 Reader' || f || '/' || v || '.2 Mobile'
+             AS user_agent, u, f, v FROM a)
+    SELECT user_agent, CASE WHEN c_custkey IS NULL THEN '' ELSE 'Nation ' || c_nationkey END AS device_brand,
+           CASE WHEN c_custkey IS NULL THEN 'Other' ELSE 'Unit ' || u END AS device_model, 'Android' AS os, '14..0' AS os_version,
+           CASE WHEN f < 15 THEN 'Reader ' || f ELSE 'Other' END AS browser, CASE WHEN f < 15 THEN v || '.2' ELSE '0.0' END AS browser_version
+    FROM seen LEFT JOIN customer ON c_custkey = u""")
+def ua_rule_table(spark, sf_dir):
+    """A12, D2-D5 with thousands of rules: a rule per row of ``customer`` and 15 families of
+    browsers, written as JSON lines and read back, over agents that ``events`` draw."""
+    import uuid
+
+    from webmetrics.session import checkpoint_dir
+    from webmetrics.sources import adapter, dims
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ua-rules-{uuid.uuid4().hex}"
+    units = adapter.read(spark, sf_dir, "customer").selectExpr(
+        "'device' AS kind", "10 AS priority", "concat('Unit-(', c_custkey, ')[);]') AS regex",
+        "map('brand', concat('Nation ', c_nationkey), 'device', 'Unit $1') AS repl")
+    readers = spark.range(15).selectExpr(
+        "'browser' AS kind", "1 AS priority", r"concat('Reader', id, r'/(\d+)\.(\d+)') AS regex",
+        "map('family', concat('Reader ', id), 'v1', '$1', 'v2', '$2') AS repl")
+    units.unionByName(readers).unionByName(dims.ua_rules_df(spark)).write.json(path)
+    agents = adapter.read(spark, sf_dir, "events").selectExpr(
+        "concat('Mozilla/5.0 (Linux; Android 14; Unit-', user_id, ') AppleWebKit/537.36 Reader', event_id % 20, '/', event_id % 7, "
+        "'.2 Mobile') AS user_agent").distinct()
+    return enrich.user_agents(agents, dims.read_ua_rules(spark, path))
+
+
 # ----------------------------------------------------------------- reports from daily rollups
 
 @register("report_by_os_rollup", SQL["report_by_os"])
@@ -677,15 +708,24 @@ def report_by_path_rollup(spark, sf_dir):
 
 # ----------------------------------------------------------------- streaming runs K1, K4
 
-def _stream_source(spark, sf_dir):
+def _stream_source(spark, sf_dir, in_order=False):
     """Request envelopes written as JSON files into the shared checkpoint folder
-    (one run folder per call), the input of the file-source streams."""
+    (one run folder per call), the input of the file-source streams. ``in_order``:
+    written in four time ranges one after the other, so files are as old as their rows."""
     import uuid
 
     from webmetrics.session import checkpoint_dir
     from webmetrics.sources import adapter
     run = f"{checkpoint_dir(spark).rstrip('/')}/stream-run-{uuid.uuid4().hex}"
-    adapter.requests(spark, sf_dir).repartition(8, "request_id").write.json(f"{run}/requests")
+    requests = adapter.requests(spark, sf_dir)
+    if not in_order:
+        requests.repartition(8, "request_id").write.json(f"{run}/requests")
+        return run
+    at = F.unix_seconds("received_at")
+    lo, hi = requests.agg(F.min(at), F.max(at)).first()
+    part = F.least(F.floor((at - F.lit(lo)) * 4 / F.lit(max(1, (hi or 0) - (lo or 0)))), F.lit(3))
+    for k in range(4):
+        requests.where(F.coalesce(part, F.lit(0)) == k).repartition(2, "request_id").write.mode("append").json(f"{run}/requests")
     return run
 
 
@@ -699,18 +739,14 @@ def _sources(spark, sf_dir):
     "FROM accepted WHERE event_type = 'Visitor' GROUP BY 1, 2, 3"))
 def stream_visitor_counts(spark, sf_dir):
     """K4/K5: watermarked 5-minute visitor counts over the validated request stream
-    (file source, availableNow; complete-mode batches written to Parquet)."""
+    (file source read in order of receipt, update mode), the newest row of each window."""
     from webmetrics import schema as S
     from webmetrics.streaming import fanout
-    run = _stream_source(spark, sf_dir)
-    stream = spark.readStream.schema(S.REQUEST).option("maxFilesPerTrigger", 4).json(f"{run}/requests")
-    counts = fanout.visitor_counts(fanout.validated_events(stream, _sources(spark, sf_dir)))
+    run = _stream_source(spark, sf_dir, in_order=True)
+    stream = spark.readStream.schema(S.REQUEST).option("maxFilesPerTrigger", 2).json(f"{run}/requests")
     out = f"{run}/visitor_counts"
-    q = (counts.writeStream.outputMode("complete").option("checkpointLocation", f"{run}/ckpt-vc")
-         .foreachBatch(lambda df, _bid: df.write.mode("overwrite").parquet(out))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    fanout.start_visitor_counts(fanout.validated_events(stream, _sources(spark, sf_dir)), out, f"{run}/ckpt-vc").awaitTermination()
+    return fanout.read_visitor_counts(spark, out)
 
 
 @register("stream_fanout_sections", O.with_ingest(

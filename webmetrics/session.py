@@ -79,13 +79,15 @@ def get_spark(master: str | None = None, app: str = "webmetrics",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) a private temporary folder is created
-    and registered; on a cluster the configured shared folder is always used.
+    Only when it is unset under a local master (tests) a private temporary folder is
+    created and registered; a cluster must name one.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="webmetrics-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
