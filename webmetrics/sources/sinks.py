@@ -46,8 +46,14 @@ LAYOUTS = {
 }
 
 
+#: Stored daily rollups (F6-F11) and their dimensions.
+DAILY = {"daily_by_browser": "browser", "daily_by_city": "city", "daily_by_country": "country_code",
+         "daily_by_os": "os", "daily_by_path": "path", "daily_total": None}
+LAYOUTS |= {n: Layout(("api_key", "site", d) if d else ("api_key", "site")) for n, d in DAILY.items()}
+
+
 def with_event_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_date", F.to_date("ts"))
+    return df.withColumn("event_date", F.to_date("day" if "day" in df.columns else "ts"))
 
 
 def write_table(df: DataFrame, path: str, table: str, mode: str = "append",
@@ -80,6 +86,8 @@ TABLE_SCHEMAS = {
     "section_event": S.SECTION_EVENT, "hierarchy_event": S.HIERARCHY_EVENT,
     "section_combined": S.SECTION_COMBINED, "visitor_timeseries": S.VISITOR_TIMESERIES,
 }
+TABLE_SCHEMAS |= {n: T.StructType.fromDDL(f"api_key string, site string, day timestamp, {f'{d} string, ' if d else ''}"
+                                          "page_views long, visitors_sketch binary") for n, d in DAILY.items()}
 
 
 def read_table(spark: SparkSession, path: str, table: str | None = None,
@@ -94,7 +102,7 @@ def read_table(spark: SparkSession, path: str, table: str | None = None,
     return spark.read.schema(sch).parquet(path)
 
 
-def write_model(model, root: str, mode: str = "append", batch_id: int | None = None) -> dict[str, str]:
+def write_model(model, root: str, mode: str = "append", batch_id: int | None = None, daily: bool = False) -> dict[str, str]:
     """Write the typed tables, then derive the facts from the *stored*
     typed tables (as the reference's views read stored tables).
 
@@ -102,7 +110,7 @@ def write_model(model, root: str, mode: str = "append", batch_id: int | None = N
     typed rows and what they add to the facts (:func:`write_facts`). Writing a
     batch again replaces it; without an id it gets the next free one.
     ``overwrite`` replaces whole tables (no batch folders); a root is filled by
-    one of the two.
+    one of the two. ``daily`` also writes the daily rollups (:func:`write_daily`).
 
     Reading back cuts the lineage: the enrichment of sessions runs once, not
     once per fact, and a lost executor only re-runs the stage at hand.
@@ -124,6 +132,8 @@ def write_model(model, root: str, mode: str = "append", batch_id: int | None = N
                      ("section_event", model.section)]:
         write_table(df, at[name], name, "overwrite")
     write_facts(spark, root, batch)
+    if daily:
+        write_daily(spark, root, batch)
     return paths
 
 
@@ -165,6 +175,16 @@ def write_facts(spark: SparkSession, root: str, batch: int | None) -> None:
         write_table(df, at[name], name, "overwrite")
 
 
+def write_daily(spark: SparkSession, root: str, batch: int | None, names=tuple(DAILY)) -> None:
+    """The daily rollups of a batch's stored fact rows, with a sketch of the
+    visitors. Rows of several batches for one day add up (sums, union of sketches), as
+    ``report.from_daily`` does; a batch written again replaces its own."""
+    at = lambda n: f"{root.rstrip('/')}/{n}" + ("" if batch is None else f"/batch={batch}")
+    fact = read_table(spark, at("section_combined"), "section_combined").drop("event_date")
+    for name in names:
+        write_table(rollup.daily(fact, DAILY[name], sketch=True), at(name), name, "overwrite")
+
+
 def _of_days(parents: DataFrame, children: DataFrame) -> DataFrame:
     """Stored parents of the days that the children's parent ids name: a row's
     event_date is the day of its id, so the join below needs no others. A join on
