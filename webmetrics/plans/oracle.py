@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import re
 
-from webmetrics import schema as S
 from webmetrics.operators.enrich import KIND_DEFAULTS
 from webmetrics.sources.catalogue import UA_RULES, USER_AGENTS
 
@@ -159,47 +158,6 @@ def with_model(select: str, ctes: str = "") -> str:
     return "WITH " + MODEL_CTES.strip() + extra + "\n" + select
 
 
-def in_list(vals) -> str:
-    return "(" + ", ".join(q(v) for v in vals) + ")"
-
-
-def ts_lit(x) -> str:
-    from webmetrics.functions.timefn import to_dt
-    return f"TIMESTAMP '{to_dt(x).isoformat(sep=' ')}'"
-
-
-def report_where(name: str, keys, sites, start=None, end=None, filters=None,
-                 time_col: str = "ts") -> str:
-    """The reference template's WHERE clause, rendered literally."""
-    from webmetrics.functions.timefn import range_days
-    w = [f"api_key IN {in_list(keys)}", f"site IN {in_list(sites)}"]
-    filters = filters or {}
-    if start is not None and end is not None:
-        lo, hi = ts_lit(start), ts_lit(end)
-        if name == "timeseries":
-            w.append(f"{time_col} >= {lo} AND {time_col} < {hi}")
-        else:
-            forced = any(filters.get(d) for d in S.FORCE_RAW[name])
-            if not forced and range_days(start, end) > 10:
-                w.append(f"date_trunc('day', ts) >= {lo} AND date_trunc('day', ts) < {hi}")
-            else:
-                w.append(f"ts >= {lo} AND ts < {hi}")
-    for d in S.REPORT_FILTERS[name]:
-        if filters.get(d):
-            w.append(f"{d} IN {in_list(filters[d])}")
-    return " AND ".join(w)
-
-
-def grain_expr(start, end, day_over: float, col: str = "ts") -> str:
-    from webmetrics.functions.timefn import granularity
-    g = granularity(start, end, day_over)
-    if g == "day":
-        return f"date_trunc('day', {col})"
-    if g == "hour":
-        return f"date_trunc('hour', {col})"
-    return f"epoch_ms(epoch_ms({col}) // 300000 * 300000)"
-
-
 UUID_RE_SQL = ("^([0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
                "|[0-9a-fA-F]{32})$")
 
