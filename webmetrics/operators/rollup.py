@@ -74,8 +74,8 @@ def session_timeseries(session: DataFrame, visitor: DataFrame) -> DataFrame:
 
     One pass: GROUPING SETS over (keys, os), (keys, browser) and (keys)
     computes the per-value counts and the totals together; the count maps
-    are then built from the small aggregated rows (bounded by the number of
-    distinct os / browser values), so no group ever collects raw rows.
+    and totals are then put together in one aggregate over these small rows (as
+    many as distinct os / browser values), so no group ever collects raw rows.
     """
     keys = ["api_key", "site", "ts_bin", "country_code"]
     sv = session_visitor(session, visitor).select(
@@ -86,15 +86,15 @@ def session_timeseries(session: DataFrame, visitor: DataFrame) -> DataFrame:
         F.grouping_id().alias("gid"))
     # grouping_id bits (keys, os, browser): os set -> 1 (browser aggregated),
     # browser set -> 2, totals -> 3
-    base = g.where(F.col("gid") == 3).select(*keys, F.col("n").alias("num"),
-                                             F.col("uniq").alias("uniq_visitors"))
+    def count_map(col: str, gid: int):
+        entry = F.when(F.col("gid") == gid, F.struct(F.col(col), F.col("n")))
+        return F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(col)
 
-    def count_map(col: str, gid: int) -> DataFrame:
-        return g.where(F.col("gid") == gid).groupBy(*keys).agg(F.map_from_entries(
-            F.array_sort(F.collect_list(F.struct(F.col(col), F.col("n"))))).alias(col))
+    def total(col: str):
+        return F.max(F.when(F.col("gid") == 3, F.col(col)))
 
-    return base.join(count_map("os", 1), keys).join(count_map("browser", 2), keys).select(
-        *keys, "os", "browser", "num", "uniq_visitors")
+    return g.groupBy(*keys).agg(count_map("os", 1), count_map("browser", 2), total("n").alias("num"),
+                                total("uniq").alias("uniq_visitors"))
 
 
 def daily(fact: DataFrame, dim: str | None = None, with_visitors: bool = False,
