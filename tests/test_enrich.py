@@ -123,3 +123,12 @@ def test_large_rule_table(spark):
     hit = enrich.user_agents(df, rules).where("device_model = concat('M', regexp_extract(user_agent, 'Model([0-9]+)', 1), ' v', "
                                               "regexp_extract(user_agent, 'x/([0-9])', 1))").count()
     assert (got, hit) == (10000, 8000)
+
+
+def test_range_pieces(spark):
+    ranges = [(0, 0), (5, 5), (1, 14), (0, 15), (7, 9), (2 ** 32 - 3, 2 ** 32 - 1), (0, 2 ** 32 - 1), (10, 3000), (9, 8)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(ranges)], "i int, s long, e long")
+    for row in df.select("i", "s", "e", enrich.range_pieces("s", "e").alias("p")).collect():
+        blocks = sorted((p.n << p.k, (p.n + 1 << p.k) - 1) for p in row.p)
+        assert all(a[1] + 1 == b[0] for a, b in zip(blocks, blocks[1:]))
+        assert (blocks[0][0], blocks[-1][1]) == (row.s, row.e) if row.s <= row.e else not blocks

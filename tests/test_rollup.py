@@ -78,3 +78,22 @@ def test_hierarchy_ids_exist_on_driver_data(spark):
     f = m.section_combined
     assert f.count() == m.section.join(
         m.session.select("api_key", "site", F.col("id").alias("parent")), ["api_key", "site", "parent"]).count()
+
+
+def test_daily_rollups_add_up_over_batches(spark, tmp_path):
+    from webmetrics import schema as S
+    from webmetrics.operators import report
+    from webmetrics.sources import sinks
+    rows = [("k", "s", f"2024-01-0{1 + i % 3} 0{i % 9}:00:00", f"/{i % 2}", f"v{i % 5}") for i in range(30)]
+    fact = spark.createDataFrame(rows, "api_key string, site string, ts string, path string, visitor string")
+    known = {"ts": "timestamp(ts)"} | {c: c for c in fact.columns if c != "ts"}
+    fact = fact.selectExpr(*[f"{known.get(f.name, 'cast(null as ' + f.dataType.simpleString() + ')')} AS {f.name}"
+                             for f in S.SECTION_COMBINED.fields])
+    for batch in (0, 1, 0):
+        sinks.write_table(fact.where(f"hour(ts) % 2 = {batch}"), f"{tmp_path}/section_combined/batch={batch}", "section_combined", "overwrite")
+        sinks.write_daily(spark, str(tmp_path), batch, ("daily_by_path", "daily_total"))
+    d = sinks.read_table(spark, f"{tmp_path}/daily_by_path", "daily_by_path", ("batch",))
+    got = {tuple(r) for r in report.from_daily(d, "by_path", "path", ["k"], ["s"]).collect()}
+    assert got == {("/0", 15), ("/1", 15)}
+    t = sinks.read_table(spark, f"{tmp_path}/daily_total", "daily_total", ("batch",))
+    assert report.from_daily(t, "total_visitors", None, ["k"], ["s"], with_visitors=True).first().visitors == 5

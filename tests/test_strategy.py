@@ -18,3 +18,9 @@ def test_unbounded_side_left_to_shuffle(spark):
     out = checked_broadcast(big, 999)
     assert not _has_broadcast_hint(out)
     assert big.join(out, "id").count() == 1000
+
+
+def test_wide_rows_are_not_bounded(spark, monkeypatch):
+    from webmetrics.plans import strategy
+    monkeypatch.setattr(strategy, "DIM_MAX_BYTES", 1000)
+    assert is_bounded(spark.range(20), 20) and not is_bounded(spark.range(21).selectExpr("repeat('x', 100) AS t"), 21)

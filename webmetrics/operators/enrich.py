@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webmetrics import schema as S
@@ -202,18 +202,29 @@ def _lookup_prefix(ips: DataFrame, blocks: DataFrame) -> DataFrame:
         F.struct("country_code", "state", "city", "latitude", "longitude"), F.col("plen")).alias("g"))
 
 
+def range_pieces(start: str, end: str) -> Column:
+    """The aligned blocks (k, n), n * 2^k .. (n + 1) * 2^k - 1, that make up [start, end]:
+    at each size at most one on the left (odd number) and one on the right."""
+    size = "bigint(shiftleft(1L, k))"
+    return F.expr(f"""filter(flatten(transform(
+        transform(sequence(0, 32), k -> named_struct('k', k,
+            'l', shiftright({start} + {size} - 1L, k), 'r', shiftright({end} + 1L, k))),
+        x -> array(named_struct('k', x.k, 'n', if(x.l < x.r and x.l % 2 = 1, x.l, null)),
+                   named_struct('k', x.k, 'n', if(x.l < x.r and x.r % 2 = 1, x.r - 1L, null))))),
+        x -> x.n is not null)""")
+
+
 def _lookup_range(ips: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Exact range match: blocks are listed under every /16 bucket they cover,
-    addresses join on their bucket, then ``between``; narrowest range wins."""
-    bk = blocks.select(
-        F.explode(F.sequence(F.shiftright("start", 16), F.shiftright("end", 16))).alias("_b"),
-        "start", "end", "country_code", "state", "city", "latitude", "longitude")
-    x = ips.select("_ipkey", "_ip", F.shiftright("_ip", 16).alias("_b"))
-    m = x.join(bk, "_b").where(F.col("_ip").between(F.col("start"), F.col("end")))
-    width = F.col("end") - F.col("start")
-    return m.groupBy("_ipkey").agg(F.min_by(
-        F.struct("country_code", "state", "city", "latitude", "longitude"),
-        F.struct(width, F.col("start"))).alias("g"))
+    """Exact range match as an equi join: a range is cut into its aligned blocks, and an
+    address looked up in the blocks of the sizes (at most 33) that occur; the narrowest
+    range wins."""
+    place = F.struct("country_code", "state", "city", "latitude", "longitude").alias("place")
+    pieces = blocks.select(F.explode(range_pieces("start", "end")).alias("p"), "start", "end", place).select(
+        "p.k", "p.n", (F.col("end") - F.col("start")).alias("width"), "start", "place")
+    sizes = sorted(r.k for r in pieces.select("k").distinct().limit(33).collect())
+    k = F.explode(F.array(*[F.lit(int(x)) for x in sizes] or [F.lit(0)])).alias("k")
+    x = ips.select("_ipkey", "_ip", k).select("_ipkey", "k", F.expr("shiftright(_ip, k)").alias("n"))
+    return x.join(pieces, ["k", "n"]).groupBy("_ipkey").agg(F.min_by("place", F.struct("width", "start")).alias("g"))
 
 
 def geo_ip(df: DataFrame, blocks: DataFrame, ip_col: str = "ipv4", mode: str = "range") -> DataFrame:

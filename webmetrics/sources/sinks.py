@@ -86,8 +86,9 @@ TABLE_SCHEMAS = {
     "section_event": S.SECTION_EVENT, "hierarchy_event": S.HIERARCHY_EVENT,
     "section_combined": S.SECTION_COMBINED, "visitor_timeseries": S.VISITOR_TIMESERIES,
 }
-TABLE_SCHEMAS |= {n: T.StructType.fromDDL(f"api_key string, site string, day timestamp, {f'{d} string, ' if d else ''}"
-                                          "page_views long, visitors_sketch binary") for n, d in DAILY.items()}
+for _name, _dim in DAILY.items():
+    _keys = T.StructType().add("api_key", "string").add("site", "string").add("day", "timestamp")
+    TABLE_SCHEMAS[_name] = (_keys.add(_dim, "string") if _dim else _keys).add("page_views", "long").add("visitors_sketch", "binary")
 
 
 def read_table(spark: SparkSession, path: str, table: str | None = None,
