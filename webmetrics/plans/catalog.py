@@ -645,6 +645,54 @@ def sink_append_visitor_timeseries(spark, sf_dir):
     return rollup.merge_timeseries(_appended(spark, sf_dir, "visitor_timeseries"))
 
 
+def _run_folder(spark, what):
+    import uuid
+
+    from webmetrics.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+@register("dims_from_files", SQL["iso_left_join"])
+def dims_from_files(spark, sf_dir):
+    """The country table and the address ranges written as CSV (with a header;
+    gzipped without one), read back and joined (D9)."""
+    from webmetrics import schema as S
+    from webmetrics.functions.net import long_to_ipv4
+    from webmetrics.sources import adapter, dims
+    run = _run_folder(spark, "dims")
+    adapter.iso_country(spark, sf_dir).select(*S.ISO_COUNTRY.names).write.option("header", True).csv(f"{run}/iso")
+    adapter.ip_ranges(spark, sf_dir).select(*S.IP_RANGE.names).write.option("compression", "gzip").csv(f"{run}/ranges")
+    b = enrich.blocks_from_ranges(dims.read_ip_range_csv(spark, f"{run}/ranges"), dims.read_iso_csv(spark, f"{run}/iso"))
+    return b.select(long_to_ipv4("start").alias("ip_range_start"), long_to_ipv4("end").alias("ip_range_end"),
+                    "country_code", "state", "city")
+
+
+@register("sink_compacted_timeseries", SQL["visitor_timeseries_state"])
+def sink_compacted_timeseries(spark, sf_dir):
+    """partial sums of two halves of the visitors, appended to one table and compacted:
+    one row per key."""
+    from webmetrics.sources import sinks
+    run = _run_folder(spark, "compact")
+    visitor = _m(spark, sf_dir).visitor
+    for k in (0, 1):
+        half = visitor.where(F.pmod(F.crc32("id"), F.lit(2)) == k)
+        sinks.write_table(rollup.visitor_timeseries(half), f"{run}/parts", "visitor_timeseries", "append")
+    sinks.compact_timeseries(spark, f"{run}/parts", f"{run}/whole")
+    return sinks.read_table(spark, f"{run}/whole", "visitor_timeseries").drop("event_date")
+
+
+@register("sink_backfill_section", SQL["route_section"])
+def sink_backfill_section(spark, sf_dir):
+    """A table that holds other rows is replaced by staged ones."""
+    from webmetrics.sources import sinks
+    run = _run_folder(spark, "backfill")
+    section = _m(spark, sf_dir).section
+    sinks.write_table(section.where("path like '%1'"), f"{run}/section_event", "section_event", "append")
+    sinks.backfill({"section_event": section}, run)
+    return sinks.read_table(spark, f"{run}/section_event", "section_event").select(
+        "api_key", "site", "id", "ts", "parent", "path", "query", "fragment", "title")
+
+
 @register("synth_visitors", SY.VISITORS)
 def synth_visitors(spark, sf_dir):
     """20 * base visitors (uniform year + three spikes)."""
