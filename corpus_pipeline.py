@@ -59,7 +59,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the order of the mix: _slot, _place, and _epoch of each."""
     configure(spark)
-    return mixing.mixed(docs, ident=ID)
+    return mixing.mixed(docs, ident=ID, max_epochs=None)
 
 
 STAGES = [

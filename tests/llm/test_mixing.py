@@ -74,3 +74,11 @@ def test_whole_table(spark):
     from tests.conftest import SF_SMALL
     a = sorted(tuple(r) for r in mixing.query(spark, SF_SMALL).collect())
     assert a == sorted(tuple(r) for r in mixing.query(spark, SF_SMALL).collect()) and len(a) > 100
+
+
+def test_a_tiny_source_does_not_end_the_mix(spark):
+    import corpus_pipeline
+    docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.lit("big").alias("source"))
+    docs = docs.unionByName(spark.createDataFrame([(-1, "tiny")], docs.schema))
+    m = corpus_pipeline.mix(spark, docs, "").agg(F.max("_slot").alias("last"), F.max(F.when(F.col("source") == "tiny", F.col("_epoch"))).alias("tiny")).first()
+    assert m["last"] + 1 >= 6251 and m["tiny"] >= 5

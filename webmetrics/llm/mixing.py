@@ -8,10 +8,11 @@ first meets all deadlines, so after t slots each source has had w * t blocks, gi
 less than one. At the end of a period all deviations are zero, so the pattern of one
 period (``period`` rows) is computed once, by a fold, and repeats.
 
-The mix has as many slots as there are blocks. A source that has too few blocks for its
-share starts again from its first (epoch 1, 2, ...); of one that has too many, the last
-blocks stay out. At most ``max_epochs`` passes over a source are made: the mix ends
-before the slot in which a source would need another.
+A source that has too few blocks for its share starts again from its first (epoch 1, 2,
+...). A caller may bound the mix: with ``max_epochs`` it has as many slots as there are
+blocks (of a source that has too many, the last stay out) and ends before the slot in which
+a source would need another pass. With None, as the query and the pipeline have it, small
+sources repeat as often as their share asks for.
 
 Numbering within a source is done in salted parts: counts of (source, part), their
 running sums, and a row number within each part, so that a source with a third of all
@@ -88,7 +89,7 @@ def pattern(sources: DataFrame, period: int = PERIOD) -> DataFrame:
 
 
 def mixed(docs: DataFrame, weights: DataFrame | dict | None = None, ident: str = "doc_id", source: str = "source",
-          block_docs: int = BLOCK_DOCS, period: int = PERIOD, max_epochs: int = 4) -> DataFrame:
+          block_docs: int = BLOCK_DOCS, period: int = PERIOD, max_epochs: int | None = 4) -> DataFrame:
     """All columns of the documents that the mix takes, a row per time taken, with _slot,
     _place (in the block) and _epoch."""
     spark = docs.sparkSession
@@ -111,11 +112,13 @@ def mixed(docs: DataFrame, weights: DataFrame | dict | None = None, ident: str =
     src = written(shares(known, period), "shares")
     slots = written(pattern(src, period), "pattern")
 
-    # the mix ends before the slot of the first block that a source can't give
-    out_of = src.withColumn("k", F.col("blocks") * max_epochs).withColumn("nth", F.expr("k % share")).join(slots, ["number", "nth"])
-    src = out_of.withColumn("end", F.expr(f"(k div share) * {period} + slot")).select(
-        "key", "blocks", "number", "share",
-        F.least(F.sum("blocks").over(Window.partitionBy()), F.min("end").over(Window.partitionBy())).alias("slots"))
+    every = Window.partitionBy()
+    n_slots = F.sum("blocks").over(every)
+    if max_epochs is not None:
+        # the mix ends before the slot of the first block that a source can't give
+        src = src.withColumn("k", F.col("blocks") * max_epochs).withColumn("nth", F.expr("k % share")).join(slots, ["number", "nth"])
+        n_slots = F.least(n_slots, F.min(F.expr(f"(k div share) * {period} + slot")).over(every))
+    src = src.select("key", "blocks", "number", "share", n_slots.alias("slots"))
 
     ahead = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("key", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
@@ -134,5 +137,5 @@ def mixed(docs: DataFrame, weights: DataFrame | dict | None = None, ident: str =
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op4: sources of ``documents`` mixed to weights in proportion to size^0.7."""
-    m = mixed(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source"))
+    m = mixed(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source"), max_epochs=None)
     return m.select("doc_id", "source", F.col("_slot").alias("slot"), F.col("_place").alias("place"), F.col("_epoch").alias("epoch"))
