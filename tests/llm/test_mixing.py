@@ -82,3 +82,16 @@ def test_a_tiny_source_does_not_end_the_mix(spark):
     docs = docs.unionByName(spark.createDataFrame([(-1, "tiny")], docs.schema))
     m = corpus_pipeline.mix(spark, docs, "").agg(F.max("_slot").alias("last"), F.max(F.when(F.col("source") == "tiny", F.col("_epoch"))).alias("tiny")).first()
     assert m["last"] + 1 >= 6251 and m["tiny"] >= 5
+
+
+def test_every_document_of_a_hot_source_comes(spark):
+    import corpus_pipeline
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 19))
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), key.alias("source"))
+    docs = docs.unionByName(spark.createDataFrame([(-1, "tiny")], docs.schema))
+    m = corpus_pipeline.mix(spark, docs, "")
+    assert docs.join(m, "doc_id", "left_anti").count() == 0
+    assert m.select("doc_id", "_epoch").distinct().count() == m.count()
+    per = m.groupBy("_slot").agg(F.count_distinct("source").alias("n"), F.count(F.lit(1)).alias("rows"))
+    r = per.agg(F.count(F.lit(1)).alias("slots"), F.max("_slot").alias("last"), F.max("n").alias("n"), F.max("rows").alias("rows")).first()
+    assert r["slots"] == r["last"] + 1 and r["n"] == 1 and r["rows"] <= 16

@@ -11,8 +11,9 @@ period (``period`` rows) is computed once, by a fold, and repeats.
 A source that has too few blocks for its share starts again from its first (epoch 1, 2,
 ...). A caller may bound the mix: with ``max_epochs`` it has as many slots as there are
 blocks (of a source that has too many, the last stay out) and ends before the slot in which
-a source would need another pass. With None, as the query and the pipeline have it, small
-sources repeat as often as their share asks for.
+a source would need another pass. With None, as the query and the pipeline have it, it ends
+with the slot in which the source furthest behind has given its last block: each document
+of a source with a weight comes at least once, the others repeat as their shares ask.
 
 Numbering within a source is done in salted parts: counts of (source, part), their
 running sums, and a row number within each part, so that a source with a third of all
@@ -112,13 +113,14 @@ def mixed(docs: DataFrame, weights: DataFrame | dict | None = None, ident: str =
     src = written(shares(known, period), "shares")
     slots = written(pattern(src, period), "pattern")
 
+    # a bounded mix ends before the slot of the first block that a source can't give,
+    # a whole one after the slot of the last block that has not been given yet
     every = Window.partitionBy()
-    n_slots = F.sum("blocks").over(every)
-    if max_epochs is not None:
-        # the mix ends before the slot of the first block that a source can't give
-        src = src.withColumn("k", F.col("blocks") * max_epochs).withColumn("nth", F.expr("k % share")).join(slots, ["number", "nth"])
-        n_slots = F.least(n_slots, F.min(F.expr(f"(k div share) * {period} + slot")).over(every))
-    src = src.select("key", "blocks", "number", "share", n_slots.alias("slots"))
+    k = F.col("blocks") - 1 if max_epochs is None else F.col("blocks") * max_epochs
+    at = src.withColumn("k", k).withColumn("nth", F.expr("k % share")).join(slots, ["number", "nth"])
+    at = at.withColumn("end", F.expr(f"(k div share) * {period} + slot"))
+    n_slots = F.max("end").over(every) + 1 if max_epochs is None else F.least(F.sum("blocks").over(every), F.min("end").over(every))
+    src = at.select("key", "blocks", "number", "share", n_slots.alias("slots"))
 
     ahead = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("key", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
