@@ -305,6 +305,29 @@ def test_alignment_is_a_union_free_expression():
     assert ul[3][0][2] and ul[3][0][3][0][3] is None and p[3][0][3] == "=x"
 
 
+def test_text_of_one_page_is_not_template(spark):
+    """A block, an inline element and an article that only one page of a host has; copies; end tags beyond DEPTH."""
+    def page(i, extra="", tag="article"):
+        return f"<body><{tag}><h1>Title {i}</h1><p>x{i}</p>{extra}</{tag}></body>"
+    quote = "<blockquote>Q</blockquote><p>y</p>"
+    pages = [(i, f"http://{tag}.test/{i}", page(i, quote if i % 10 == 0 else "", tag)) for k, tag in enumerate(("article", "div")) for i in range(10 * k, 10 * k + 6)]
+    pages += [(20 + i, f"http://em.test/{i}", f"<body><div><p>z{i}{' <em>E</em>' if not i else ''}</p><div class=line>Always.</div></div></body>") for i in range(6)]
+    pages += [(30 + i, f"http://same.test/{i}", f"<body><aside>ad {i}</aside><article><h1>S</h1><p>one</p></article></body>") for i in range(5)]
+    pages += [(40 + i, f"http://body.test/{i}", f"<body><footer>{i}</footer><h1>S</h1><p>one</p></body>") for i in range(5)]
+    pages += [(50 + i, f"http://token.test/{i}", f"<body><div>token {i}</div><article><h1>S</h1><p>one</p></article></body>") for i in range(5)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {x["page_id"]: x["text"] for x in html_text.extracted(df).collect()}
+    for i in (0, 10):
+        assert got[i] == f"Title {i}\nx{i}\nQ\ny" and got[i + 1] == f"Title {i + 1}\nx{i + 1}"
+    assert got[20] == "z0 E" and got[21] == "z1"
+    assert {got[30 + i] for i in range(5)} | {got[40 + i] for i in range(5)} | {got[50 + i] for i in range(5)} == {"S\none"}
+
+
+def test_end_tags_beyond_the_depth():
+    deep = "<div>" * 70 + "<span>in</span>" + "</div>" * 70
+    assert html_text.main_text(f"<body><div role=main><p>a</p>{deep}<p>b</p></div><p>out</p></body>", None) == "a\nin\nb"
+
+
 def test_whole_pages_table(spark):
     import html
     pages = {r[0]: r[1] for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("page_id", "html").collect()}

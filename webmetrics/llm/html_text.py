@@ -21,7 +21,7 @@ inside a block becomes one space.
 Defined results: null, empty or textless html: empty text; broken markup (unclosed,
 stray or truncated tags, comments and references) is read as far as it goes, as browsers
 do; equal pages count once in a wrapper, so copies make no text fixed; null URLs share
-the empty host; nesting deeper than ``DEPTH`` is flattened; an empty table gives no rows;
+the empty host; nesting deeper than ``DEPTH`` is flattened, with its end tags; an empty table gives no rows;
 other columns are not read.
 """
 
@@ -30,6 +30,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -80,6 +81,7 @@ def tree(source: str) -> Node:
     """The page's elements, with browsers' leniency for what is left open."""
     root = Node("#", "#")
     stack, at = [root], 0
+    deep: Counter[str] = Counter()      # open elements beyond DEPTH, which are not on the stack
 
     def text(raw):
         if raw:
@@ -97,16 +99,26 @@ def tree(source: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
+            if deep[tag]:
+                deep[tag] -= 1
+                continue
             _close(stack, tag)
+            if len(stack) < DEPTH:
+                deep.clear()
             continue
         _open(stack, tag)
+        if len(stack) < DEPTH:
+            deep.clear()
         node = _element(tag, m[3])
         stack[-1].kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(source, at)
             at = end.end() if end else len(source)
-        elif tag not in VOID and not m[3].rstrip().endswith("/") and len(stack) < DEPTH:
-            stack.append(node)
+        elif tag not in VOID and not m[3].rstrip().endswith("/"):
+            if len(stack) < DEPTH:
+                stack.append(node)
+            else:
+                deep[tag] += 1
     return root
 
 
@@ -219,6 +231,11 @@ def aligned(a: list, b: list) -> list:
     return out + [merged(p, q) for p, q in zip(a[n:], b[len(b) - tail:], strict=True)]
 
 
+def differs(wrap: list) -> bool:
+    """Whether the pages of a wrapper differ in a text or an element."""
+    return wrap[1] or (wrap[3] is None if wrap[0] is None else any(map(differs, wrap[3])))
+
+
 # --- extraction
 
 def never(node: Node) -> bool:
@@ -254,6 +271,9 @@ def main_text(source: str | None, host_wrapper: list | None) -> str:
         return ""
     root = tree(source)
     inside = set(map(id, region(root)))
+    # text of an article is never taken for its template's, nor is that of pages that don't differ
+    if id(root) not in inside or host_wrapper is None or not differs(host_wrapper):
+        host_wrapper = None
     blocks: list[str] = []
     words: list[str] = []
 
@@ -264,7 +284,7 @@ def main_text(source: str | None, host_wrapper: list | None) -> str:
             blocks.append(line)
 
     def walk(node: Node, wrap: list | None, on: bool, within: frozenset):
-        slots = wrap[3] if wrap else []
+        slots = wrap[3] if wrap and not wrap[1] else []     # what is optional has no fixed texts
         at = 0
         for k in node.kids:
             match = next((n for n in range(at, len(slots)) if slots[n][0] == k.label), None)
