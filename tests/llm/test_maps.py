@@ -158,6 +158,20 @@ def test_quality_edge_cases(spark):
     assert quality.judged(frame(spark, []).limit(0)).count() == 0
 
 
+def test_rare_languages_keep_their_clean_documents(spark):
+    r = random.Random(7)
+    vocabulary = lambda letters, n: ["".join(r.choice(letters) for _ in range(r.randint(2, 7))) for _ in range(n)]
+    clean = lambda words, n: " ".join(r.choice(words) for _ in range(n))
+    latin, russian, greek = vocabulary("abcdefghij", 300), vocabulary("абвгдежзик", 40), vocabulary("αβγδεζηθικ", 40)
+    many = spark.createDataFrame([(i, clean(latin, 600), "en") for i in range(20)], "doc_id long, text string, lang string")
+    many = many.crossJoin(spark.range(120).select((F.col("id") * 100).alias("k"))).select((F.col("doc_id") + F.col("k")).alias("doc_id"), "text", "lang")
+    marks = " ".join("".join(r.choice("#$%&|<>0123456789") for _ in range(8)) for _ in range(80))
+    rows = [(-1 - i, clean(russian, 200), "ru") for i in range(6)] + [(-10, clean(greek, 80), "el"), (-11, marks, "en"), (-12, marks, "ru"), (-13, "мало", "el")]
+    got = {x["doc_id"]: x["kept"] for x in quality.judged(many.unionByName(spark.createDataFrame(rows, many.schema))).where("doc_id < 100").collect()}
+    assert [got[-1 - i] for i in range(6)] == [True] * 6 and got[-10] and got[0]
+    assert not got[-11] and not got[-12] and not got[-13] and len(got) == len(rows) + 20
+
+
 # --- language
 
 def test_language_held_out_accuracy(spark):

@@ -3,18 +3,22 @@
 First pass: every document with a language adds its characters (by class) and words
 (by 2^14 ranges of the word's fingerprint) to its language's histograms; tasks add up
 before anything is shuffled. A language's common words are its ``COMMON`` fullest
-ranges; a frequent word makes its range stand out, rare ones even out. References of
-languages with a thousandth of all words or more (so at most a thousand) are collected.
+ranges; a frequent word makes its range stand out, rare ones even out. Each language
+with ``REFERENCE_WORDS`` words has a reference, a row of a table; those of languages with
+a thousandth of all words or more (so at most a thousand) are collected.
 
-Second pass, without a shuffle: for each document the Jensen-Shannon distances (base 2)
-of its character classes and of its common words (and the rest as one class) to each
-reference. It passes if, for some language, both distances are within their limits.
-Documents under ``min_words`` are not judged by distance: their histograms are noise.
+Second pass: for each document the Jensen-Shannon distances (base 2) of its character
+classes and of its common words (and the rest as one class) to each collected reference,
+without a shuffle; documents of other languages are joined with their own reference and
+judged by it too. It passes if, for some language, both distances are within their limits.
+Documents under ``min_words`` are not judged by distance: their histograms are noise; nor
+are those of a language without a reference.
 
 Defined results: a null or wordless text has zero counts and fails the base rules; no
 language anywhere: no references, distances null, the base rules decide; an empty table
 gives no rows; repeated rows are judged each by itself; other columns are not read
-unless carried. A language tag is used for the references only, not for judging.
+unless carried. A language tag is used for the references, and for judging only in
+documents of languages that are not collected.
 """
 
 from __future__ import annotations
@@ -24,11 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from webmetrics.llm.blocks import written
 from webmetrics.llm.frames import mapped, narrowed, ship
 from webmetrics.llm.words import _BASE, Texts, Words, _ranges, _tables, covered, mix, slices
 
 COMMON = 64
 RANGES = 1 << 14
+#: A language with fewer words is not known well enough to reject a document by.
+REFERENCE_WORDS = 1000
 _SHIFT = np.uint64(64 - 14)
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -51,8 +58,8 @@ def _classes(t: Texts) -> np.ndarray:
     return np.bincount(doc[first] * CLASSES + _CLASS[t.data[first]], minlength=len(t) * CLASSES).reshape(-1, CLASSES)
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """language -> (class distribution, common ranges, their distribution and the rest's)."""
+def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, words, ref): each language's words and, of those with enough, the packed reference."""
     def count(batches):
         chars: dict[str, np.ndarray] = {}
         ranges: dict[str, np.ndarray] = {}
@@ -78,23 +85,27 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
     cells = flat.mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     packed = cells.groupBy("lang").agg(F.sum(F.when(F.col("cell") >= CLASSES, F.col("n"))).alias("words"),
                                        F.collect_list(F.struct("cell", "n")).alias("cells"))
-    total = F.sum("words").over(_everything())
-    rows = packed.withColumn("total", total).where(F.col("words") * 1000 >= F.col("total")).select("lang", "cells").collect()
-    out = {}
-    for r in rows:
-        n = np.zeros(CLASSES + RANGES)
-        for x in r["cells"]:
-            n[x["cell"]] = x["n"]
-        chars, words = n[:CLASSES], n[CLASSES:]
-        top = np.sort(np.argsort(-words, kind="stable")[:COMMON])
-        common = np.append(words[top], words.sum() - words[top].sum())
-        out[r["lang"]] = (chars / chars.sum(), top, common / common.sum())
-    return out
 
+    def pack(batches):
+        for batch in batches:
+            refs = []
+            for words, cells in zip(batch.column("words").to_pylist(), batch.column("cells"), strict=True):
+                n = np.zeros(CLASSES + RANGES)
+                n[cells.values.field("cell").to_numpy()] = cells.values.field("n").to_numpy()
+                chars, each = n[:CLASSES], n[CLASSES:]
+                top = np.sort(np.argsort(-each, kind="stable")[:COMMON])
+                common = np.append(each[top], each.sum() - each[top].sum())
+                enough = (words or 0) >= REFERENCE_WORDS
+                refs.append(np.concatenate([chars / chars.sum(), top, common / common.sum()]).tobytes() if enough else None)
+            yield pa.RecordBatch.from_pydict({"lang": batch.column("lang"), "words": batch.column("words"), "ref": pa.array(refs, pa.binary())})
+
+    return written(packed.mapInArrow(pack, "lang string, words long, ref binary"), "references")
 
-def _everything():
-    from pyspark.sql import Window
-    return Window.partitionBy()
+
+def unpacked(ref: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class distribution, common ranges, their distribution and the rest's."""
+    chars, top, common = np.split(np.frombuffer(ref), [CLASSES, CLASSES + COMMON])
+    return chars, top.astype(np.int64), common
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -144,7 +155,18 @@ def judged(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang: str
            min_words: int = 50, max_class: float = 0.3, max_common: float = 0.5, refs: dict | None = None) -> DataFrame:
     """One row per document: id, carried columns, the counts, base_failed, class_distance,
     common_distance (to the nearest language, by the larger share of its limit), kept."""
-    refs = references(docs, text, lang) if refs is None else refs
+    rare = None
+    if refs is None:
+        known = references(docs, text, lang)
+        total = known.agg(F.sum("words")).first()[0] or 0
+        large = F.coalesce(F.col("words") * 1000 >= total, F.lit(False)) & F.col("ref").isNotNull()
+        refs = {r["lang"]: unpacked(r["ref"]) for r in known.where(large).collect()}
+        rest = known.where(~large).select(F.col("lang").alias("~lang"), F.col("ref").alias("~own"))
+        if not rest.isEmpty():
+            tag = F.col(f"`{lang}`")
+            named = tag.isNotNull() & ~tag.isin(list(refs))
+            rare = docs.where(named).join(rest, tag == F.col("~lang"), "left")
+            docs = docs.where(~named)
 
     def judge(batch):
         t = Texts(batch.column("text"))
@@ -156,24 +178,33 @@ def judged(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang: str
         ranges, doc = (w.hashes >> _SHIFT).astype(np.int64), w.doc
         best = np.full(len(t), np.inf)
         near = [np.full(len(t), np.nan), np.full(len(t), np.nan)]
-        for _, (ref, top, common) in sorted(refs.items()):
+        own = batch.column("own").to_pylist() if "own" in batch.schema.names else []
+        each = [(r, None) for _, r in sorted(refs.items())]
+        each += [(unpacked(r), np.array([x == r for x in own])) for r in sorted(set(own) - {None})]
+        for (ref, top, common), rows in each:
             at = np.full(RANGES, len(top))
             at[top] = np.arange(len(top))
-            h = np.bincount(doc * (len(top) + 1) + at[ranges], minlength=len(t) * (len(top) + 1)).reshape(len(t), -1)
+            mine = slice(None) if rows is None else rows[doc]
+            h = np.bincount(doc[mine] * (len(top) + 1) + at[ranges[mine]], minlength=len(t) * (len(top) + 1)).reshape(len(t), -1)
             a = distance(chars, ref)
             b = distance(h / np.maximum(h.sum(axis=1, keepdims=True), 1), common)
             share = np.maximum(a / max_class, b / max_common)
-            closer = share < best
+            closer = share < best if rows is None else rows & (share < best)
             best = np.where(closer, share, best)
             near = [np.where(closer, x, y) for x, y in zip((a, b), near, strict=True)]
-        passed = (c["n_words"] < min_words) | (best <= 1) if refs else np.ones(len(t), bool)
+        passed = (c["n_words"] < min_words) | (best <= 1) if refs or own else np.ones(len(t), bool)
+        if own:
+            passed |= np.array([x is None for x in own])
         out = {k: pa.array(x, pa.int64()) for k, x in c.items()}
         return out | {"base_failed": pa.array(bad), "class_distance": pa.array(near[0], pa.float64(), from_pandas=True),
                       "common_distance": pa.array(near[1], pa.float64(), from_pandas=True), "kept": pa.array(~bad & passed)}
 
-    return mapped(narrowed(docs, ident, text, carry), judge,
-                  "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-                  "base_failed boolean, class_distance double, common_distance double, kept boolean", ident, carry, text)
+    kind = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+            "base_failed boolean, class_distance double, common_distance double, kept boolean")
+    out = mapped(narrowed(docs, ident, text, carry), judge, kind, ident, carry, text)
+    if rare is not None:
+        out = out.union(mapped(narrowed(rare, ident, text, carry, own=F.col("~own")), judge, kind, ident, carry, text))
+    return out
 
 
 def query(spark, sf_dir: str) -> DataFrame:
