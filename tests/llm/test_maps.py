@@ -225,6 +225,18 @@ def test_language_edge_cases(spark):
     assert langid.identified(frame(spark, []).limit(0), m).count() == 0
 
 
+def test_rare_languages_are_learned(spark):
+    r = random.Random(5)
+    words = {f"l{k:02}": ["".join(r.choice(chr(97 + 2 * k) + chr(98 + 2 * k) + "é") for _ in range(r.randint(3, 8))) for _ in range(30)] for k in range(12)}
+    rows = [(k, lang) for k, lang in enumerate(sorted(words) * 2)] + [(100 + k, "l00") for k in range(3000)]
+    rows = [(i, " ".join(r.choice(words[lang]) for _ in range(12)), lang) for i, lang in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    m = langid.fitted(df, F.lit(True), "doc_id", "text", "lang")
+    assert m.langs == sorted(words) and len(m.langs) > langid.HELD
+    got = {x["doc_id"]: x["lang_pred"] for x in langid.identified(df, m).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+
+
 # --- URLs
 
 def test_url_rules(spark):

@@ -9,8 +9,9 @@ lookup steps through thousands of segments at once.
 
 The sample (the only thing fitted) is bounded by documented parameters: per language
 ``SAMPLE_DOCS`` labelled documents with the smallest hashes, ``SAMPLE_CHARS`` characters
-of each, of languages with a thousandth of the labelled documents or more. Prediction
-uses the text alone.
+of each. Every language with a labelled text is learned. A model holds each automaton as
+compressed edges; the dense tables of more than ``HELD`` languages are made one after the
+other for each batch of texts. Prediction uses the text alone.
 
 Defined results: null text or no letter: ``und`` with score 0; no labelled text: ``und``
 for all; equal counts: the language first by name; score: how far the winner is ahead,
@@ -19,17 +20,21 @@ for all; equal counts: the language first by name; score: how far the winner is
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webmetrics.llm.blocks import expand, squeeze
 from webmetrics.llm.frames import mapped, narrowed
 from webmetrics.llm.words import LOWER, Texts
 
 SAMPLE_DOCS = 48
 SAMPLE_CHARS = 1500
 SEGMENT = 256
+HELD = 8      # languages whose dense tables a task keeps
 _LETTER = np.zeros(256, bool)
 _LETTER[0x61:0x7B] = True
 _LETTER[0x80:] = True
@@ -77,7 +82,7 @@ def automaton(text: bytes) -> list[dict[int, int]]:
 
 
 class Model:
-    """Dense automata by language over the symbols seen in any sample."""
+    """Automata by language over the symbols seen in any sample."""
 
     def __init__(self, samples: dict[str, list[str]]):
         self.langs = sorted(samples)
@@ -89,14 +94,24 @@ class Model:
         self.code = np.zeros(256, np.int64)
         self.code[seen] = np.arange(1, len(seen) + 1)
         self.width = len(seen) + 1            # code 0: seen in no sample, matches nothing
-        self.tables = []
+        self.edges = []
+        self.dense: dict[int, np.ndarray] = {}
         for k in self.langs:
             nxt = automaton(texts[k])
-            t = np.zeros((len(nxt), self.width), np.int32)
-            for s, edges in enumerate(nxt):
-                for c, to in edges.items():
-                    t[s, self.code[c]] = to
-            self.tables.append((t * self.width).ravel())
+            by = np.fromiter(chain.from_iterable(nxt), np.uint8)
+            to = np.fromiter(chain.from_iterable(e.values() for e in nxt), np.int32)
+            self.edges.append([squeeze(x) for x in (np.array([len(e) for e in nxt], np.uint16), by, to)])
+
+    def table(self, k: int) -> np.ndarray:
+        """The dense automaton of a language: state and symbol to state, in steps of width."""
+        if k in self.dense:
+            return self.dense[k]
+        out, by, to = [expand(x, kind) for x, kind in zip(self.edges[k], (np.uint16, np.uint8, np.int32), strict=True)]
+        t = np.zeros(len(out) * self.width, np.int32)
+        t[np.repeat(np.arange(len(out)), out) * self.width + self.code[by]] = to * self.width
+        if k < HELD:
+            self.dense[k] = t
+        return t
 
     def phrases(self, t: Texts) -> np.ndarray:
         """Phrases that each text needs, by language: (languages, texts)."""
@@ -112,7 +127,8 @@ class Model:
         code = self.code[d]
         active = np.searchsorted(-length, -np.arange(SEGMENT), side="left")   # segments longer than j
         out = np.zeros((len(self.langs), len(t)), np.int64)
-        for k, table in enumerate(self.tables):
+        for k in range(len(self.langs)):
+            table = self.table(k)
             state = np.zeros(len(start), np.int32)
             count = np.zeros(len(start), np.int64)
             for j in range(int(length[0]) if len(length) else 0):
@@ -133,11 +149,7 @@ def fitted(docs: DataFrame, labelled: Column, ident: str, text: str, lang: str)
     rows = rows.where("l is not null and length(t) > 0")
     key = F.xxhash64("i", F.octet_length("t"))
     slot = F.pmod(F.xxhash64("i", F.lit(1)), F.lit(SAMPLE_DOCS))
-    picked = rows.groupBy("l", slot.alias("s")).agg(F.min(key).alias("k"), F.count(F.lit(1)).alias("n"))
-    from pyspark.sql import Window
-    by_lang = picked.groupBy("l").agg(F.sum("n").alias("n"), F.collect_list("k").alias("ks"))
-    by_lang = by_lang.withColumn("all", F.sum("n").over(Window.partitionBy())).where("n * 1000 >= all")
-    keys = by_lang.select("l", F.explode("ks").alias("k")).distinct()
+    keys = rows.groupBy("l", slot.alias("s")).agg(F.min(key).alias("k")).select("l", "k").distinct()
     want = rows.select("l", key.alias("k"), F.substring("t", 1, SAMPLE_CHARS).alias("t"))
     found = want.join(F.broadcast(keys), ["l", "k"]).groupBy("l", "k").agg(F.min("t").alias("t"))
     samples: dict[str, list[str]] = {}
