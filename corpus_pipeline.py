@@ -7,11 +7,11 @@ n_chars. Null or empty texts fail the quality rules; an empty table stays empty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webmetrics.llm import decontaminate, minhash, mixing, quality, window_dedup
-from webmetrics.llm.blocks import scratch, step, written
+from webmetrics.llm.blocks import scratch, step
 from webmetrics.session import configure
 
 ID, TEXT, CHARS = "doc_id", "text", "n_chars"
@@ -28,13 +28,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: that with the smallest id."""
     configure(spark)
-    found = written(minhash.near_duplicates(docs, ID, TEXT).select(F.col(ID).alias("i"), "kept"), "near")
-    stay = found.groupBy("i").agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("kept")
-    one, many = [stay.where(c).select(F.col("i").alias("~id")) for c in ("n = 1", "n > 1")]
-    same = F.col(ID).eqNullSafe(F.col("~id"))
-    first = Window.partitionBy(ID).orderBy(TEXT, F.xxhash64(*docs.columns))
-    again = docs.join(many, same, "left_semi").withColumn("~r", F.row_number().over(first)).where("`~r` = 1").drop("~r")
-    return docs.join(one, same, "left_semi").unionByName(again)
+    rows = minhash.keyed(docs, ID)
+    if rows is not None:
+        stay = minhash.by_row(rows, ID, TEXT).where("kept").select(minhash.KEY)
+        return rows.join(stay, minhash.KEY, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    stay = minhash.near_duplicates(docs, ID, TEXT).where("kept").select(F.col(ID).alias("~id"))
+    return docs.join(stay, F.col(ID) == F.col("~id"), "left_semi")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -106,3 +106,23 @@ def test_large_group_of_unlinked_and_linked_copies(spark):
         rows.append((i, " ".join(w)))
     got = sorted(tuple(x) for x in minhash.near_duplicates(frame(spark, rows)).collect())
     assert got == brute(rows) and len({x[2] for x in got}) > 5
+
+
+def test_each_row_is_a_document(spark):
+    """Null and repeated ids with different texts, some of them copies of others."""
+    import random
+
+    import corpus_pipeline
+    r = random.Random(2)
+    t = [" ".join(r.choice("abcdefgh") + str(r.randrange(500)) for _ in range(40)) for _ in range(40)]
+    rows = [(None, t[k]) for k in range(12)] + [(5, t[12]), (5, t[13]), (5, t[14]), (6, t[13]), (8, t[3]), (9, t[20]), (9, t[20]), (3, t[14] + " end")]
+    rows += [(20 + k, t[21 + k]) for k in range(10)]
+    got = minhash.near_duplicates(frame(spark, rows)).collect()
+    assert len(got) == len(rows) and sum(x["kept"] for x in got) == 26
+    comp = {k: sorted((x["component_id"], x["kept"]) for x in got if x["doc_id"] == k) for k in (3, 5, 6, 8, 9)}
+    assert comp == {3: [(3, True)], 5: [(3, False), (5, True), (5, True)], 6: [(5, False)], 8: [(None, False)], 9: [(9, False), (9, True)]}
+    assert all(x["kept"] and x["component_id"] is None for x in got if x["doc_id"] is None)
+    left = corpus_pipeline.near_duplicates(spark, frame(spark, rows), "")
+    assert left.columns == frame(spark, rows).columns
+    want = [(None, t[k]) for k in range(12)] + [(5, t[12]), (5, t[13]), (9, t[20]), (3, t[14] + " end")] + [(20 + k, t[21 + k]) for k in range(10)]
+    assert sorted(((x["doc_id"], x["text"]) for x in left.collect()), key=repr) == sorted(want, key=repr)

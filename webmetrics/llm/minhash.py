@@ -29,9 +29,10 @@ Every other pair is already connected or no link.
 Full sets are read again for the ids in question only.
 
 Defined results: a null or wordless text has no shingles, is a component of its own and
-kept; with fewer words than a shingle the whole sequence is the one shingle; rows with
-equal ids count as one document with the first of their sets by size and hash; a null
-id is judged as an id before all others; an empty table gives no rows.
+kept; with fewer words than a shingle the whole sequence is the one shingle; each row is
+a document of its own: where ids are null or repeat, the rows are written with numbers and
+compared by those; a component is reported by its smallest id, null before all others, and
+keeps one row of it; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -49,6 +50,7 @@ from webmetrics.llm.words import SPACES, Texts, Words, mix
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 NONE = np.iinfo(np.int64).min + 1     # has a negative
 FINE = 2048
+KEY = "~row"
 
 
 def shingles(t: Texts, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,9 +160,37 @@ def one_each(rows: DataFrame, order) -> DataFrame:
 def near_duplicates(docs: DataFrame, ident: str = "doc_id", text: str = "text", k: int = 5, percent: int = 75,
                     bands: int = 48, rows: int = 4) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept. Worked out when called."""
+    rows_of = keyed(docs.select(F.col(f"`{ident}`"), F.col(f"`{text}`")), ident)
+    if rows_of is None:
+        return _quietly(docs, ident, text, k, percent, bands, rows)
+    found = by_row(rows_of, ident, text, k, percent, bands, rows)
+    out = written(found.drop(KEY), "components")
+    discard(rows_of)
+    return out
+
+
+def keyed(docs: DataFrame, ident: str) -> DataFrame | None:
+    """The documents with a number for each row, written, if the ids don't tell them apart."""
+    ids = docs.select(F.col(f"`{ident}`").try_cast("long").alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    if ids.where("n > 1 or i is null").isEmpty():
+        return None
+    return written(docs.withColumn(KEY, F.monotonically_increasing_id()), "rows")
+
+
+def by_row(rows_of: DataFrame, ident: str, text: str, k: int = 5, percent: int = 75, bands: int = 48, rows: int = 4) -> DataFrame:
+    """Of numbered rows: the number, id, n_shingles, component_id, kept."""
+    found = _quietly(rows_of, KEY, text, k, percent, bands, rows).select(KEY, "n_shingles", F.col("component_id").alias("c"))
+    i = F.col(f"`{ident}`")
+    i = i.cast("long") if rows_of.schema[ident].dataType.typeName() in ("byte", "short", "integer") else i
+    named = found.join(rows_of.select(KEY, F.col(f"`{ident}`"), i.alias("i")), KEY)
+    first = named.groupBy("c").agg(F.min(F.struct(F.col("i").isNotNull(), "i", F.col(KEY))).alias("f")).select("c", F.col("f.i").alias("component_id"), F.col(f"f.`{KEY}`").alias("r"))
+    return named.join(first, "c").select(KEY, F.col(f"`{ident}`"), "n_shingles", "component_id", (F.col(KEY) == F.col("r")).alias("kept"))
+
+
+def _quietly(docs: DataFrame, *how) -> DataFrame:
     # many joins follow each other: what is broadcast stays small for the driver's sake
     with setting(docs.sparkSession, "spark.sql.adaptive.autoBroadcastJoinThreshold", "8MB"):
-        return _near_duplicates(docs, ident, text, k, percent, bands, rows)
+        return _near_duplicates(docs, *how)
 
 
 def _near_duplicates(docs: DataFrame, ident: str, text: str, k: int, percent: int, bands: int, rows: int) -> DataFrame:
