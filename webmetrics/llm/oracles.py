@@ -93,3 +93,71 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit
        sha256(coalesce(who.t, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN who USING (doc_id)
 """
+
+SHARDS = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, ''))::BIGINT + 8 AS size FROM documents),
+n AS (SELECT count(*) AS rows, greatest(1, (sum(size) + (16 << 20) - 1) // (16 << 20))::BIGINT AS buckets FROM d),
+drawn AS (SELECT doc_id, ('0x' || substr(md5('11:' || doc_id::VARCHAR), 1, 13))::BIGINT AS draw FROM d),
+fixed AS (SELECT doc_id, draw % buckets AS bucket,
+                 row_number() OVER (PARTITION BY draw % buckets ORDER BY draw, doc_id::VARCHAR) AS place FROM drawn, n),
+each AS (SELECT bucket, count(*) AS n, list(doc_id ORDER BY place) AS ids FROM fixed GROUP BY bucket),
+swaps AS (SELECT bucket, list(i + 1 ORDER BY i DESC) AS hi, list(('0x' || substr(md5('11:' || bucket || ':' || i), 1, 13))::BIGINT % (i + 1) + 1 ORDER BY i DESC) AS lo
+          FROM (SELECT bucket, unnest(range(1, n)) AS i FROM each) GROUP BY bucket),
+mixed AS (SELECT bucket, n, coalesce(sum(n) OVER (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first,
+                 list_reduce(list_transform(coalesce(hi, []::BIGINT[]), lambda x, k: [x, lo[k]]),
+                   lambda a, s: list_transform(a, lambda x, k: CASE WHEN k = s[1] THEN a[s[2]] WHEN k = s[2] THEN a[s[1]] ELSE x END), ids) AS ids
+          FROM each LEFT JOIN swaps USING (bucket)),
+ranked AS (SELECT unnest(ids) AS doc_id, first + unnest(range(0, n)) AS rank FROM mixed),
+dealt AS (SELECT doc_id, rank, (rank * 24) // rows AS shard, rows FROM ranked, n),
+crc_table AS (SELECT list(list_reduce(range(0, 8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) ORDER BY b) AS crc
+              FROM range(0, 256) r(b)),
+summed AS (SELECT doc_id, size, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: ('0x' || h)::BIGINT),
+             lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)::BIGINT AS text_crc32 FROM d, crc_table)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INT AS shard, (rank - (shard * rows + 23) // 24)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM dealt JOIN summed USING (doc_id)
+"""
+
+_FLOOR = "((s - ((s % n) + n) % n) // n)"      # floor of the exact quotient, n > 0
+
+
+def _rounds(t: str, rounds: int, by: str = "") -> str:
+    """Assignment and moving of entries (by part, if any), a pair of steps a round; the last one assigns only."""
+    out, on = [], "USING (part)" if by else "ON true"
+    for r in range(rounds + 1):
+        out.append(f"""{t}_at{r} AS MATERIALIZED (
+  SELECT id, {by} arg_min(entry, {{'d': d, 'entry': entry}}) AS entry, min(d) AS d FROM (
+    SELECT id, {by} entry, list_sum(list_transform(x.v, lambda c, i: (c - e.v[i]) * (c - e.v[i])))::BIGINT AS d FROM {t}_x x JOIN {t}_e{r} e {on})
+  GROUP BY ALL)""")
+        if r < rounds:
+            out.append(f"""{t}_e{r + 1} AS MATERIALIZED (
+  SELECT {by} entry, coalesce(m.v, e.v) AS v FROM {t}_e{r} e LEFT JOIN (
+    SELECT {by} entry, list({_FLOOR} ORDER BY i) AS v FROM (
+      SELECT {by} entry, i, sum(c)::BIGINT AS s, count(*)::BIGINT AS n FROM (
+        SELECT {by} entry, unnest(v) AS c, generate_subscripts(v, 1) AS i FROM {t}_at{r} JOIN {t}_x USING ({by} id)) GROUP BY ALL)
+    GROUP BY ALL) m USING ({by} entry))""")
+    return ",\n".join(out)
+
+
+_USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+CODES = f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE {_USABLE}),
+c_x AS MATERIALIZED (SELECT vec_id AS id, part, v[part * (len(v) // 4) + 1:(part + 1) * (len(v) // 4)] AS v FROM kept, range(0, 4) p(part)),
+c_e0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY id) - 1 AS entry, v
+  FROM c_x WHERE id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256)),
+{_rounds("c", 4, "part,")},
+coded AS (SELECT id AS vec_id, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM c_at4 GROUP BY id),
+digest AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS h FROM c_e4)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id), digest
+"""
+
+CLUSTERS = f"""
+WITH k_x AS MATERIALIZED (SELECT vec_id AS id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE {_USABLE} AND len(embedding) = 64),
+k_e0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || id)) - 1 AS entry, v FROM k_x QUALIFY entry < 16),
+{_rounds("k", 3)}
+SELECT id AS vec_id, a.entry::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.entry))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(e.v, ',')) AS centroid_sha256
+FROM k_at3 a JOIN k_e3 e USING (entry)
+"""

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from webmetrics.llm import (decontaminate, html_text, langid, minhash, mixing, oracles, quality, suffix_dedup, url_filter,
-                            warc, window_dedup)
+from webmetrics.llm import (centroids, decontaminate, html_text, langid, minhash, mixing, oracles, quality, sharding, suffix_dedup,
+                            url_filter, vector_codes, warc, window_dedup)
 
 SPARK = {
     "op1_suffix_dedup": suffix_dedup.query,
@@ -16,6 +16,9 @@ SPARK = {
     "op8_quality": quality.query,
     "op9_langid": langid.query,
     "op10_html_text": html_text.query,
+    "op11_sharding": sharding.query,
+    "op12_vector_codes": vector_codes.query,
+    "op13_centroids": centroids.query,
 }
 SQL = {
     "op2_window_dedup": oracles.WINDOWS,
@@ -23,4 +26,7 @@ SQL = {
     "op4_mixing": oracles.MIX,
     "op6_minhash": oracles.NEAR,
     "op7_decontaminate": oracles.LEAKS,
+    "op11_sharding": oracles.SHARDS,
+    "op12_vector_codes": oracles.CODES,
+    "op13_centroids": oracles.CLUSTERS,
 }
