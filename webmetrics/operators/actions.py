@@ -8,16 +8,17 @@ rows with parents, relationally:
 * resets: a new or removed visitor resets session and section, a new or
   removed session resets the section, a new or removed section resets the
   section (O2);
-* epochs: running counts of the resets per client, ordered by ``seq``;
-* within an epoch the first *creating* action creates the entity (a
-  register of it or of a descendant), and all later actions of the epoch
-  refer to it (O1); deregistering emits nothing (O3).
-
-Running counts are computed as chunked prefix sums: a window per
-(client, seq div chunk) gives local sums, per-chunk totals give offsets. A
-client with a very long log is therefore spread over many groups instead
-of one task; epoch creators come from partial aggregates and are attached
-with equi joins whose skew AQE splits.
+* after a reset the first *creating* action creates the entity (a register of
+  it or of a descendant), and all later actions up to the next reset refer to
+  it (O1); deregistering emits nothing (O3).
+
+This is a segmented prefix scan whose carry is the current entity of each kind. The
+log is read once and exchanged once, by (client, seq div chunk): within a chunk windows
+of one order give each row the entity that the chunk itself has made current, if any. What a
+chunk does to the carry is one row (has it a reset, what is current at its end), and
+these combine: the entity carried into a chunk is the first one made current since the last
+chunk with a reset. A client with a very long log is so spread over many tasks, and the
+parents' ids are at hand on each row, without a join of events.
 """
 
 from __future__ import annotations
@@ -35,78 +36,80 @@ ACTIONS = (REG_V, DEREG_V, REG_S, DEREG_S, REG_X, DEREG_X, REG_C)
 CHUNK = 1_000_000
 KEYS = ("api_key", "client")
 TYPE_CODE = {"Visitor": 1, "Session": 2, "Section": 3, "Click": 4}
+#: By entity: the actions that end the current one, and those that need one and so create it.
+RESETS = {"Visitor": (REG_V, DEREG_V), "Session": (REG_V, DEREG_V, REG_S, DEREG_S),
+          "Section": (REG_V, DEREG_V, REG_S, DEREG_S, REG_X, DEREG_X)}
+CREATES = {"Visitor": (REG_V, REG_S, REG_X, REG_C), "Session": (REG_S, REG_X, REG_C), "Section": (REG_X, REG_C)}
 
 
-def _in(*acts) -> Column:
-    return F.col("action").isin(*acts)
+def _in(acts) -> Column:
+    return F.coalesce(F.col("action").isin(*acts), F.lit(False))
 
 
-def running_counts(df: DataFrame, flags: dict[str, Column], chunk: int = CHUNK) -> DataFrame:
-    """Add ``name`` = running sum of ``flag`` per client in ``seq`` order, for
-    every (name, flag), using chunked prefix sums (no per-client window)."""
-    c = df.withColumn("_chunk", F.floor(F.col("seq") / F.lit(chunk)))
-    for n, f in flags.items():
-        c = c.withColumn(f"_f_{n}", f.cast("long"))
-    w = (Window.partitionBy(*KEYS, "_chunk").orderBy("seq")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = c.select("*", *[F.sum(f"_f_{n}").over(w).alias(f"_l_{n}") for n in flags])
-    tot = c.groupBy(*KEYS, "_chunk").agg(*[F.sum(f"_f_{n}").alias(f"_t_{n}") for n in flags])
-    wt = (Window.partitionBy(*KEYS).orderBy("_chunk")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    off = tot.select(*KEYS, "_chunk", *[F.coalesce(F.sum(f"_t_{n}").over(wt), F.lit(0)).alias(f"_o_{n}")
-                                       for n in flags])
-    out = local.join(off, [*KEYS, "_chunk"])
-    return out.select(*df.columns, *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in flags])
+def _id(kind: str, ts, seq) -> Column:
+    return uuid7(F.unix_millis(ts), F.lit(TYPE_CODE[kind]), F.pmod(seq, F.lit(1 << 48)))
 
 
-def epochs(actions: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Action rows + visitor/session/section epoch numbers."""
-    v_reset = _in(REG_V, DEREG_V)
-    s_reset = v_reset | _in(REG_S, DEREG_S)
-    x_reset = s_reset | _in(REG_X, DEREG_X)
-    return running_counts(actions, {"v_ep": v_reset, "s_ep": s_reset, "x_ep": x_reset}, chunk)
+def _local(actions: DataFrame, chunk: int) -> DataFrame:
+    """Per row and kind: ``_r`` position of the last reset in the chunk, ``_c`` the entity that
+    the chunk has created last (position, seq, ts), ``_n`` whether this row creates it."""
+    df = actions.withColumn("_chunk", F.floor(F.col("seq") / F.lit(chunk)))
+    here = Window.partitionBy(*KEYS, "_chunk").orderBy("seq", "ts", "action", "location", "title")
+    upto = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = here.rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("_pos", F.row_number().over(here))
+    df = df.select("*", *[x for k in RESETS for x in (
+        F.max(F.when(_in(RESETS[k]), F.col("_pos"))).over(upto).alias(f"_r_{k}"),
+        F.max(F.when(_in(CREATES[k]), F.col("_pos"))).over(before).alias(f"_p_{k}"))])
+    # a creating action creates if none has since the last reset (its own included)
+    df = df.select("*", *[(_in(CREATES[k]) & F.coalesce(F.col(f"_p_{k}") < F.col(f"_r_{k}"), F.col(f"_p_{k}").isNull())).alias(f"_n_{k}")
+                          for k in RESETS])
+    return df.select("*", *[F.max(F.when(F.col(f"_n_{k}"), F.struct("_pos", "seq", "ts"))).over(upto).alias(f"_c_{k}") for k in RESETS])
 
 
-def _creators(e: DataFrame, creates: Column, ep: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """First creating action per epoch: its seq, ts (and extra columns)."""
-    first = F.min(F.struct("seq", "ts", *extra)).alias("c")
-    return e.where(creates).groupBy(*KEYS, ep).agg(first).select(
-        *KEYS, ep, *[F.col(f"c.{x}").alias(x) for x in ("seq", "ts", *extra)])
+def _current(k: str) -> Column:
+    """What the chunk itself has made current: its last creation, unless a reset came later."""
+    return F.when(F.col(f"_r_{k}").isNull() | (F.col(f"_c_{k}._pos") >= F.col(f"_r_{k}")), F.col(f"_c_{k}"))
 
 
-def _id(kind: str, ts: str = "ts", seq: str = "seq") -> Column:
-    ms = F.unix_millis(F.col(ts))
-    return uuid7(ms, F.lit(TYPE_CODE[kind]), F.pmod(F.col(seq), F.lit(1 << 48)))
+def _carried(local: DataFrame) -> DataFrame:
+    """(client, chunk) -> the entity of each kind that is current when the chunk starts."""
+    ends = local.groupBy(*KEYS, "_chunk").agg(*[x for k in RESETS for x in (
+        F.max(F.col(f"_r_{k}").isNotNull()).alias(f"_h_{k}"), F.max_by(F.struct(_current(k).alias("e")), "_pos").alias(f"_e_{k}"))])
+    order = Window.partitionBy(*KEYS).orderBy("_chunk")
+    ends = ends.select(*KEYS, "_chunk", *[x for k in RESETS for x in (
+        F.sum(F.col(f"_h_{k}").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(f"_g_{k}"), F.col(f"_e_{k}.e").alias(f"_e_{k}"))])
+    for k in RESETS:
+        since = Window.partitionBy(*KEYS, f"_g_{k}").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ends = ends.withColumn(f"_e_{k}", F.first(f"_e_{k}", ignorenulls=True).over(since))
+    return ends.select(*KEYS, "_chunk", *[F.lag(f"_e_{k}").over(order).alias(f"_b_{k}") for k in RESETS])
 
 
 def from_actions(actions: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Action log -> events (api_key, client, seq, sub, event_type, id,
     ts, parent, location, title); ``sub`` orders the events one action emits
-    (visitor, session, section, click)."""
-    e = epochs(actions, chunk)
-    vis = _creators(e, _in(REG_V, REG_S, REG_X, REG_C), "v_ep").withColumn("id", _id("Visitor"))
-    ses = (_creators(e, _in(REG_S, REG_X, REG_C), "s_ep", ("v_ep",))
-           .withColumn("id", _id("Session")))
-    sec = (_creators(e, _in(REG_X, REG_C), "x_ep", ("s_ep", "location", "title"))
-           .withColumn("id", _id("Section")))
-    clk = e.where(_in(REG_C)).select(*KEYS, "seq", "ts", "x_ep").withColumn("id", _id("Click"))
-
-    def par(df, parent, ep):
-        p = parent.select(*KEYS, ep, F.col("id").alias("parent"))
-        return df.join(p, [*KEYS, ep], "left")
-
+    (visitor, session, section, click). Actions of one seq follow each other by ts,
+    then action."""
+    local = _local(actions, chunk)
+    rows = local.join(_carried(local), [*KEYS, "_chunk"])
+    for k in RESETS:
+        carried = F.col(f"_r_{k}").isNull() & F.col(f"_b_{k}").isNotNull()
+        at = F.when(carried, F.col(f"_b_{k}")).otherwise(_current(k))
+        rows = rows.withColumn(f"_id_{k}", F.when(at.isNotNull(), _id(k, at["ts"], at["seq"]))).withColumn(f"_n_{k}", F.col(f"_n_{k}") & ~carried)
     nul = F.lit(None).cast("string")
-    cols = [*KEYS, "seq", "sub", "event_type", "id", "ts", "parent", "location", "title"]
-    out_v = vis.select(*KEYS, "seq", F.lit(0).alias("sub"), F.lit("Visitor").alias("event_type"), "id", "ts",
-                       nul.alias("parent"), nul.alias("location"), nul.alias("title"))
-    out_s = par(ses, vis, "v_ep").select(*KEYS, "seq", F.lit(1).alias("sub"), F.lit("Session").alias("event_type"),
-                                         "id", "ts", "parent", nul.alias("location"), nul.alias("title"))
-    out_x = par(sec, ses, "s_ep").select(*KEYS, "seq", F.lit(2).alias("sub"), F.lit("Section").alias("event_type"),
-                                         "id", "ts", "parent", "location", "title")
-    out_c = par(clk, sec, "x_ep").select(*KEYS, "seq", F.lit(3).alias("sub"), F.lit("Click").alias("event_type"),
-                                         "id", "ts", "parent", nul.alias("location"), nul.alias("title"))
-    return out_v.select(*cols).unionByName(out_s.select(*cols)).unionByName(
-        out_x.select(*cols)).unionByName(out_c.select(*cols))
+
+    def event(sub: int, kind: str, own: Column, parent: Column, *text) -> Column:
+        location, title = text or (nul, nul)
+        return F.struct(F.lit(sub).alias("sub"), F.lit(kind).alias("event_type"), own.alias("id"), parent.alias("parent"),
+                        location.alias("location"), title.alias("title"))
+
+    v, s, x = [F.col(f"_id_{k}") for k in RESETS]
+    made = F.array(
+        F.when(F.col("_n_Visitor"), event(0, "Visitor", v, nul)), F.when(F.col("_n_Session"), event(1, "Session", s, v)),
+        F.when(F.col("_n_Section"), event(2, "Section", x, s, F.col("location"), F.col("title"))),
+        F.when(_in((REG_C,)), event(3, "Click", _id("Click", F.col("ts"), F.col("seq")), x)))
+    flat = rows.select(*KEYS, "seq", "ts", F.explode(F.filter(made, lambda e: e.isNotNull())).alias("e"))
+    return flat.select(*KEYS, "seq", "e.sub", "e.event_type", "e.id", "ts", "e.parent", "e.location", "e.title")
 
 
 def to_wire(events: DataFrame) -> DataFrame:

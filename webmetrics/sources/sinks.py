@@ -1,4 +1,4 @@
-"""Table writers (A3-A8, A14), compaction (F4) and retention (K7).
+"""Table writers (A3-A8, A14), incremental facts (K2/K3), compaction (F4) and retention (K7).
 
 Layout of every table: Parquet (zstd), partitioned by (site, event_date),
 rows range-partitioned and sorted by the table's key so that
@@ -14,6 +14,7 @@ rows range-partitioned and sorted by the table's key so that
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webmetrics import schema as S
-from webmetrics.functions.ids import uuid7_ts
 from webmetrics.operators import rollup
+from webmetrics.sources import incremental, snapshots
+from webmetrics.sources.snapshots import batches
 
 
 @dataclass(frozen=True)
@@ -94,9 +96,12 @@ for _name, _dim in DAILY.items():
 def read_table(spark: SparkSession, path: str, table: str | None = None,
                extra_partitions: tuple[str, ...] = ()) -> DataFrame:
     """Read a written table. With ``table`` the schema is given (no inference,
-    and a table with no files yet reads as empty)."""
+    and a table with no files yet reads as empty). With ``batch`` among the extra
+    partitions it is a table of batches, read as its newest manifest has it."""
     if table is None:
         return spark.read.parquet(path)
+    if "batch" in extra_partitions:
+        return snapshots.read(spark, path, TABLE_SCHEMAS[table])
     sch = T.StructType(list(TABLE_SCHEMAS[table].fields)
                        + [T.StructField(c, T.LongType()) for c in extra_partitions]
                        + [T.StructField("event_date", T.DateType())])
@@ -120,7 +125,10 @@ def write_model(model, root: str, mode: str = "append", batch_id: int | None = N
     root = root.rstrip("/")
     paths = {n: f"{root}/{n}" for n in LAYOUTS}
     if mode == "append":
-        batch = max(batches(spark, paths["section_event"]), default=-1) + 1 if batch_id is None else batch_id
+        upto = snapshots.manifest(spark, paths["section_event"]).upto
+        batch = max([upto, *batches(spark, paths["section_event"])]) + 1 if batch_id is None else batch_id
+        if batch <= upto:
+            return paths        # compacted, so written in full: final
         at = {n: f"{p}/batch={batch}" for n, p in paths.items()}
     else:
         batch, at = None, paths
@@ -138,42 +146,78 @@ def write_model(model, root: str, mode: str = "append", batch_id: int | None = N
     return paths
 
 
-def batches(spark: SparkSession, path: str) -> list[int]:
-    """Ids of a table's batches, by its folders."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
-    return sorted(int(n[6:]) for n in names if n.startswith("batch="))
+def stored_days(spark: SparkSession, path: str) -> set[int]:
+    """Day numbers of a batch table's event_date folders (names only, no file is read)."""
+    m = snapshots.manifest(spark, path)
+    names = incremental.subfolders(spark, f"{path}/batch=*/site=*", "event_date")
+    if m.base:
+        names += incremental.subfolders(spark, f"{path}/{m.base}/batch=*/site=*", "event_date")
+    return {(dt.date.fromisoformat(n) - dt.date(1970, 1, 1)).days for n in names if n[:1].isdigit()}
+
+
+def read_days(spark: SparkSession, path: str, table: str, days, batch: int | None = None) -> DataFrame:
+    """Rows of some days (and of batches before one): the other days' files are pruned."""
+    dates = [dt.date(1970, 1, 1) + dt.timedelta(days=d) for d in sorted(days)]
+    rows = read_table(spark, path, table, ("batch",)).where(F.col("event_date").isin(dates))
+    return (rows if batch is None else rows.where(F.col("batch") < batch)).drop("batch", "event_date")
 
 
 def write_facts(spark: SparkSession, root: str, batch: int | None) -> None:
     """Write what a batch adds to the facts, from the stored typed tables.
 
-    The facts are inner joins, so what batch b adds to them is: its page views
-    with all sessions up to b, and earlier page views with its sessions (and
-    likewise for visitors). Whatever the order in which parents and children
-    arrive, the batches together hold the rows of one join over everything,
-    each once; and a batch that is written again yields the same rows.
-    ``None``: whole tables without batch folders.
+    The facts are inner joins, kept up to date by :mod:`webmetrics.sources.incremental`: a batch
+    reads its own rows, the stored parents of the days that its ids name, and the earlier page
+    views that still wait for one of its parents. Whatever the order in which parents
+    and children arrive, the batches together hold the rows of one join over
+    everything, each once; and a batch that is written again yields the same
+    rows. ``None``: whole tables without batch folders.
     """
+    root = root.rstrip("/")
     names = ("section_event", "session_event", "visitor_event")
-    paths = {n: f"{root.rstrip('/')}/{n}" for n in LAYOUTS}
+    paths = {n: f"{root}/{n}" for n in LAYOUTS}
     at = paths if batch is None else {n: f"{p}/batch={batch}" for n, p in paths.items()}
     sec, ses, vis = [read_table(spark, at[n], n).drop("event_date") for n in names]
-    combined, chain = rollup.section_combined(sec, ses), rollup.hierarchy(sec, ses, vis)
-    if batch is not None and any(b < batch for b in batches(spark, paths["section_event"])):
-        old_sec, old_ses, old_vis = [read_table(spark, paths[n], n, ("batch",)).where(F.col("batch") < batch) for n in names]
-        old_ses = _of_days(old_ses, sec).drop("batch", "event_date")
-        old_sec, old_vis = old_sec.drop("batch", "event_date"), old_vis.drop("batch", "event_date")
-        all_ses, all_vis = ses.unionByName(old_ses), vis.unionByName(old_vis)
-        ses_before = read_table(spark, paths["session_event"], "session_event", ("batch",)).where(F.col("batch") < batch).drop("batch", "event_date")
-        combined = rollup.section_combined(sec, all_ses).unionByName(rollup.section_combined(old_sec, ses))
-        chain = (rollup.hierarchy(sec, all_ses, all_vis).unionByName(rollup.hierarchy(old_sec, ses, all_vis))
-                 .unionByName(rollup.hierarchy(old_sec, ses_before, vis)))
-    for name, df in [("hierarchy_event", chain), ("section_combined", combined),
-                     ("visitor_timeseries", rollup.visitor_timeseries(vis))]:
-        write_table(df, at[name], name, "overwrite")
+    facts = [("visitor_timeseries", rollup.visitor_timeseries(vis))]
+    if batch is None:
+        facts += [("hierarchy_event", rollup.hierarchy(sec, ses, vis)), ("section_combined", rollup.section_combined(sec, ses))]
+        for name, df in facts:
+            write_table(df, at[name], name, "overwrite")
+        return
+    pairs = _added_pairs(spark, root, batch, sec, ses).persist()
+    try:
+        facts += [("hierarchy_event", _added_chains(spark, root, batch, pairs, vis)),
+                  ("section_combined", pairs.select(*[rollup.bucket5("ts").alias("ts") if c == "ts" else c for c in rollup.FACT_COLS]))]
+        for name, df in facts:
+            write_table(df, at[name], name, "overwrite")
+    finally:
+        pairs.unpersist()
+
+
+#: Link tables: page views by their session's day, and those with a session by its visitor's.
+SECTION_LINK, SESSION_LINK = "section_link", "session_link"
+
+
+def _added_pairs(spark: SparkSession, root: str, batch: int, sec: DataFrame, ses: DataFrame) -> DataFrame:
+    """New pairs of page view and session (E1 before its rounding of ts)."""
+    def parents(s):
+        return s.select("api_key", "site", F.col("id").alias("parent"), "os", "browser", "country_code", "city", F.col("parent").alias("visitor"))
+
+    path = f"{root}/session_event"
+    children = sec.select("api_key", "site", F.col("id").alias("section"), "parent", "ts", "path")
+    return incremental.added(spark, f"{root}/{SECTION_LINK}", batch, children, parents(ses), stored_days(spark, path),
+                             lambda days: parents(read_days(spark, path, "session_event", days, batch)))
+
+
+def _added_chains(spark: SparkSession, root: str, batch: int, pairs: DataFrame, vis: DataFrame) -> DataFrame:
+    """New chains of page view, session and visitor (E3) from the new pairs."""
+    def parents(v):
+        return v.select("api_key", "site", F.col("id").alias("parent"))
+
+    path = f"{root}/visitor_event"
+    children = pairs.select("api_key", "site", "section", F.col("parent").alias("session"), F.col("visitor").alias("parent"), "ts")
+    rows = incremental.added(spark, f"{root}/{SESSION_LINK}", batch, children, parents(vis), stored_days(spark, path),
+                             lambda days: parents(read_days(spark, path, "visitor_event", days, batch)))
+    return rows.select("api_key", "site", F.col("parent").alias("visitor"), "session", "section", "ts")
 
 
 def write_daily(spark: SparkSession, root: str, batch: int | None, names=tuple(DAILY)) -> None:
@@ -186,14 +230,6 @@ def write_daily(spark: SparkSession, root: str, batch: int | None, names=tuple(D
         write_table(rollup.daily(fact, DAILY[name], sketch=True), at(name), name, "overwrite")
 
 
-def _of_days(parents: DataFrame, children: DataFrame) -> DataFrame:
-    """Stored parents of the days that the children's parent ids name: a row's
-    event_date is the day of its id, so the join below needs no others. A join on
-    the partition column, without a collect; ids of other versions name any day."""
-    days = children.select(F.to_date(uuid7_ts(F.col("parent"))).alias("event_date")).distinct()
-    return parents.join(days, "event_date", "left_semi").select(parents.columns)
-
-
 def compact_timeseries(spark: SparkSession, path: str, out_path: str) -> None:
     """merge partial rows with equal (api_key, site, ts) into one row.
 
@@ -204,6 +240,24 @@ def compact_timeseries(spark: SparkSession, path: str, out_path: str) -> None:
     write_table(merged, out_path, "visitor_timeseries", "overwrite")
 
 
+def compact(spark: SparkSession, root: str, names=None, upto: int | None = None) -> dict[str, snapshots.Manifest]:
+    """The batch folders (up to a batch) of each table of ``root`` become one, in the table's
+    layout; partial sums of a bucket and rollup rows of a day are merged on the way.
+    Readers go from the old files to the new ones by the manifest, a table at a time."""
+    root, out = root.rstrip("/"), {}
+    for name in names or [n for n in TABLE_SCHEMAS if batches(spark, f"{root}/{n}")]:
+        merge = rollup.merge_timeseries if name == "visitor_timeseries" else _merged_daily if name in DAILY else None
+        out[name] = snapshots.compact(spark, f"{root}/{name}", TABLE_SCHEMAS[name],
+                                      lambda df, at, name=name: write_table(df, at, name, "overwrite"), merge, upto)
+    return out
+
+
+def _merged_daily(df: DataFrame) -> DataFrame:
+    """Rollup rows of one day and value as one: sums, and the union of the visitor sketches."""
+    keys = [c for c in df.columns if c not in ("page_views", "visitors_sketch")]
+    return df.groupBy(*keys).agg(F.sum("page_views").cast("long").alias("page_views"), F.hll_union_agg("visitors_sketch").alias("visitors_sketch"))
+
+
 def backfill(staged: dict[str, DataFrame], root: str) -> None:
     """Replace the target tables with staged rows (truncate + insert)."""
     for name, df in staged.items():
@@ -222,11 +276,11 @@ def expire_partitions(spark: SparkSession, path: str, as_of, keep_days: int = 7)
     """K7 (storage): delete ``event_date`` partitions that are wholly expired.
 
     A day D is wholly expired when D + 1 day + keep <= as_of. Rows of the
-    partly expired boundary day stay and are hidden by :func:`retained`.
+    partly expired boundary day stay and are hidden by :func:`retained`. Readers that
+    are under way may miss files; :func:`snapshots.expire` takes days out of every read
+    first and leaves the files to a later vacuum.
     Uses the Hadoop FileSystem of the table path (works on any shared store).
     """
-    import datetime as dt
-
     from webmetrics.functions.timefn import to_dt
     cutoff = (to_dt(as_of) - dt.timedelta(days=keep_days + 1)).date()
     jvm = spark.sparkContext._jvm
