@@ -95,3 +95,37 @@ def test_every_document_of_a_hot_source_comes(spark):
     per = m.groupBy("_slot").agg(F.count_distinct("source").alias("n"), F.count(F.lit(1)).alias("rows"))
     r = per.agg(F.count(F.lit(1)).alias("slots"), F.max("_slot").alias("last"), F.max("n").alias("n"), F.max("rows").alias("rows")).first()
     assert r["slots"] == r["last"] + 1 and r["n"] == 1 and r["rows"] <= 16
+
+
+def test_decimal_weights_are_exact(spark):
+    w = [0.0004, 0.3333, 0.6663]
+    src = sources(spark, w)
+    assert mixing.period_for(src) == 10_000
+    got = mixing.pattern(mixing.shares(src, 10_000), 10_000).orderBy("slot").collect()
+    done = Counter()
+    for t, r in enumerate(got, 1):
+        done[r["number"]] += 1
+        if t % 97 == 0 or t == len(got):
+            assert all(abs(done[i + 1] - x * t) < 1 for i, x in enumerate(w))
+    assert mixing.period_for(sources(spark, [5, 3, 2])) == 10 and mixing.period_for(sources(spark, [2 ** 0.5, 3 ** 0.5])) == mixing.PERIOD
+
+
+def test_more_sources_than_a_thousand(spark):
+    n = 1200
+    docs = spark.range(3 * n).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % n).alias("source"))
+    m = mixing.mixed(docs, block_docs=1, max_epochs=None)
+    assert docs.join(m, "doc_id", "left_anti").count() == 0
+    per = m.groupBy("source").count().agg(F.min("count").alias("lo"), F.max("count").alias("hi")).first()
+    assert per["hi"] - per["lo"] <= 1
+
+
+def test_twin_on_a_skewed_table(spark):
+    import duckdb
+    from webmetrics.llm import oracles
+    key = F.when(F.col("id") >= 9000, F.lit("hot")).when(F.col("id") == 7, F.lit("tiny")).otherwise(F.concat(F.lit("s"), F.col("id") % 5))
+    docs = spark.range(120_000).select(F.col("id").alias("doc_id"), key.alias("source"))
+    got = mixing.mixed(docs, max_epochs=None).select("doc_id", "source", "_slot", "_place", "_epoch")
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    rows = con.execute(oracles.MIX).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(rows) and len(rows) > 120_000 and max(r[4] for r in rows) > 4

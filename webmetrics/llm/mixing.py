@@ -1,12 +1,18 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame operations only.
 
-Each source's documents are numbered and cut into blocks. Weights are rounded to shares
-of a period of ``period`` slots, one block a slot. The k-th block of a source with weight
+Each source's documents are numbered and cut into blocks. Weights are whole shares of a
+period of slots, one block a slot. The k-th block of a source with weight
 w is released at floor(k / w) and due at ceil((k + 1) / w); in every slot the released
 block with the earliest deadline runs (ties: smaller source number). Earliest deadline
 first meets all deadlines, so after t slots each source has had w * t blocks, give or take
 less than one. At the end of a period all deviations are zero, so the pattern of one
-period (``period`` rows) is computed once, by a fold, and repeats.
+period is computed once, by a fold, and repeats.
+
+The period follows the weights: whole numbers and decimals (up to six places) whose sum in
+units of the last place is at most ``MAX_PERIOD`` are taken as they are, the sum being the
+period. Others, as the default weights, are rounded by largest remainder to shares of
+``PERIOD`` slots, or of twice as many slots as there are sources if those are more; then
+the shares are the target, less than a slot in a period off the weight.
 
 A source that has too few blocks for its share starts again from its first (epoch 1, 2,
 ...). A caller may bound the mix: with ``max_epochs`` it has as many slots as there are
@@ -17,8 +23,8 @@ of a source with a weight comes at least once, the others repeat as their shares
 
 Numbering within a source is done in salted parts: counts of (source, part), their
 running sums, and a row number within each part, so that a source with a third of all
-rows is numbered by many tasks. Broadcast are the pattern (``period`` rows) and tables
-with a row per source (at most ``period``, checked) only.
+rows is numbered by many tasks. The pattern and tables with a row per source, at most a period
+long, are broadcast where they are proven small, and else joined.
 
 Defined results: a null source is a source of its own; a source without weight takes no
 part; a weight without documents is left out and the others fill the period; weights
@@ -32,9 +38,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from webmetrics.llm.blocks import written
+from webmetrics.plans.strategy import checked_broadcast
 
 BLOCK_DOCS = 16
-PERIOD = 1000
+PERIOD, MAX_PERIOD = 1000, 16384
 PART_ROWS = 4096
 ADDED = ("_slot", "_place", "_epoch")     # replace columns of these names
 
@@ -51,6 +58,18 @@ def _key(source: str):
     return F.when(c.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), c))
 
 
+def period_for(sources: DataFrame) -> int:
+    """The period of (key, blocks, weight): the sum of weights that are whole, or decimals."""
+    per = [10 ** k for k in range(7)]
+    off = [F.max(F.abs(F.col("weight") * p - F.round(F.col("weight") * p)) / (F.col("weight") * p)) for p in per]
+    total = [F.sum(F.round(F.col("weight") * p)).cast("double") for p in per]
+    n, *found = sources.agg(F.count(F.lit(1)), *off, *total).first()
+    for e, t in zip(found[:len(per)], found[len(per):], strict=True):
+        if n and e < 1e-12 and n <= t <= min(MAX_PERIOD, 20_000_000 // n):
+            return int(t)
+    return max(PERIOD, 2 * n)
+
+
 def shares(sources: DataFrame, period: int = PERIOD) -> DataFrame:
     """(key, blocks, weight) -> (key, blocks, number, share): whole slots of the period by
     largest remainder, one at least. A row per source, so one task holds them."""
@@ -90,10 +109,11 @@ def pattern(sources: DataFrame, period: int = PERIOD) -> DataFrame:
 
 
 def mixed(docs: DataFrame, weights: DataFrame | dict | None = None, ident: str = "doc_id", source: str = "source",
-          block_docs: int = BLOCK_DOCS, period: int = PERIOD, max_epochs: int | None = 4) -> DataFrame:
+          block_docs: int = BLOCK_DOCS, period: int | None = None, max_epochs: int | None = 4) -> DataFrame:
     """All columns of the documents that the mix takes, a row per time taken, with _slot,
     _place (in the block) and _epoch."""
     spark = docs.sparkSession
+    given = weights is not None
     if weights is None:
         weights = weights_by_size(docs, source)
     elif isinstance(weights, dict):
@@ -108,7 +128,9 @@ def mixed(docs: DataFrame, weights: DataFrame | dict | None = None, ident: str =
     known = counts.groupBy("key").agg(F.sum("n").alias("docs")).join(weights.where("weight > 0"), "key")
     known = known.select("key", F.ceil(F.col("docs") / F.lit(block_docs)).cast("long").alias("blocks"), "weight")
     known = written(known, "sources")
-    if (n := known.count()) > period:
+    if period is None:
+        period = period_for(known) if given else max(PERIOD, 2 * known.count())
+    elif (n := known.count()) > period:
         raise ValueError(f"{n} sources need a period of as many slots at least; it is {period}")
     src = written(shares(known, period), "shares")
     slots = written(pattern(src, period), "pattern")
@@ -126,13 +148,13 @@ def mixed(docs: DataFrame, weights: DataFrame | dict | None = None, ident: str =
     before = counts.select("key", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
     d = d.withColumn("in", F.row_number().over(Window.partitionBy("key", "part").orderBy("h", "i", F.xxhash64("row"))))
     d = d.join(before, ["key", "part"]).withColumn("rank", F.col("before") + F.col("in") - 1)
-    d = d.join(F.broadcast(src), "key")
+    d = d.join(checked_broadcast(src), "key")
     d = d.withColumn("block", F.expr(f"rank div {block_docs}")).withColumn("place", F.expr(f"rank % {block_docs}"))
     # times that the block runs in full periods that cover the mix; cut to its slots below
     times = F.expr(f"((slots div {period} + 1) * share + blocks - 1) div blocks")
     d = d.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), times - 1)))
     d = d.withColumn("k", F.expr("epoch * blocks + block")).withColumn("nth", F.expr("k % share"))
-    d = d.join(F.broadcast(slots), ["number", "nth"])
+    d = d.join(checked_broadcast(slots), ["number", "nth"])
     d = d.withColumn("at", F.expr(f"(k div share) * {period} + slot")).where("at < slots")
     return d.select("row.*", F.col("at").alias("_slot"), F.col("place").alias("_place"), F.col("epoch").alias("_epoch"))
 

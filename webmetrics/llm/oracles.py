@@ -54,13 +54,13 @@ edf AS (
           lambda v: v IS NOT NULL)) % 100000 AS p FROM edf WHERE t < 1000)),
 slots AS (SELECT pick AS number, nth, t - 1 AS tick FROM edf WHERE t > 0),
 ends AS (
-  SELECT least((SELECT sum(blocks) FROM src),
-               (SELECT min((4 * blocks // share) * 1000 + tick) FROM src JOIN slots ON slots.number = src.number AND nth = (4 * blocks) % share)) AS n),
+  SELECT max(((blocks - 1) // share) * 1000 + tick) + 1 AS n
+  FROM src JOIN slots ON slots.number = src.number AND nth = (blocks - 1) % share),
 runs AS (
-  SELECT doc_id, source, rank % 16 AS place, e AS epoch, e * blocks + rank // 16 AS k, share, number
-  FROM ranked JOIN src USING (key), range(0, 5) g(e))
+  SELECT doc_id, source, rank % 16 AS place, e AS epoch, e * blocks + rank // 16 AS k, share, number, n
+  FROM ranked JOIN src USING (key), ends, range(0, ((n // 1000 + 1) * share + blocks - 1) // blocks) g(e))
 SELECT doc_id, source, ((k // share) * 1000 + tick)::BIGINT AS slot, place::BIGINT AS place, epoch::BIGINT AS epoch
-FROM runs JOIN slots ON slots.number = runs.number AND nth = k % share, ends
+FROM runs JOIN slots ON slots.number = runs.number AND nth = k % share
 WHERE (k // share) * 1000 + tick < n
 """
 

@@ -4,21 +4,22 @@ First pass: every document with a language adds its characters (by class) and wo
 (by 2^14 ranges of the word's fingerprint) to its language's histograms; tasks add up
 before anything is shuffled. A language's common words are its ``COMMON`` fullest
 ranges; a frequent word makes its range stand out, rare ones even out. Each language
-with ``REFERENCE_WORDS`` words has a reference, a row of a table; those of languages with
-a thousandth of all words or more (so at most a thousand) are collected.
+with ``REFERENCE_WORDS`` words in ``REFERENCE_DOCS`` documents has a reference, whatever its
+share of the corpus.
 
 Second pass: for each document the Jensen-Shannon distances (base 2) of its character
-classes and of its common words (and the rest as one class) to each collected reference,
-without a shuffle; documents of other languages are joined with their own reference and
-judged by it too. It passes if, for some language, both distances are within their limits.
-Documents under ``min_words`` are not judged by distance: their histograms are noise; nor
-are those of a language without a reference.
+classes and of its common words (and the rest as one class) to every reference, without a
+shuffle; references are collected in groups of ``GROUP``, one pass a group. A document passes
+if, for some language, both distances are within their limits. The limit on common words is
+a share of the distance that a text without any common word has, which follows from the
+reference: ``max_common`` of it, and more for short texts (``SHORT / n_words``), whose
+histograms are noise. Documents under ``min_words`` are not judged by distance at all.
 
 Defined results: a null or wordless text has zero counts and fails the base rules; no
-language anywhere: no references, distances null, the base rules decide; an empty table
-gives no rows; repeated rows are judged each by itself; other columns are not read
-unless carried. A language tag is used for the references, and for judging only in
-documents of languages that are not collected.
+references: distances null, the base rules decide, as they do for documents tagged with a
+language that has no reference; an empty table gives no rows; repeated rows are judged each
+by itself; other columns are not read unless carried. A tag is used for nothing else, so
+a document is judged alike with and without the tag of a language that has a reference.
 """
 
 from __future__ import annotations
@@ -30,12 +31,15 @@ from pyspark.sql import functions as F
 
 from webmetrics.llm.blocks import written
 from webmetrics.llm.frames import mapped, narrowed, ship
-from webmetrics.llm.words import _BASE, Texts, Words, _ranges, _tables, covered, mix, slices
+from webmetrics.llm.words import Texts, Words, covered, mix, slices
 
 COMMON = 64
 RANGES = 1 << 14
 #: A language with fewer words is not known well enough to reject a document by.
-REFERENCE_WORDS = 1000
+REFERENCE_WORDS, REFERENCE_DOCS = 1000, 5
+GROUP = 4096        # references (about a kilobyte each) in a task at once
+SHORT = 5.0
+_HELD = 64          # languages whose histograms a task holds before it sends them
 _SHIFT = np.uint64(64 - 14)
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -59,47 +63,49 @@ def _classes(t: Texts) -> np.ndarray:
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, words, ref): each language's words and, of those with enough, the packed reference."""
+    """(lang, ref): each language and, if enough is known of it, the packed reference."""
+    def sent(held):
+        for name, n in held.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(at)), "cell": pa.array(at, pa.int64()),
+                                              "n": pa.array(n[at], pa.int64())})
+
     def count(batches):
-        chars: dict[str, np.ndarray] = {}
-        ranges: dict[str, np.ndarray] = {}
+        held: dict[str, np.ndarray] = {}        # characters by class, words by range, documents
         for batch in batches:
             for piece in slices(batch, "text"):
-                langs = piece.column("lang").to_pylist()
+                langs = np.array(piece.column("lang").to_pylist(), object)
                 t = Texts(piece.column("text"))
                 c, w = _classes(t), Words(t)
-                r = (w.hashes >> _SHIFT).astype(np.int64)
+                r, doc = (w.hashes >> _SHIFT).astype(np.int64), w.doc
                 for name in set(langs):
-                    rows = np.flatnonzero([x == name for x in langs])
-                    mine = np.isin(w.doc, rows)
-                    chars[name] = chars.get(name, 0) + c[rows].sum(axis=0)
-                    ranges[name] = ranges.get(name, 0) + np.bincount(r[mine], minlength=RANGES)
-        for name, c in chars.items():
-            n = np.concatenate([c, ranges[name]])
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(at)), "cell": pa.array(at, pa.int64()),
-                                              "n": pa.array(n[at], pa.int64())})
+                    rows = langs == name
+                    n = np.concatenate([c[rows].sum(axis=0), np.bincount(r[rows[doc]], minlength=RANGES), [rows.sum()]])
+                    held[name] = held.get(name, 0) + n
+                    if len(held) > _HELD:
+                        yield from sent(held)
+                        held = {}
+        yield from sent(held)
 
     ship(docs.sparkSession)
     flat = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where("lang is not null")
     cells = flat.mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    packed = cells.groupBy("lang").agg(F.sum(F.when(F.col("cell") >= CLASSES, F.col("n"))).alias("words"),
-                                       F.collect_list(F.struct("cell", "n")).alias("cells"))
+    packed = cells.groupBy("lang").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
 
     def pack(batches):
         for batch in batches:
             refs = []
-            for words, cells in zip(batch.column("words").to_pylist(), batch.column("cells"), strict=True):
-                n = np.zeros(CLASSES + RANGES)
+            for cells in batch.column("cells"):
+                n = np.zeros(CLASSES + RANGES + 1)
                 n[cells.values.field("cell").to_numpy()] = cells.values.field("n").to_numpy()
-                chars, each = n[:CLASSES], n[CLASSES:]
+                chars, each = n[:CLASSES], n[CLASSES:-1]
                 top = np.sort(np.argsort(-each, kind="stable")[:COMMON])
                 common = np.append(each[top], each.sum() - each[top].sum())
-                enough = (words or 0) >= REFERENCE_WORDS
+                enough = each.sum() >= REFERENCE_WORDS and n[-1] >= REFERENCE_DOCS
                 refs.append(np.concatenate([chars / chars.sum(), top, common / common.sum()]).tobytes() if enough else None)
-            yield pa.RecordBatch.from_pydict({"lang": batch.column("lang"), "words": batch.column("words"), "ref": pa.array(refs, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"lang": batch.column("lang"), "ref": pa.array(refs, pa.binary())})
 
-    return written(packed.mapInArrow(pack, "lang string, words long, ref binary"), "references")
+    return written(packed.mapInArrow(pack, "lang string, ref binary"), "references")
 
 
 def unpacked(ref: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,6 +123,13 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((a + b) / 2, 0, 1))
 
 
+def without_common(common: np.ndarray) -> float:
+    """Distance of a text without any common word to a reference's common words."""
+    none = np.zeros((1, len(common)))
+    none[0, -1] = 1
+    return float(distance(none, common)[0])
+
+
 def counts(t: Texts, w: Words, window: int = 8) -> dict[str, np.ndarray]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of each text."""
     d, n = t.data, len(t)
@@ -138,12 +151,16 @@ def counts(t: Texts, w: Words, window: int = 8) -> dict[str, np.ndarray]:
     has = np.concatenate([[0], np.cumsum(inside)])
     full = has[ends] > has[starts]
     starts, ends = starts[full], ends[full]
-    table = _tables()[0]
     doc = np.searchsorted(t.offsets, starts, side="right") - 1
-    h = _ranges(lambda a, b: table[d[a:b]], starts, ends)
-    h = mix(mix(h ^ (ends - starts).astype(np.uint64) * np.uint64(_BASE)) + doc.astype(np.uint64))
-    _, first = np.unique(h, return_index=True)
-    out["n_dup_lines"] = np.bincount(doc, minlength=n) - np.bincount(doc[first], minlength=n)
+    out["n_dup_lines"] = np.zeros(n, np.int64)
+    raw, seen, now = d.tobytes(), set(), -1
+    for a, b, i in zip(starts.tolist(), ends.tolist(), doc.tolist(), strict=True):
+        if i != now:
+            seen, now = set(), i
+        line = raw[a:b]
+        if line in seen:
+            out["n_dup_lines"][i] += 1
+        seen.add(line)
     s = w.window_starts(window)
     h = mix(w.windows(s, window) + w.doc[s].astype(np.uint64))
     _, back, times = np.unique(h, return_inverse=True, return_counts=True)
@@ -151,60 +168,72 @@ def counts(t: Texts, w: Words, window: int = 8) -> dict[str, np.ndarray]:
     return out
 
 
+def _groups(known: DataFrame) -> list[list]:
+    """The references, as lists that a task can hold."""
+    refs = known.where(F.col("ref").isNotNull())
+    n = max(1, -(-refs.count() // GROUP))
+    rows = lambda g: refs.where(F.pmod(F.xxhash64("lang"), F.lit(n)) == g).orderBy("lang").collect()
+    return [[unpacked(r["ref"]) for r in rows(g)] for g in range(n)]
+
+
 def judged(docs: DataFrame, ident: str = "doc_id", text: str = "text", lang: str = "lang", carry=(),
-           min_words: int = 50, max_class: float = 0.3, max_common: float = 0.5, refs: dict | None = None) -> DataFrame:
+           min_words: int = 50, max_class: float = 0.3, max_common: float = 0.9, refs: list | None = None) -> DataFrame:
     """One row per document: id, carried columns, the counts, base_failed, class_distance,
-    common_distance (to the nearest language, by the larger share of its limit), kept."""
-    rare = None
-    if refs is None:
+    common_distance (to the nearest language, by the larger share of its limit), kept.
+    ``refs``: unpacked references; None: those of the documents themselves."""
+    free = F.lit(False)
+    groups = [refs] if refs is not None else None
+    if groups is None:
         known = references(docs, text, lang)
-        total = known.agg(F.sum("words")).first()[0] or 0
-        large = F.coalesce(F.col("words") * 1000 >= total, F.lit(False)) & F.col("ref").isNotNull()
-        refs = {r["lang"]: unpacked(r["ref"]) for r in known.where(large).collect()}
-        rest = known.where(~large).select(F.col("lang").alias("~lang"), F.col("ref").alias("~own"))
-        if not rest.isEmpty():
-            tag = F.col(f"`{lang}`")
-            named = tag.isNotNull() & ~tag.isin(list(refs))
-            rare = docs.where(named).join(rest, tag == F.col("~lang"), "left")
-            docs = docs.where(~named)
+        groups = _groups(known)
+        unknown = known.where("ref is null").select(F.col("lang").alias("~lang"))
+        if not unknown.isEmpty():
+            docs = docs.join(unknown, F.col(f"`{lang}`") == F.col("~lang"), "left")
+            free = F.col("~lang").isNotNull()
+    flat = narrowed(docs, ident, text, carry, free=free, best=F.lit(float("inf")), a=F.lit(float("nan")), b=F.lit(float("nan")))
+    for group in groups[:-1]:
+        def run(batches, group=group):
+            for batch in batches:
+                for piece in slices(batch, "text"):
+                    t = Texts(piece.column("text"))
+                    new = _nearest(piece, t, Words(t), group, max_class, max_common)
+                    yield pa.RecordBatch.from_pydict({n: piece.column(n) for n in piece.schema.names} | dict(zip(("best", "a", "b"), map(pa.array, new), strict=True)))
+        flat = written(flat.mapInArrow(run, flat.schema), "judged")
+    last, judging = groups[-1], any(groups)
 
     def judge(batch):
         t = Texts(batch.column("text"))
         w = Words(t)
         c = counts(t, w)
         bad = (c["n_words"] < 20) | (100 * c["n_repeat_words"] > 30 * c["n_words"])
-        chars = _classes(t).astype(float)
-        chars /= np.maximum(chars.sum(axis=1, keepdims=True), 1)
-        ranges, doc = (w.hashes >> _SHIFT).astype(np.int64), w.doc
-        best = np.full(len(t), np.inf)
-        near = [np.full(len(t), np.nan), np.full(len(t), np.nan)]
-        own = batch.column("own").to_pylist() if "own" in batch.schema.names else []
-        each = [(r, None) for _, r in sorted(refs.items())]
-        each += [(unpacked(r), np.array([x == r for x in own])) for r in sorted(set(own) - {None})]
-        for (ref, top, common), rows in each:
-            at = np.full(RANGES, len(top))
-            at[top] = np.arange(len(top))
-            mine = slice(None) if rows is None else rows[doc]
-            h = np.bincount(doc[mine] * (len(top) + 1) + at[ranges[mine]], minlength=len(t) * (len(top) + 1)).reshape(len(t), -1)
-            a = distance(chars, ref)
-            b = distance(h / np.maximum(h.sum(axis=1, keepdims=True), 1), common)
-            share = np.maximum(a / max_class, b / max_common)
-            closer = share < best if rows is None else rows & (share < best)
-            best = np.where(closer, share, best)
-            near = [np.where(closer, x, y) for x, y in zip((a, b), near, strict=True)]
-        passed = (c["n_words"] < min_words) | (best <= 1) if refs or own else np.ones(len(t), bool)
-        if own:
-            passed |= np.array([x is None for x in own])
+        best, a, b = _nearest(batch, t, w, last, max_class, max_common)
+        passed = (c["n_words"] < min_words) | (best <= 1) | batch.column("free").to_numpy(zero_copy_only=False) | (not judging)
         out = {k: pa.array(x, pa.int64()) for k, x in c.items()}
-        return out | {"base_failed": pa.array(bad), "class_distance": pa.array(near[0], pa.float64(), from_pandas=True),
-                      "common_distance": pa.array(near[1], pa.float64(), from_pandas=True), "kept": pa.array(~bad & passed)}
+        return out | {"base_failed": pa.array(bad), "class_distance": pa.array(a, pa.float64(), from_pandas=True),
+                      "common_distance": pa.array(b, pa.float64(), from_pandas=True), "kept": pa.array(~bad & passed)}
 
     kind = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
             "base_failed boolean, class_distance double, common_distance double, kept boolean")
-    out = mapped(narrowed(docs, ident, text, carry), judge, kind, ident, carry, text)
-    if rare is not None:
-        out = out.union(mapped(narrowed(rare, ident, text, carry, own=F.col("~own")), judge, kind, ident, carry, text))
-    return out
+    return mapped(flat, judge, kind, ident, carry, text)
+
+
+def _nearest(batch, t: Texts, w: Words, refs: list, max_class: float, max_common: float):
+    """Share of the limits and distances to the nearest reference, of these or earlier ones."""
+    chars = _classes(t).astype(float)
+    chars /= np.maximum(chars.sum(axis=1, keepdims=True), 1)
+    ranges, doc, n = (w.hashes >> _SHIFT).astype(np.int64), w.doc, np.diff(w.offsets)
+    best, near_a, near_b = [np.array(batch.column(x).to_numpy(zero_copy_only=False), float) for x in ("best", "a", "b")]
+    more = max_common + SHORT / np.maximum(n, 1)
+    for ref, top, common in refs:
+        at = np.full(RANGES, len(top))
+        at[top] = np.arange(len(top))
+        h = np.bincount(doc * (len(top) + 1) + at[ranges], minlength=len(t) * (len(top) + 1)).reshape(len(t), -1)
+        a = distance(chars, ref)
+        b = distance(h / np.maximum(h.sum(axis=1, keepdims=True), 1), common)
+        share = np.maximum(a / max_class, b / (without_common(common) * more))
+        closer = share < best
+        best, near_a, near_b = [np.where(closer, x, y) for x, y in ((share, best), (a, near_a), (b, near_b))]
+    return best, near_a, near_b
 
 
 def query(spark, sf_dir: str) -> DataFrame:

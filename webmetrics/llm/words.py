@@ -1,18 +1,29 @@
 """Vectorised byte, word and window fingerprints over Arrow text columns.
 
-All functions work on the UTF-8 bytes of whole texts. A fingerprint is a
-polynomial hash modulo 2^64 over a random table, finished with a 64-bit mixer;
-it is computed from prefix sums, so any window costs the same. Memory is
-bounded by working through a batch in pieces of ``PIECE`` positions.
+All functions work on the UTF-8 bytes of whole texts. Fingerprints have 64 bits and are not
+linear in the text, so that no pair of different texts shares one by construction (sums
+of powers would: modulo 2^64 those of a Thue-Morse word and its complement are equal):
+
+* a word up to ``SHORT`` bytes is read eight bytes at a time, each mixed with what came
+  before; a longer one is hashed by BLAKE2b;
+* a window of words is put together from windows of 1, 2, 4, ... words, mixed at each step;
+* a byte window is a polynomial over the mixed eight-byte strings at its positions, from
+  prefix sums, so that any window costs the same.
+
+Memory is bounded by working through a batch in pieces.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 1 << 20          # positions hashed at once
+SHORT = 64               # bytes of a word that is hashed eight bytes at a time
+_STEP = 1 << 15          # words whose windows are hashed at once
 SLICE_BYTES = 4 << 20    # text handled at once in a map task
 _LONG = 1 << 16          # a longer range is hashed piece by piece
 _U = np.uint64
@@ -49,10 +60,34 @@ _POW: dict[str, np.ndarray] = {}
 
 def _tables():
     if not _POW:
-        _POW["b"] = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xA0761D6478BD642F)) | _U(1)
         _POW["p"] = _powers(_BASE, _N)
         _POW["i"] = _powers(pow(_BASE, -1, 1 << 64), _N)
-    return _POW["b"], _POW["p"], _POW["i"]
+    return _POW["p"], _POW["i"]
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position, as integers; zeros follow the last byte."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data),), "<u8", padded, strides=(1,))
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Fingerprints of pairs."""
+    return mix(a * _U(_BASE) + b)
+
+
+def _chains(h: np.ndarray, k: int) -> np.ndarray:
+    """Fingerprints of h[i:i+k] for every i, put together from runs of 1, 2, 4, ..."""
+    out, used, power, size = None, 0, h, 1
+    n = len(h) - k + 1
+    while True:
+        if k & size:
+            out = power[:n] if out is None else _joined(out, power[used:used + n])
+            used += size
+        if used == k:
+            return out
+        power = _joined(power[:-size], power[size:])
+        size *= 2
 
 
 def _ranges(values, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -60,7 +95,7 @@ def _ranges(values, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
     ``values(a, b)`` gives the uint64 values of positions a..b-1.
     """
-    _, p, inv = _tables()
+    p, inv = _tables()
     out = np.empty(len(starts), np.uint64)
     if not len(starts):
         return out
@@ -92,8 +127,10 @@ def _ranges(values, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def byte_windows(data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     """Fingerprints of data[s:s+size] for ascending starts."""
-    table = _tables()[0]
-    return mix(_ranges(lambda a, b: table[data[a:b]], starts, starts + size))
+    eights = _eights(data)
+    if size < 8:
+        return mix((eights[starts] & _U((1 << 8 * size) - 1)) + _U(size))
+    return mix(_ranges(lambda a, b: mix(eights[a:b] + _U(_BASE)), starts, starts + size - 7))
 
 
 class Texts:
@@ -154,9 +191,21 @@ class Words:
     @property
     def hashes(self) -> np.ndarray:
         if self._hash is None:
-            table, data = _tables()[0], self.data
-            h = _ranges(lambda a, b: table[data[a:b]], self.starts, self.ends)
-            self._hash = mix(h ^ (self.ends - self.starts).astype(np.uint64) * _U(_BASE))
+            size = self.ends - self.starts
+            h = mix(size.astype(np.uint64) * _U(_BASE))
+            eights = _eights(self.data)
+            todo = np.flatnonzero(size <= SHORT)
+            at = 0
+            while len(todo):
+                left = size[todo] - at
+                part = eights[self.starts[todo] + at]
+                part &= _U(0xFFFFFFFFFFFFFFFF) >> (_U(8) * np.maximum(8 - left, 0).astype(np.uint64))
+                h[todo] = _joined(h[todo], part)
+                at += 8
+                todo = todo[left > 8]
+            for i in np.flatnonzero(size > SHORT):
+                h[i] = int.from_bytes(hashlib.blake2b(self.data[self.starts[i]:self.ends[i]], digest_size=8).digest(), "little")
+            self._hash = h
         return self._hash
 
     def window_starts(self, k: int) -> np.ndarray:
@@ -166,8 +215,14 @@ class Words:
 
     def windows(self, starts: np.ndarray, k: int) -> np.ndarray:
         """Fingerprints of k words from each of the (ascending) word numbers."""
-        h = self.hashes
-        return mix(_ranges(lambda a, b: h[a:b], starts, starts + k) + _U(k))
+        h, out, lo = self.hashes, np.empty(len(starts), np.uint64), 0
+        while lo < len(starts):
+            a = int(starts[lo])
+            hi = int(np.searchsorted(starts, a + _STEP))
+            last = int(starts[hi - 1])
+            out[lo:hi] = _chains(h[a:last + k], k)[starts[lo:hi] - a]
+            lo = hi
+        return mix(out + _U(k))
 
 
 def covered(n: int, starts: np.ndarray, size) -> np.ndarray:
