@@ -614,6 +614,8 @@ def _appended(spark, sf_dir, table):
     from webmetrics.sources import sinks
     m = _m(spark, sf_dir)
     root = f"{checkpoint_dir(spark).rstrip('/')}/append-{uuid.uuid4().hex}"
+    sinks.write_table(m.event, f"{root}/hub", "event", "overwrite")     # shaped from the raw tables once
+    m = m.rebuild(sinks.read_table(spark, f"{root}/hub").drop("event_date"))
     first = F.pmod(F.crc32("id"), F.lit(2)) == 0
     for batch, rows in [(0, first), (1, ~first), (0, first)]:
         part = facts.build(m.event.where(rows), m.api_key_df, m.rules_df, m.blocks, m.geo_mode)
