@@ -647,6 +647,45 @@ def sink_append_visitor_timeseries(spark, sf_dir):
     return rollup.merge_timeseries(_appended(spark, sf_dir, "visitor_timeseries"))
 
 
+@register("sink_compacted_section_combined", SQL["section_combined"])
+def sink_compacted_section_combined(spark, sf_dir):
+    """Two batches, compacted; a third one finds its parents and children in the
+    compacted tables; compacted again, and what the first round left is deleted."""
+    from webmetrics.plans import facts
+    from webmetrics.sources import sinks, snapshots
+    m = _m(spark, sf_dir)
+    root = _run_folder(spark, "compacted")
+    sinks.write_table(m.event, f"{root}/hub", "event", "overwrite")
+    m = m.rebuild(sinks.read_table(spark, f"{root}/hub").drop("event_date"))
+    part = F.pmod(F.crc32("id"), F.lit(3))
+    for batch in range(3):
+        sinks.write_model(facts.build(m.event.where(part == batch), m.api_key_df, m.rules_df, m.blocks, m.geo_mode), root, "append", batch)
+        if batch:
+            sinks.compact(spark, root)
+    path = f"{root}/section_combined"
+    snapshots.vacuum(spark, path, grace=0)
+    return sinks.read_table(spark, path, "section_combined", ("batch",)).select(*rollup.FACT_COLS)
+
+
+_EXPIRED_AS_OF = dt.datetime(2024, 1, 20)
+
+
+@register("sink_expired_section", O.with_model(
+    "SELECT api_key, site, id, ts, parent, path FROM section WHERE ts >= TIMESTAMP '2024-01-13 00:00:00'"))
+def sink_expired_section(spark, sf_dir):
+    """K7: two batches of page views, compacted; days expired by manifest are out of every read,
+    then their files go."""
+    from webmetrics.sources import sinks, snapshots
+    path = f"{_run_folder(spark, 'expired')}/section_event"
+    section = _m(spark, sf_dir).section
+    for batch in (0, 1):
+        sinks.write_table(section.where(F.pmod(F.crc32("id"), F.lit(2)) == batch), f"{path}/batch={batch}", "section_event", "overwrite")
+    sinks.compact(spark, path.rsplit("/", 1)[0], ["section_event"], upto=0)
+    snapshots.expire(spark, path, _EXPIRED_AS_OF)
+    snapshots.vacuum(spark, path, grace=0)
+    return sinks.read_table(spark, path, "section_event", ("batch",)).select("api_key", "site", "id", "ts", "parent", "path")
+
+
 def _run_folder(spark, what):
     import uuid
 
@@ -860,6 +899,31 @@ def stream_fanout_sections(spark, sf_dir):
         "api_key", "site", "id", "ts", "parent", "path")
 
 
+@register("stream_hierarchy", SQL["hierarchy"])
+def stream_hierarchy(spark, sf_dir):
+    """K3 over three streams: page views, sessions and visitors in four files each, in order of
+    time; links within two hours meet in state, the others in the stored tables."""
+    from webmetrics.sources import sinks
+    from webmetrics.streaming import fanout
+    m, run = _m(spark, sf_dir), _run_folder(spark, "hierarchy")
+    tables = {"section_event": m.section, "session_event": m.session.select("api_key", "site", "id", "ts", "parent"), "visitor_event": m.visitor}
+    for name, df in tables.items():
+        sinks.write_table(df.drop("attrs"), f"{run}/stored/{name}/batch=0", name, "overwrite")
+    rows = {n: sinks.read_table(spark, f"{run}/stored/{n}", n, ("batch",)) for n in tables}
+    at = F.unix_seconds("ts")
+    lo, hi = rows["section_event"].agg(F.min(at), F.max(at)).first()
+    part = F.greatest(F.lit(0), F.least(F.floor((at - F.lit(lo or 0)) * 4 / F.lit(max(1, (hi or 0) - (lo or 0)))), F.lit(3)))
+    streams = {}
+    for name, df in rows.items():
+        cols = ["api_key", "site", "id", "ts", *(["parent"] if "parent" in df.columns else [])]
+        for k in range(4):
+            df.where(part == k).select(*cols).coalesce(1).write.mode("append").parquet(f"{run}/in/{name}")
+        streams[name] = spark.readStream.schema(df.select(*cols).schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in/{name}")
+    links = fanout.hierarchy_links(streams["section_event"], streams["session_event"], streams["visitor_event"])
+    fanout.start_hierarchy(links, f"{run}/links", f"{run}/ckpt", f"{run}/stored").awaitTermination()
+    return fanout.read_hierarchy(spark, f"{run}/links", f"{run}/stored")
+
+
 @register("visitors_hll", O.with_model(
     "SELECT country_code, count(*) AS page_views, count(DISTINCT visitor) AS visitors, true AS hll_close, "
     "true AS approx_close FROM fact GROUP BY 1"))

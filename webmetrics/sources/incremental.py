@@ -63,7 +63,7 @@ def subfolders(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted({x.getPath().getName().split("=", 1)[1] for x in found or ()})
 
 
-def _days(df: DataFrame, day: Column, among) -> list[int]:
+def days_named(df: DataFrame, day: Column, among) -> list[int]:
     """The distinct days of the rows, out of those that exist (so a bounded list)."""
     among = sorted(among)
     if not among:
@@ -90,13 +90,13 @@ def added(spark: SparkSession, path: str, batch: int, children: DataFrame, paren
     as parent; no other names are shared. ``stored(days)`` gives the earlier batches' parents
     of some days out of ``stored_days``.
     """
-    child_days = _days(children, day_of("parent"), stored_days)
+    child_days = days_named(children, day_of("parent"), stored_days)
     folders = {int(v) for p in (0, 1) for v in subfolders(spark, f"{path}/pending={p}", "folder")}
     asked = set(stored_days) | {f for f in folders if f >= 0}
     if any(f < 0 for f in folders):      # a century's folder may hold children of any day
         parent_days = [r[0] for r in parents.select(day_of("parent").alias("d")).distinct().collect()]
     else:
-        parent_days = _days(parents, day_of("parent"), asked)
+        parent_days = days_named(parents, day_of("parent"), asked)
     days = sorted((set(child_days) | set(parent_days)) & set(stored_days))
     older = stored(days) if days else None
     known = parents if older is None else parents.unionByName(older)
@@ -114,7 +114,7 @@ def added(spark: SparkSession, path: str, batch: int, children: DataFrame, paren
         rows = rows.unionByName(waiting.join(parents, list(KEY)).select(rows.columns))
     if older is not None:
         again = parents.join(older.select(*KEY).distinct(), list(KEY), "left_semi")
-        done = read_links(spark, path, children.schema, 0, folders_of_days(_days(again, day_of("parent"), days)), batch)
+        done = read_links(spark, path, children.schema, 0, folders_of_days(days_named(again, day_of("parent"), days)), batch)
         if done is not None:
             rows = rows.unionByName(done.join(again, list(KEY)).select(rows.columns))
     return rows

@@ -9,7 +9,8 @@
 * K2/K3: each batch writes what it adds to the joins over all stored rows, so
       nothing is lost when a session comes after its page views;
       ``section_session_join`` is the stream-stream alternative with a
-      watermark and a time bound.
+      watermark and a time bound, ``hierarchy_links`` that of all three streams, whose
+      links beyond the bound are closed from the stored tables.
 * K4  ``visitor_counts``: 5-minute tumbling window in update mode; the newest row of
       a window counts.
 * K5  lateness is refused at the door (B7); the watermark covers what may still come.
@@ -24,8 +25,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webmetrics.functions.ids import uuid7_ts
 from webmetrics.operators import enrich, ingest, rollup, route
-from webmetrics.sources import dims, sinks
+from webmetrics.sources import dims, incremental, sinks
 
 KEY_TTL = 60.0      # seconds, key dictionary lifetime
 GEO_TTL = 3600.0    # seconds, geo dictionary lifetime
@@ -147,3 +149,81 @@ def section_session_join(sections: DataFrame, sessions: DataFrame, lateness: str
     j = x.join(s, cond, "inner")
     return j.select("api_key", "site", rollup.bucket5("ts").alias("ts"), "path", "os", "browser",
                     "country_code", "city", "visitor")
+
+
+# --------------------------------------------------------------------------- K3 over three streams
+
+#: Time between an event and its parent up to which the joins wait for each other in state.
+NEAR = "2 hours"
+_LINK = "api_key string, site string, visitor string, session string, section string, ts timestamp, batch long"
+
+
+def hierarchy_links(sections: DataFrame, sessions: DataFrame, visitors: DataFrame, near: str = NEAR,
+                    lateness: str = "65 minutes") -> DataFrame:
+    """K3 (three streams): page views left-joined with their session, then with its visitor.
+
+    A parent's id names its time, so a page view knows on arrival whether its parent is
+    within ``near``: such rows wait in state, bounded by the watermarks, for a parent that
+    is as late; all others pass at once with nulls, and so do those whose parent did not
+    come when their state goes. A row is a finished chain where ``found``; the others are to be
+    joined with the stored tables (:func:`start_hierarchy`). An accepted event
+    is less than ``lateness`` behind the newest (B7), so of sources read in order of receipt
+    the watermarks refuse nothing.
+    """
+    gap = F.expr(f"INTERVAL {near}")
+
+    def close(parent):
+        return F.coalesce((uuid7_ts(parent) >= F.col("ts") - gap) & (uuid7_ts(parent) <= F.col("ts") + gap), F.lit(False))
+
+    x = sections.select("api_key", "site", F.col("id").alias("section"), F.col("parent").alias("session"), "ts").withWatermark("ts", lateness)
+    s = sessions.select(F.col("api_key").alias("s_key"), F.col("site").alias("s_site"), F.col("id").alias("s_id"),
+                        F.col("parent").alias("visitor"), F.col("ts").alias("s_ts")).withWatermark("s_ts", lateness)
+    v = visitors.select(F.col("api_key").alias("v_key"), F.col("site").alias("v_site"), F.col("id").alias("v_id"),
+                        F.col("ts").alias("v_ts")).withWatermark("v_ts", lateness)
+    bound = lambda t: (F.col(t) >= F.col("ts") - gap) & (F.col(t) <= F.col("ts") + gap)
+    one = x.join(s, (x.api_key == s.s_key) & (x.site == s.s_site) & (x.session == s.s_id) & close(F.col("session")) & bound("s_ts"), "left_outer")
+    one = one.select("api_key", "site", "section", "session", "ts", "visitor")
+    two = one.join(v, (one.api_key == v.v_key) & (one.site == v.v_site) & (one.visitor == v.v_id) & close(F.col("visitor")) & bound("v_ts"), "left_outer")
+    return two.select("api_key", "site", "visitor", "session", "section", "ts", F.col("v_id").isNotNull().alias("found"))
+
+
+def resolved(rows: DataFrame, stored: str) -> DataFrame:
+    """Open links with the stored parents (tables below ``stored``) of the days that their ids
+    name: session and visitor where known, and ``found``."""
+    spark, keys = rows.sparkSession, ["api_key", "site"]
+
+    def parents(table, children, col):
+        path = f"{stored}/{table}"
+        days = incremental.days_named(children.where(F.col(col).isNotNull()), incremental.day_of(col), sinks.stored_days(spark, path))
+        return sinks.read_days(spark, path, table, days)
+
+    unmet = rows.where("visitor is null").select(*keys, "session", "section", "ts")
+    s = parents("session_event", unmet, "session").select(*keys, F.col("id").alias("session"), F.col("parent").alias("visitor"))
+    links = unmet.join(s, [*keys, "session"], "left").unionByName(rows.where("visitor is not null").select(*keys, "visitor", "session", "section", "ts"))
+    v = parents("visitor_event", links, "visitor").select(*keys, F.col("id").alias("visitor"), F.lit(True).alias("found"))
+    return links.join(v, [*keys, "visitor"], "left").select(*keys, "visitor", "session", "section", "ts", F.coalesce("found", F.lit(False)).alias("found"))
+
+
+def start_hierarchy(links: DataFrame, root: str, checkpoint: str, stored: str, trigger: dict | None = None):
+    """The links as two tables below ``root``, a folder per batch (a batch run again replaces its
+    own): ``chains``, finished in state or by a stored parent, and ``open`` ones, whose
+    parents are not stored yet either."""
+    def store(df, bid):
+        df = df.persist()
+        rest = resolved(df.where("not found").drop("found"), stored).persist()
+        try:
+            done = df.where("found").unionByName(rest.where("found")).drop("found")
+            done.write.mode("overwrite").parquet(f"{root}/chains/batch={bid}")
+            rest.where("not found").drop("found").write.mode("overwrite").parquet(f"{root}/open/batch={bid}")
+        finally:
+            rest.unpersist()
+            df.unpersist()
+
+    w = links.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(store)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_hierarchy(spark: SparkSession, root: str, stored: str) -> DataFrame:
+    """All chains: the finished ones, and open links whose parents have been stored since."""
+    chains, rest = [spark.read.schema(_LINK).parquet(f"{root}/{t}").drop("batch") for t in ("chains", "open")]
+    return chains.unionByName(resolved(rest, stored).where("found").drop("found"))
