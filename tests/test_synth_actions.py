@@ -58,3 +58,47 @@ def test_actions_epochs(spark):
     assert all(actions.valid_reference(F.lit(r.id)) is not None for r in ev)
     w = actions.to_wire(actions.from_actions(df)).where("sub = 2").first()
     assert w.t == 3 and set(w.a) == {"p", "l", "t"}
+
+
+def plain_events(log):
+    """The client, action by action: (seq, kind, creator's seq of the parent)."""
+    cur, out = {}, []
+    for seq, a in log:
+        if a in (actions.REG_V, actions.DEREG_V):
+            cur = {}
+        elif a in (actions.REG_S, actions.DEREG_S):
+            cur = {k: v for k, v in cur.items() if k == "Visitor"}
+        elif a in (actions.REG_X, actions.DEREG_X):
+            cur.pop("Section", None)
+        for kind, parent in (("Visitor", None), ("Session", "Visitor"), ("Section", "Session")):
+            if a in actions.CREATES[kind] and kind not in cur:
+                cur[kind] = seq
+                out.append((seq, kind, cur.get(parent)))
+        if a == actions.REG_C:
+            out.append((seq, "Click", cur["Section"]))
+    return out
+
+
+def test_one_pass_equals_the_client_step_by_step(spark):
+    import random
+    r = random.Random(4)
+    logs = {f"c{k}": [(i, r.choice(actions.ACTIONS)) for i in range(0, n, 1 + k % 2)] for k, n in enumerate([400, 400, 90, 40, 7, 3, 1])}
+    logs["starts late"] = [(i, actions.REG_C if i % 50 else actions.DEREG_X) for i in range(130, 330)]
+    rows = [("k", c, i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), a, "https://h/p", "T") for c, log in logs.items() for i, a in log]
+    df = spark.createDataFrame(rows, "api_key string, client string, seq long, ts timestamp, action string, location string, title string")
+    want = sorted((c, *e) for c, log in logs.items() for e in plain_events(log))
+    for chunk in (7, 64, 10 ** 6):
+        ev = actions.from_actions(df.repartition(3), chunk=chunk).collect()
+        seq_of = {(x.client, x.event_type, x.id): x.seq for x in ev}
+        above = {"Session": "Visitor", "Section": "Session", "Click": "Section"}
+        got = sorted((x.client, x.seq, x.event_type, seq_of.get((x.client, above.get(x.event_type), x.parent))) for x in ev)
+        assert [tuple(map(str, x)) for x in got] == [tuple(map(str, x)) for x in want], chunk
+
+
+def test_the_log_is_read_twice_at_most(spark, tmp_path):
+    df = spark.createDataFrame([("k", "c", 1, AS_OF, actions.REG_C, "l", "t")], "api_key string, client string, seq long, ts timestamp, action string, location string, title string")
+    df.write.parquet(str(tmp_path / "log"))
+    ev = actions.from_actions(spark.read.parquet(str(tmp_path / "log")))
+    plan = ev._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 2 and plan.count("Exchange hashpartitioning") <= 4
+    assert ev.count() == 4

@@ -82,7 +82,8 @@ def _event_error(e, api_key: Column, site: Column, received: Column) -> Column:
 
 
 def check(requests: DataFrame, sources_df: DataFrame) -> DataFrame:
-    """Request rows + ``site``, ``reason`` (NULL when accepted) and ``status``."""
+    """Request rows + ``site``, ``reason`` (NULL when accepted) and ``status``. Sources with
+    ``valid_from`` and ``valid_to`` (:func:`dims.key_versions`) are looked up as of the receipt."""
     site = url_host(F.col("origin"))
     r = requests.withColumn("site", site)
     header = (F.when(F.col("site").isNull(), F.lit("InvalidRequestHeaders"))
@@ -95,9 +96,13 @@ def check(requests: DataFrame, sources_df: DataFrame) -> DataFrame:
                     lambda x: x.isNotNull())
     first = F.try_element_at(errs, F.lit(1))
     empty = F.when(F.size(evs) == 0, F.lit("InvalidRequest"))
-    src = checked_broadcast(sources_df.select(F.col("api_key").alias("_k"), F.col("site").alias("_s"),
+    times = [c for c in ("valid_from", "valid_to") if c in sources_df.columns]
+    src = checked_broadcast(sources_df.select(F.col("api_key").alias("_k"), F.col("site").alias("_s"), *times,
                                               F.lit(True).alias("_known")))
-    r = r.join(src, (F.trim(r.api_key) == src._k) & (F.trim(r.site) == src._s), "left")
+    same = (F.trim(r.api_key) == src._k) & (F.trim(r.site) == src._s)
+    if times:
+        same &= (r.received_at >= src.valid_from) & (src.valid_to.isNull() | (r.received_at < src.valid_to))
+    r = r.join(src, same, "left").drop(*times)
     unknown = F.when(F.col("_known").isNull(), F.lit("UnknownSource"))
     reason = F.coalesce(header, body, first, empty, unknown)
     status_map = F.create_map(*[x for k, v in STATUS.items() for x in (F.lit(k), F.lit(v))])

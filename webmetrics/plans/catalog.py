@@ -886,17 +886,11 @@ def stream_visitor_counts(spark, sf_dir):
 def stream_fanout_sections(spark, sf_dir):
     """K1: the checkpointed foreachBatch fan-out; page-view table as stored."""
     from webmetrics import schema as S
-    from webmetrics.plans.facts import geo_blocks
-    from webmetrics.sources import adapter, dims
-    from webmetrics.streaming import fanout
+    from webmetrics.sources import adapter
     run = _stream_source(spark, sf_dir)
-    keys = fanout.Refreshing(lambda: adapter.api_keys(spark, sf_dir), fanout.KEY_TTL)
-    blocks = fanout.Refreshing(lambda: geo_blocks(spark, sf_dir), fanout.GEO_TTL)
     stream = spark.readStream.schema(S.REQUEST).option("maxFilesPerTrigger", 4).json(f"{run}/requests")
-    q = fanout.start_fan_out(stream, f"{run}/tables", f"{run}/ckpt-fan", keys, dims.ua_rules_df(spark), blocks)
-    q.awaitTermination()
-    return fanout.read_tables(spark, f"{run}/tables", "section_event").select(
-        "api_key", "site", "id", "ts", "parent", "path")
+    tables = _fan_out(spark, sf_dir, stream, run, lambda: adapter.api_keys(spark, sf_dir))
+    return tables(spark, f"{run}/tables", "section_event").select("api_key", "site", "id", "ts", "parent", "path")
 
 
 @register("stream_hierarchy", SQL["hierarchy"])
@@ -924,6 +918,68 @@ def stream_hierarchy(spark, sf_dir):
     return fanout.read_hierarchy(spark, f"{run}/links", f"{run}/stored")
 
 
+def _fan_out(spark, sf_dir, stream, run, keys):
+    from webmetrics.plans.facts import geo_blocks
+    from webmetrics.sources import dims
+    from webmetrics.streaming import fanout
+    blocks = fanout.Refreshing(lambda: geo_blocks(spark, sf_dir), fanout.GEO_TTL)
+    fanout.start_fan_out(stream, f"{run}/tables", f"{run}/ckpt-fan", fanout.Refreshing(keys, fanout.KEY_TTL), dims.ua_rules_df(spark), blocks).awaitTermination()
+    return fanout.read_tables
+
+
+@register("stream_quarantine", SQL["request_quarantine"])
+def stream_quarantine(spark, sf_dir):
+    """A source of messages (a JSON text each) through the fan-out; refused events as
+    stored by the batches."""
+    from webmetrics.operators import ingest
+    from webmetrics.sources import adapter
+    run = _stream_source(spark, sf_dir)
+    messages = spark.readStream.option("maxFilesPerTrigger", 4).text(f"{run}/requests")
+    tables = _fan_out(spark, sf_dir, ingest.parse_request_json(messages), run, lambda: adapter.api_keys(spark, sf_dir))
+    return tables(spark, f"{run}/tables", "request_quarantine").select("request_id", "pos", "reason", "status")
+
+
+#: Changes of keys: key-0 is out for a week, key-1 comes later, key-2 is replaced at one time.
+KEY_CHANGES = [("key-0", 1, "2023-01-01", True), ("key-0", 2, "2024-01-10", False), ("key-0", 3, "2024-01-17", True),
+               ("key-1", 1, "2024-01-12", True), ("key-2", 1, "2023-06-01", False), ("key-2", 2, "2023-06-01", True)]
+
+
+@register("stream_keys_as_of", O.with_ingest(
+    "SELECT a.api_key, a.site, a.event_type, a.id, a.ts FROM accepted a JOIN chk c ON c.request_id = a.request_id "
+    "WHERE CASE a.api_key WHEN 'key-0' THEN c.received_at < TIMESTAMP '2024-01-10' OR c.received_at >= TIMESTAMP '2024-01-17' "
+    "WHEN 'key-1' THEN c.received_at >= TIMESTAMP '2024-01-12' ELSE true END"))
+def stream_keys_as_of(spark, sf_dir):
+    """K6/K8: the validated stream with keys as of each request's receipt."""
+    from webmetrics import schema as S
+    from webmetrics.operators import ingest
+    from webmetrics.sources import dims
+    run = _stream_source(spark, sf_dir)
+    rows = [(k, SITES[int(k[-1])], n, dt.datetime.fromisoformat(t), on) for k, n, t, on in KEY_CHANGES]
+    spark.createDataFrame(rows, "api_key string, site string, seq long, valid_from timestamp, active boolean").write.parquet(f"{run}/keys")
+
+    def store(batch, bid):
+        known = dims.key_versions(spark.read.parquet(f"{run}/keys"))        # as it is now, for every batch
+        ingest.hub(ingest.validate(batch, known)).drop("attrs").write.mode("overwrite").parquet(f"{run}/events/batch={bid}")
+
+    stream = spark.readStream.schema(S.REQUEST).option("maxFilesPerTrigger", 4).json(f"{run}/requests")
+    stream.writeStream.option("checkpointLocation", f"{run}/ckpt").foreachBatch(store).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{run}/events").select("api_key", "site", "event_type", "id", "ts")
+
+
+@register("report_by_country_rollup", O.with_model(
+    f"SELECT country_code, {_VIEWS}, true AS visitors_close FROM fact WHERE {_TENANT} AND {_DAYS.format('2024-01-03 12:00:00', '2024-01-21 06:00:00')} GROUP BY country_code"))
+def report_by_country_rollup(spark, sf_dir):
+    """G1 by rewrite (`use_rollup`): a range of whole days from the stored rollup's sketches; visitors
+    within three standard errors (1.04 / sqrt(2^12)) of the exact count, or one of them."""
+    daily = _stored_daily(spark, sf_dir, "daily_by_country")
+    fact = _m(spark, sf_dir).section_combined
+    span = ("2024-01-03 12:00:00", "2024-01-21 06:00:00")
+    got = report.answer("by_country", fact, KEYS, SITES, *span, distinct="hll", rollups={"country_code": daily})
+    exact = report.answer("by_country", fact, KEYS, SITES, *span).select("country_code", F.col("visitors").alias("exact"))
+    off = F.abs(F.col("visitors") - F.col("exact")) <= F.greatest(F.lit(1.0), 3 * 1.04 / 2 ** 6 * F.col("exact"))
+    return got.join(exact, "country_code").select("country_code", "page_views", off.alias("visitors_close"))
+
+
 @register("visitors_hll", O.with_model(
     "SELECT country_code, count(*) AS page_views, count(DISTINCT visitor) AS visitors, true AS hll_close, "
     "true AS approx_close FROM fact GROUP BY 1"))

@@ -29,6 +29,17 @@ def sources(api_key_df: DataFrame) -> DataFrame:
             .distinct())
 
 
+def key_versions(changes: DataFrame) -> DataFrame:
+    """K8: (api_key, site, valid_from, valid_to) of a key's active times, from its changes
+    (api_key, site, seq, valid_from, active). A change holds until the key's next one
+    (null: still); of changes at one time the largest ``seq`` counts, the others last no time."""
+    c = changes.select(F.trim("api_key").alias("api_key"), F.trim("site").alias("site"), "seq", "valid_from", "active")
+    c = c.where((F.length("api_key") > 0) & (F.length("site") > 0) & F.col("valid_from").isNotNull())
+    w = Window.partitionBy("api_key", "site").orderBy("valid_from", "seq", "active")
+    c = c.withColumn("valid_to", F.lead("valid_from").over(w))
+    return c.where(F.col("active") & (F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to")))).drop("seq", "active")
+
+
 def read_iso_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """A10: ISO-3166 country table (11 nullable text columns)."""
     return spark.read.schema(S.ISO_COUNTRY).option("header", header).csv(path)

@@ -14,7 +14,8 @@
 * K4  ``visitor_counts``: 5-minute tumbling window in update mode; the newest row of
       a window counts.
 * K5  lateness is refused at the door (B7); the watermark covers what may still come.
-* K6/K8 ``Refreshing``: dimensions re-read when older than their lifetime.
+* K6 ``Refreshing``: dimensions re-read when older than their lifetime; K8: keys with times of
+      validity are looked up as of the receipt, so a batch run again decides alike.
 """
 
 from __future__ import annotations
@@ -60,16 +61,20 @@ def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 def fan_out_batch(batch: DataFrame, batch_id: int, root: str, api_keys: Refreshing,
                   rules: DataFrame, blocks: Refreshing, geo_mode: str = "range") -> None:
-    """One micro-batch of request rows -> all tables.
+    """One micro-batch of request rows -> all tables.
 
-    The batch is validated once. Its page views join the sessions stored so far,
+    The batch is validated once, against the keys as they are now or, if they are changes with
+    times (K8), as of each request's receipt. Refused events go to a table of their
+    own. Its page views join the sessions stored so far,
     earlier page views its sessions (:func:`sinks.write_facts`), so the facts are
     those of one join over all batches, in whatever order the events arrive.
     """
     spark = batch.sparkSession
-    src = dims.sources(dims.api_key_latest(api_keys.get()))
+    keys = api_keys.get()
+    known = dims.key_versions(keys) if "valid_from" in keys.columns else dims.sources(dims.api_key_latest(keys))
+    src = known.select("api_key", "site").distinct()
     batch = batch.persist()
-    res = ingest.validate(batch, src)
+    res = ingest.validate(batch, known)
     hub = ingest.hub(res).persist()
     try:
         visitor = route.visitors(hub, src)
@@ -79,6 +84,7 @@ def fan_out_batch(batch: DataFrame, batch_id: int, root: str, api_keys: Refreshi
                           ("section_event", section)]:
             sinks.write_table(df, _batch_path(root, table, batch_id), table, "overwrite")
         res.summary.write.mode("overwrite").parquet(_batch_path(root, "request_summary", batch_id))
+        res.quarantine.write.mode("overwrite").parquet(_batch_path(root, "request_quarantine", batch_id))
         sinks.write_facts(spark, root, batch_id)
     finally:
         hub.unpersist()
