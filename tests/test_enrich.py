@@ -97,11 +97,34 @@ def test_missing_regex_group_expands_to_nothing(spark):
     assert spark.sql(f"SELECT {sql} AS v FROM (SELECT 'A/12' AS ua)").first()[0] == "v12-"
 
 
-def test_required_text():
-    got = {r: ua_table.required_text(r) for r in [
-        r"Edg/(\d+)\.(\d+)", r"Chrome/(\d+)\.(\d+).*Mobile", r"^(curl)/(\d+)", r"(?i)bot|crawler", r"a|bcd", r"colou?rs",
-        r"Windows NT 10\.0", r"x[a-f]{2}yz+", r"SM-([A-Z0-9]+)", r"\x41bcd", r"(?:long group)?ab"]}
-    assert list(got.values()) == ["Edg/", "Chrome/", "/", "", "", "colo", "Windows NT 10.0", "yz", "SM-", "", "ab"]
+def test_required_text(spark):
+    want = {
+        r"Edg/(\d+)\.(\d+)": "Edg/", r"Chrome/(\d+)\.(\d+).*Mobile": "Chrome/", r"^(curl)/(\d+)": "/", r"(?i)bot|crawler": "", r"a|bcd": "",
+        r"colou?rs": "colo", r"Windows NT 10\.0": "Windows NT 10.0", r"x[a-f]{2}yz+": "yz", r"SM-([A-Z0-9]+)": "SM-", r"\x41bcd": "",
+        r"(?:long group)?ab": "ab", r"a\\dbc": "dbc", r"((a|b)(c))?xyz*": "xy", r"ab{0,2}?cde??": "cd", r"[]x]qq[^]]": "qq", r"\(a\|b\)": "(a|b)",
+        r"(?=x)abc": "", r"un(closed": "", "": "", r"a-\-b\/": "a--b/"}
+    df = spark.createDataFrame([(r,) for r in want], "r string")
+    assert {x.r: x.t for x in df.select("r", ua_table.required_text(df.r).alias("t")).collect()} == want
+
+
+def test_required_text_is_in_every_match(spark):
+    import random
+    import re
+    r = random.Random(5)
+    atoms = ["a", "b", "C", " ", "/", r"\.", r"\(", r"\d", "[ab]", "[^b]", "(a)", "(?:b|Ca)", ".", r"\b", r"\\"]
+    rules = {"".join(r.choice(atoms) + r.choice(["", "", "", "?", "*", "+", "{0,1}", "{2}", "+?"]) for _ in range(r.randint(1, 7))) for _ in range(400)}
+    rules = {x for x in rules if r"\b?" not in x and r"\b*" not in x and r"\b+" not in x and r"\b{" not in x}
+    df = spark.createDataFrame([(x,) for x in rules], "r string")
+    text = {x.r: (x.t, x.n) for x in df.select("r", ua_table.required_text(df.r).alias("t"), ua_table.group_count(df.r).alias("n")).collect()}
+    words = ["".join(r.choice("abC /.(1\\") for _ in range(r.randint(1, 9))) for _ in range(1500)]
+    met = 0
+    for rule, (need, n) in text.items():
+        assert re.compile(rule).groups == n == enrich._groups(rule)
+        for w in words:
+            if re.search(rule, w):
+                assert need in w, (rule, need, w)
+                met += 1
+    assert met > 1000 and sum(len(t) > 1 for t, _ in text.values()) > 20
 
 
 def test_rule_table_equals_expression(spark, rules, monkeypatch):
@@ -116,6 +139,19 @@ def test_rule_table_equals_expression(spark, rules, monkeypatch):
     assert sorted(map(tuple, enrich.user_agents(df, more).collect()), key=repr) == want
 
 
+def test_rules_stay_off_the_driver(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+    collect, most = DataFrame.collect, []
+    monkeypatch.setattr(DataFrame, "collect", lambda self: most.append(len(r := collect(self))) or r)
+    rules = spark.range(20_000).selectExpr("'device' AS kind", "cast(id % 50 AS int) AS priority", r"concat('Unit', id, r'y/(\d+)') AS regex",
+                                           "map('device', concat('U', id, ' v$1$2')) AS repl")
+    df = spark.range(20_000).selectExpr("concat('Agent (Unit', id * 3 % 30000, 'y/', id % 9, ')') AS user_agent")
+    out = enrich.user_agents(df, rules)
+    assert max(most) <= enrich.CASE_RULES + 1
+    hit = out.where("device_model = concat('U', regexp_extract(user_agent, 'Unit([0-9]+)', 1), ' v', regexp_extract(user_agent, 'y/([0-9])', 1))").count()
+    assert hit == df.where("cast(regexp_extract(user_agent, 'Unit([0-9]+)', 1) AS int) < 20000").count() > 10_000
+
+
 def test_large_rule_table(spark):
     rules = dims.ua_rules_df(spark, [("device", i, rf"Model{i}x/(\d+)", {"device": f"M{i} v$1"}) for i in range(2000)])
     df = spark.range(10000).selectExpr("concat('Mozilla/5.0 (Linux) Model', id % 2500, 'x/', id % 7, ' AppleWebKit/', id) AS user_agent")

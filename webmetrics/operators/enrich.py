@@ -29,22 +29,21 @@ KIND_ATTRS = {
 KIND_DEFAULTS = {"os": S.OS_DEFAULTS, "browser": S.BROWSER_DEFAULTS, "device": S.DEVICE_DEFAULTS}
 
 
-def load_rules(rules_df: DataFrame) -> list[tuple]:
-    """Rule table -> sorted list (kind, priority, regex, repl).
-
-    The rule table is configuration (a dictionary file); it becomes part of the plan.
+def load_rules(rules_df: DataFrame) -> list[tuple] | None:
+    """Rule table -> sorted list (kind, priority, regex, repl), which becomes part of the plan;
+    None beyond CASE_RULES rules, of which no more than one are read.
     """
     key = None
     try:
-        key = (rules_df.sparkSession.sparkContext.applicationId, rules_df.semanticHash())
+        key = (rules_df.sparkSession.sparkContext.applicationId, rules_df.semanticHash(), CASE_RULES)
     except Exception:  # pragma: no cover
         pass
     now = time.monotonic()
     if key in _RULES and now - _RULES[key][0] < CHECK_TTL_SECONDS:
         return _RULES[key][1]
-    rows = rules_df.select("kind", "priority", "regex", "repl").collect()
+    rows = rules_df.select("kind", "priority", "regex", "repl").limit(CASE_RULES + 1).collect()
     rules = sorted(((r.kind, r.priority, r.regex, dict(r.repl or {})) for r in rows),
-                   key=lambda r: (r[0], r[1], r[2]))
+                   key=lambda r: (r[0], r[1], r[2])) if len(rows) <= CASE_RULES else None
     if key is not None:
         _RULES[key] = (now, rules)
     return rules
@@ -140,13 +139,13 @@ def user_agents(df: DataFrame, rules_df: DataFrame, ua_col: str = "user_agent",
     rules = load_rules(rules_df)
     key = F.coalesce(F.col(ua_col), F.lit(""))
     keyed = df.withColumn("_ua", key)
-    if not distinct_first:  # row-wise: every row runs the rule chain (bench comparison)
+    if not distinct_first and rules is not None:  # row-wise: every row runs the rule chain (bench comparison)
         return parse_user_agent(keyed, rules, "_ua").drop("_ua")
     agents = keyed.select("_ua").distinct()
-    if len(rules) <= CASE_RULES:
+    if rules is not None:
         parsed = parse_user_agent(agents, rules, "_ua")
     else:
-        parsed = ua_table.parse(agents, ua_table.rule_table(df.sparkSession, rules, _groups), "_ua")
+        parsed = ua_table.parse(agents, ua_table.rule_table(rules_df), "_ua")
     # AQE broadcasts the parsed table when it measures it small (32 MB), which spares
     # the sessions' shuffle by agent text; else it splits popular agents. No count
     # of derived data is run while the plan is built.

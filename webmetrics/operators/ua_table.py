@@ -5,105 +5,86 @@ Every match of most regexes contains some fixed text. A rule is listed under one
 exploded into their pieces and joined on them, so a rule meets only the agents that can
 match it. Rules without such text are listed under the empty piece, which all agents have.
 The join is checked by the text, then by the regex; the first rule of each kind wins.
+
+The index is made by built-in functions over the rule table, wherever its rows are: neither rules
+nor pieces pass through the driver. It is broadcast where it is proven small.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webmetrics import schema as S
+from webmetrics.plans.strategy import checked_broadcast
 
 GRAM = 4
-BROADCAST_BYTES = 32 << 20
 _KINDS = {"os": S.OS_DEFAULTS, "browser": S.BROWSER_DEFAULTS, "device": S.DEVICE_DEFAULTS}
-_PART = re.compile(r"\$(\d)")
+_RULE = ("kind", "priority", "regex")
+_END = "\ue0ff"                         # stands for whatever ends a run of fixed text
+_SPECIAL = ".()[]{}+*?^$|"
+_PLAIN = "".join(chr(0xE000 + i) for i in range(len(_SPECIAL)))      # the same, escaped
+_NESTED = 8                             # depth of groups that is looked through
 
 
-def required_text(regex: str) -> str:
+def required_text(regex: Column) -> Column:
     """The longest run of characters that every match contains; '' where none is certain."""
-    if re.search(r"\(\?(?!:|<[A-Za-z])", regex):      # flags and look-around
-        return ""
-    runs, run, depth, i = [], "", 0, 0
-    while i < len(regex):
-        c, size, char = regex[i], 1, None
-        if c == "\\":
-            follows = regex[i + 1:i + 2]
-            if not follows or follows in "xucpPkQE0123456789":
-                return ""
-            size, char = 2, None if follows.isalpha() else follows
-        elif c == "[":
-            m = re.match(r"\[\^?\]?((?:\\.|[^\]\\\[])*)\]", regex[i:])
-            if not m:
-                return ""
-            size = m.end()
-        elif c == "{":
-            run, size = run[:-1], regex.find("}", i) - i + 1
-            if size <= 0:
-                return ""
-        elif c in "?*":
-            run = run[:-1]
-        elif c == "|" and not depth:
-            return ""
-        elif c in "()":
-            depth += 1 if c == "(" else -1
-        elif c not in "+.^$|":
-            char = c
-        if char is not None and not depth:
-            run += char
-        else:
-            runs.append(run)
-            run = ""
-        i += size
-    return max([*runs, run], key=len)
-
-
-def _pieces(text: str) -> list[str]:
-    return [text[i:i + GRAM] for i in range(len(text) - GRAM + 1)]
-
-
-def _parts(template: str, groups: int) -> list[tuple]:
-    """(text, None) and (None, group) parts of a replacement; groups that the regex lacks go."""
-    out, at = [], 0
-    for m in _PART.finditer(template):
-        if m.start() > at:
-            out.append((template[at:m.start()], None))
-        if int(m[1]) <= groups:
-            out.append((None, int(m[1])))
-        at = m.end()
-    return out + ([(template[at:], None)] if at < len(template) else [])
-
-
-def rule_table(spark, rules: list[tuple], groups) -> DataFrame:
-    """(kind, rank, regex, text, gram, parts) of rules (kind, priority, regex, repl);
-    rank: order within the kind, ``groups(regex)``: its number of groups."""
-    texts = [required_text(r[2]) for r in rules]
-    common = Counter(g for t in texts for g in set(_pieces(t)))
-    rows, rank = [], Counter()
-    for (kind, _, regex, repl), text in sorted(zip(rules, texts, strict=True), key=lambda x: x[0][:3]):
-        gram = min(_pieces(text), key=common.__getitem__, default="")
-        rank[kind] += 1
-        rows.append((kind, rank[kind], regex, text, gram, {a: _parts(t, groups(regex)) for a, t in repl.items()}))
-    table = spark.createDataFrame(rows, "kind string, rank int, regex string, text string, gram string, "
-                                        "parts map<string, array<struct<t:string,g:int>>>")
-    # the table is configuration whose size is known here
-    size = sum(len(r[2]) + len(r[3]) + sum(len(t or "") + 8 for p in r[5].values() for t, _ in p) + 64 for r in rows)
-    return F.broadcast(table) if size <= BROADCAST_BYTES else table
+    t = F.regexp_replace(regex, r"\\\\", _END)                       # an escaped backslash
+    t = F.regexp_replace(t, r"\\[A-Za-z]", _END)                     # classes and anchors
+    for c, p in zip(_SPECIAL, _PLAIN, strict=True):
+        t = F.replace(t, F.lit("\\" + c), F.lit(p))
+    t = F.regexp_replace(t, r"\\(.)", "$1")
+    t = F.regexp_replace(t, r"\[\^?\]?[^\[\]]*\]", _END)
+    for _ in range(_NESTED):
+        t = F.regexp_replace(t, r"\([^()]*\)", _END)
+    t = F.regexp_replace(t, r"(?s).\{[^}]*\}", _END)                  # what may come no time at all
+    t = F.regexp_replace(t, r"(?s).[?*]", _END)
+    unsure = (regex.rlike(r"\(\?(?!:|<[A-Za-z])") | regex.rlike(r"\\([xucpPkQE0-9]|$)") | regex.rlike("[\ue000-\ue0ff]")
+              | t.rlike(r"[|()\[\]{}]"))                             # flags, look-around, codes, alternatives
+    runs = F.split(F.regexp_replace(t, r"[+.^$?*]", _END), _END)
+    longest = F.array_max(F.transform(runs, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"]
+    return F.when(unsure, F.lit("")).otherwise(F.translate(longest, _PLAIN, _SPECIAL))
+
+
+def group_count(regex: Column) -> Column:
+    """Capturing groups: unescaped ( outside of a class, not followed by ? unless it names a group."""
+    plain = F.regexp_replace(regex, r"\\Q.*?(?:\\E|$)|\\.|\[\^?\]?(?:\\.|[^\]\\])*\]", "")
+    return F.size(F.regexp_extract_all(plain, F.lit(r"\((?!\?)|\(\?<[A-Za-z]"), F.lit(0)))
+
+
+def _parts(template: Column, groups: Column) -> Column:
+    """Text (t) and group (g) parts of a replacement; groups that the regex lacks go."""
+    tokens = F.regexp_extract_all(template, F.lit(r"\$\d|[^$]+|\$"), F.lit(0))
+    group = lambda x: F.when(x.rlike(r"^\$\d$"), F.substring(x, 2, 1).cast("int"))
+    parts = F.transform(tokens, lambda x: F.struct(F.when(group(x).isNull(), x).alias("t"), group(x).alias("g")))
+    return F.filter(parts, lambda p: p["g"].isNull() | (p["g"] <= groups))
+
+
+def rule_table(rules: DataFrame) -> DataFrame:
+    """(kind, priority, regex, text, gram, parts) of rules (kind, priority, regex, repl); of rules
+    that are alike but for their replacement the least one (as JSON) stays."""
+    repl = F.coalesce("repl", F.create_map().cast("map<string,string>"))
+    one = rules.where("regex is not null").groupBy(*_RULE).agg(F.min_by(repl, F.to_json(repl)).alias("repl"))
+    one = one.withColumn("text", required_text(F.col("regex")))
+    at = F.when(F.length("text") >= GRAM, F.sequence(F.lit(1), F.length("text") - (GRAM - 1))).otherwise(F.array().cast("array<int>"))
+    pieces = one.select(*_RULE, F.explode(F.array_distinct(F.transform(at, lambda i: F.col("text").substr(i, F.lit(GRAM))))).alias("gram"))
+    common = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rare = pieces.join(common, "gram").groupBy(*_RULE).agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
+    parts = F.transform_values("repl", lambda _, t: _parts(t, group_count(F.col("regex"))))
+    return one.join(rare, list(_RULE), "left").select(*_RULE, "text", F.coalesce("gram", F.lit("")).alias("gram"), parts.alias("parts"))
 
 
 def parse(agents: DataFrame, table: DataFrame, ua: str) -> DataFrame:
     """The agents (distinct column ``ua``) with their device, os and browser columns."""
-    c = F.col(ua)
+    c, table = F.col(ua), checked_broadcast(table)
     places = F.sequence(F.lit(1), F.greatest(F.length(c) - (GRAM - 1), F.lit(1)))
     pieces = F.array_distinct(F.array_append(F.transform(places, lambda i: c.substr(i, F.lit(GRAM))), F.lit("")))
-    met = agents.select(ua, F.explode(pieces).alias("gram")).join(table.select("kind", "rank", "regex", "text", "gram"), "gram")
-    won = met.where(F.contains(c, F.col("text")) & F.rlike(c, F.col("regex"))).groupBy(ua, "kind").agg(F.min("rank").alias("rank"))
+    met = agents.select(ua, F.explode(pieces).alias("gram")).join(table.select(*_RULE, "text", "gram"), "gram")
+    won = met.where(F.contains(c, F.col("text")) & F.rlike(c, F.col("regex"))).groupBy(ua, "kind").agg(
+        F.min(F.struct("priority", "regex")).alias("w")).select(ua, "kind", "w.*")
     filled = F.transform_values("parts", lambda _, parts: F.array_join(F.transform(
         parts, lambda p: F.coalesce(p["t"], F.call_function("regexp_extract", c, F.col("regex"), p["g"]))), ""))
-    kinds = won.join(table.select("kind", "rank", "regex", "parts"), ["kind", "rank"]).select(ua, "kind", filled.alias("a"))
+    kinds = won.join(table.select(*_RULE, "parts"), list(_RULE)).select(ua, "kind", filled.alias("a"))
     wide = kinds.groupBy(ua).agg(*[F.first(F.when(F.col("kind") == k, F.col("a")), ignorenulls=True).alias(f"_{k}") for k in _KINDS])
 
     def v(kind, attr):
