@@ -140,9 +140,9 @@ def test_rule_table_equals_expression(spark, rules, monkeypatch):
 
 
 def test_rules_stay_off_the_driver(spark, monkeypatch):
-    from pyspark.sql import DataFrame
-    collect, most = DataFrame.collect, []
-    monkeypatch.setattr(DataFrame, "collect", lambda self: most.append(len(r := collect(self))) or r)
+    kind, most = type(spark.range(1)), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: most.append(len(r := collect(self))) or r)
     rules = spark.range(20_000).selectExpr("'device' AS kind", "cast(id % 50 AS int) AS priority", r"concat('Unit', id, r'y/(\d+)') AS regex",
                                            "map('device', concat('U', id, ' v$1$2')) AS repl")
     df = spark.range(20_000).selectExpr("concat('Agent (Unit', id * 3 % 30000, 'y/', id % 9, ')') AS user_agent")
