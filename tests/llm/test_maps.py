@@ -341,6 +341,35 @@ def test_wrapper_finds_template_text(spark):
     assert html_text.extracted(df.limit(0)).count() == 0
 
 
+def test_what_belongs_to_an_article_stays():
+    inner = ("<h1>T</h1><p class='byline'>By A. B.</p><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding=t>x=2</annotation></math> holds.</p>"
+             "<div class='tags'>red</div><p id='feedback'>Loops feed back.</p><section class='related work'><p>Others</p></section>")
+    out = "<nav>n</nav><div class='ad'>Buy</div><div class='sidebar-left'>s</div><ul class='menu'><li>m</ul><div id=comments>c</div><p class=cookie-notice>k</p>"
+    want = "T\nBy A. B.\nSo x=2 holds.\nred\nLoops feed back.\nOthers"
+    assert html_text.main_text(PAGE.format(main=f"<article>{inner}{out}</article>"), None) == want
+    assert html_text.main_text(PAGE.format(main=f"<main>{out}{inner}</main>"), None) == want
+
+
+def test_long_lists_are_aligned_in_little_time():
+    import time
+    r = random.Random(2)
+    x = [f"l{i}" for i in range(20_000)]
+    y = [k for k in x if r.random() < 0.9] + ["end"]
+    for k in range(0, len(y), 50):
+        y.insert(k, f"new{k}")
+    start = time.time()
+    got = html_text.common(x, y)
+    assert len(got) == len(set(x) & set(y)) and time.time() - start < 10
+    assert all(x[i] == y[j] for i, j in got) and all(a < c and b < d for (a, b), (c, d) in zip(got, got[1:]))
+    many = [r.choice("abc") for _ in range(4000)], [r.choice("abc") for _ in range(4000)]
+    got = html_text.common(*many)
+    assert time.time() - start < 20 and len(got) > 1000 and all(a < c and b < d for (a, b), (c, d) in zip(got, got[1:]))
+    assert html_text.rising([(0, 5), (1, 1), (2, 2), (3, 0), (4, 9)]) == [(1, 1), (2, 2), (4, 9)]
+    a, b = html_text.wrapper(html_text.tree("".join(f"<p class=c{i}>x</p>" for i in range(9000)))), html_text.wrapper(
+        html_text.tree("".join(f"<p class=c{i}>x</p>" for i in range(0, 9000, 2))))
+    assert sum(k[1] for k in html_text.merged(a, b)[3]) == 4500 and time.time() - start < 40
+
+
 def test_alignment_is_a_union_free_expression():
     a = html_text.wrapper(html_text.tree("<ul><li>1<li>2</ul><p>x</p>"))
     b = html_text.wrapper(html_text.tree("<ul><li>1</ul><h2>t</h2><p>x</p>"))

@@ -3,7 +3,8 @@
 Pages of a host share templates. A page's tokens form a tree of elements and text; a
 *wrapper* is such a tree in which an element may be optional (``?``), repeated (``+``),
 and a text is either fixed or a slot. Wrappers are inferred by alignment: the children of
-two matching elements are aligned by their labels (longest common subsequence); what has
+two matching elements are aligned by their labels (longest common subsequence; between labels
+that occur once, where there are hundreds of children); what has
 no partner becomes optional, equal neighbours fold into one repeated group, texts that
 differ become slots. A page alone is its own wrapper with everything fixed, so a wrapper
 of a host comes from merging the wrappers of its pages, in any grouping: tasks merge the
@@ -11,11 +12,13 @@ pages they read, groups of at most ``FAN`` wrappers are merged in further rounds
 one is left per host. Only wrappers (whose size follows the templates, not the pages)
 are shuffled by host; a host with a third of all pages is merged by many tasks.
 
-Extraction walks a page together with its host's wrapper. Text under an element that is
+Extraction walks a page together with its host's wrapper. The region is the page's article
+or main element where there is one, else the whole body. Text under an element that is
 never content (menus, headers, footers, asides, forms, scripts, ...), or whose class, id
-or role says so, goes; so does text that the wrapper shows to be fixed on every one of
-``MIN_PAGES`` or more different pages. The region is the page's article or main element
-where there is one, else the whole body. Blocks are cut at block elements, white space
+or role says so, goes: inside of an article by the kinds of element that are no part of one
+only, so bylines, formulas, tags or related work stay. On a page without an article,
+text goes as well that the wrapper shows to be fixed on every one of ``MIN_PAGES`` or more
+different pages. Blocks are cut at block elements, white space
 inside a block becomes one space.
 
 Defined results: null, empty or textless html: empty text; broken markup (unclosed,
@@ -27,6 +30,7 @@ other columns are not read.
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import json
 import re
@@ -42,12 +46,13 @@ from webmetrics.llm.url_filter import host_of
 from webmetrics.llm.words import slices
 
 FAN = 64
+TABLE = 1 << 16   # cells of an alignment table
 HELD = 20_000     # hosts a task merges at a time
 MIN_PAGES = 4
 DEPTH = 60
 #: Fixed values of HTML: elements without content, with raw content, and those that end a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math xmp noembed noframes".split())
+RAW = frozenset("script style textarea title noscript iframe template svg xmp noembed noframes".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table
 tbody td tfoot th thead tr ul""".split())
@@ -57,12 +62,16 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 KEEPS = frozenset("ul ol dl table body html article main section div".split())
 #: Never part of an article.
 NEVER = frozenset("""head nav footer aside form button select option menu dialog object applet canvas audio video
-datalist input label search""".split()) | RAW
+datalist input label search annotation annotation-xml""".split()) | RAW
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-NEVER_NAMES = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|consent|cookies?|copyright|disclaimer|
-disqus|feedback|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pager|pagination|popup|promo\w*|
-recommend\w*|related|replies|respond|share|sharing|sidebar|skip|social|sponsor\w*|subscribe|tags|teaser|toolbar|widgets?)(?:$|[\s_-])""",
-                         re.I | re.X)
+#: Words of a class or id that name a menu, header, footer, sidebar, notice, advert, form or reader
+#: comments; inside of an article only these count.
+_IN_ARTICLE = r"""ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|gdpr|header|masthead|menu|nav|navbar|
+navigation|newsletter|notices?|pager|pagination|promo\w*|replies|respond|sidebar|sponsor\w*|subscribe|toolbar"""
+#: On a page without an article or main element these go as well.
+_ELSEWHERE = r"""byline|copyright|disclaimer|feedback|modal|popup|recommend\w*|related|share|sharing|skip|social|tags|teaser|widgets?"""
+ARTICLE_NAMES = re.compile(rf"(?:^|[\s_-])(?:{_IN_ARTICLE})(?:$|[\s_-])", re.I | re.X)
+NEVER_NAMES = re.compile(rf"(?:^|[\s_-])(?:{_IN_ARTICLE}|{_ELSEWHERE})(?:$|[\s_-])", re.I | re.X)
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 
@@ -203,6 +212,69 @@ def merged(a: list, b: list) -> list:
     return [a[0], optional, repeated, folded(aligned(a[3], b[3]))]
 
 
+def common(x: list, y: list) -> list[tuple[int, int]]:
+    """Places of a common subsequence of labels: a longest one, or for lists whose table would be
+    large one that runs through the longest row of labels that occur once in each."""
+    if len(x) * len(y) <= TABLE:
+        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i in range(len(x) - 1, -1, -1):
+            for j in range(len(y) - 1, -1, -1):
+                best[i][j] = best[i + 1][j + 1] + 1 if x[i] == y[j] else max(best[i + 1][j], best[i][j + 1])
+        out, i, j = [], 0, 0
+        while i < len(x) and j < len(y):
+            if x[i] == y[j]:
+                out.append((i, j))
+                i, j = i + 1, j + 1
+            elif best[i + 1][j] >= best[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+        return out
+    once, there = Counter(x), Counter(y)
+    at = {k: j for j, k in enumerate(y) if there[k] == 1}
+    anchors = rising([(i, at[k]) for i, k in enumerate(x) if once[k] == 1 and k in at])
+    if not anchors:
+        return in_turn(x, y)
+    out, i, j = [], 0, 0
+    for p, q in [*anchors, (len(x), len(y))]:
+        out += [(i + u, j + v) for u, v in common(x[i:p], y[j:q])]
+        if p < len(x):
+            out.append((p, q))
+        i, j = p + 1, q + 1
+    return out
+
+
+def rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest run of pairs (first places ascend) whose second places ascend too."""
+    ends: list[int] = []        # last second place of the best run of each length
+    best: list[int] = []        # its pair
+    back = [-1] * len(pairs)
+    for n, (_, j) in enumerate(pairs):
+        at = bisect.bisect_left(ends, j)
+        back[n] = best[at - 1] if at else -1
+        ends[at:at + 1], best[at:at + 1] = [j], [n]
+    out, n = [], best[-1] if best else -1
+    while n >= 0:
+        out.append(pairs[n])
+        n = back[n]
+    return out[::-1]
+
+
+def in_turn(x: list, y: list) -> list[tuple[int, int]]:
+    """Each label of x with its next place in y, unless that skips more of y than is left of x."""
+    places: dict = {}
+    for j, k in enumerate(y):
+        places.setdefault(k, []).append(j)
+    out, j = [], 0
+    for i, k in enumerate(x):
+        here = places.get(k, ())
+        n = bisect.bisect_left(here, j)
+        if n < len(here) and here[n] - j <= len(x) - i:
+            out.append((i, here[n]))
+            j = here[n] + 1
+    return out
+
+
 def aligned(a: list, b: list) -> list:
     """Children in common merged, the others optional, in the order of both."""
     head = 0
@@ -212,21 +284,12 @@ def aligned(a: list, b: list) -> list:
     while tail < min(len(a), len(b)) - head and a[-1 - tail][0] == b[-1 - tail][0]:
         tail += 1
     x, y = a[head:len(a) - tail], b[head:len(b) - tail]
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x) - 1, -1, -1):
-        for j in range(len(y) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if x[i][0] == y[j][0] else max(best[i + 1][j], best[i][j + 1])
     out, i, j = [merged(p, q) for p, q in zip(a[:head], b[:head], strict=True)], 0, 0
-    while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and x[i][0] == y[j][0]:
-            out.append(merged(x[i], y[j]))
-            i, j = i + 1, j + 1
-        elif j == len(y) or (i < len(x) and best[i + 1][j] >= best[i][j + 1]):
-            out.append([x[i][0], True, *x[i][2:]])
-            i += 1
-        else:
-            out.append([y[j][0], True, *y[j][2:]])
-            j += 1
+    for p, q in [*common([k[0] for k in x], [k[0] for k in y]), (len(x), len(y))]:
+        out += [[k[0], True, *k[2:]] for k in (*x[i:p], *y[j:q])]
+        if p < len(x):
+            out.append(merged(x[p], y[q]))
+        i, j = p + 1, q + 1
     n = len(a) - tail
     return out + [merged(p, q) for p, q in zip(a[n:], b[len(b) - tail:], strict=True)]
 
@@ -238,13 +301,13 @@ def differs(wrap: list) -> bool:
 
 # --- extraction
 
-def never(node: Node) -> bool:
+def never(node: Node, names: re.Pattern = NEVER_NAMES) -> bool:
     """Elements that are no part of an article by their kind, role or name."""
     if node.tag in NEVER or node.role in NEVER_ROLES or node.hidden:
         return True
     if node.tag in ("html", "body", "article", "main"):
         return False
-    return bool(node.names and NEVER_NAMES.search(node.names))
+    return bool(node.names and names.search(node.names))
 
 
 def region(node: Node) -> list[Node]:
@@ -274,6 +337,7 @@ def main_text(source: str | None, host_wrapper: list | None) -> str:
     # text of an article is never taken for its template's, nor is that of pages that don't differ
     if id(root) not in inside or host_wrapper is None or not differs(host_wrapper):
         host_wrapper = None
+    names = NEVER_NAMES if id(root) in inside else ARTICLE_NAMES
     blocks: list[str] = []
     words: list[str] = []
 
@@ -297,7 +361,7 @@ def main_text(source: str | None, host_wrapper: list | None) -> str:
                     words.append(k.text)
             elif k.tag == "br":
                 words.append(" ")
-            elif not never(k) and not (on and k.tag == "header" and "article" not in within):
+            elif not never(k, names if on else NEVER_NAMES) and not (on and k.tag == "header" and "article" not in within):
                 here = on or id(k) in inside
                 if k.tag in BLOCK:
                     end()
