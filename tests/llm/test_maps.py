@@ -79,6 +79,24 @@ def test_leaks_whole_table_and_clean_text(spark):
     assert decontaminate.decontaminate(d, b.limit(0)).first()["n_hit"] == 0
 
 
+def test_automata_are_built_in_tasks(spark, monkeypatch):
+    """The driver builds none, and many shards give what one gives."""
+    docs, r = texts(8), random.Random(9)
+    items = [(f"i{k}", " ".join((docs[k % 40][1] or "").split()[3:3 + r.randint(1, 40)])) for k in range(60)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    seen = lambda n: sorted((repr(x["doc_id"]), x["n_words"], x["n_hit"], x["items"], x["clean_text"]) for x in decontaminate.decontaminate(
+        frame(spark, docs), bench, shard_bytes=n).collect())
+    one = seen(1 << 20)
+
+    def never(*_):
+        raise AssertionError("built on the driver")
+
+    monkeypatch.setattr(decontaminate.Automaton, "__init__", never)
+    assert len(decontaminate.automata(bench, "item_id", "text", 10, 500)) > 3
+    assert seen(500) == one and any(x[2] for x in one)
+    assert seen(1 << 20) == one
+
+
 # --- quality
 
 def brute_counts(t, window=8):

@@ -8,8 +8,11 @@ window are not walked: a stretch is walked only where every ``gram`` consecutive
 occur in some item, ``gram`` being the shortest window (items under four words: looked
 up by their own fingerprint). This skips no match.
 
-The items are read in shards of bounded size, an automaton each, broadcast; tasks go
-through the shards one after the other. Documents are not shuffled.
+The items are dealt into shards of bounded size. Tasks build an automaton of each shard and write
+it, pickled and compressed, as a row of a table in the shared folder; the driver passes these
+rows on as one broadcast each, a row at a time, and holds no automaton. Tasks on documents
+go through the shards one after the other and let go of one before they load the next
+(a single shard stays loaded). Documents are not shuffled.
 
 Defined results: null or wordless text: no words, no hits; null or wordless items match
 nothing; rows that share an item id count as one item, and an item with a null id marks
@@ -19,16 +22,19 @@ judged each by itself. Other columns are not read unless carried.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webmetrics.llm.frames import mapped, narrowed
+from webmetrics.llm.blocks import discard, expand, squeeze, written
+from webmetrics.llm.frames import mapped, narrowed, ship
 from webmetrics.llm.window_dedup import without
 from webmetrics.llm.words import NOT_ALNUM, Texts, Words, covered
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 1 << 20       # of item text; its automaton takes some 200 MB
 SHORT = 4
 
 
@@ -164,18 +170,32 @@ def _among(h: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def automata(benchmark: DataFrame, item: str, text: str, window: int, shard_bytes: int = SHARD_BYTES) -> list:
-    """Broadcast automata, each of a shard of about ``shard_bytes`` of item text."""
+    """Broadcast bodies of automata, each of a shard of about ``shard_bytes`` of item text."""
     spark = benchmark.sparkSession
+    ship(spark)
     b = benchmark.select(F.col(f"`{item}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t")).where(F.col("t").isNotNull())
     size = b.select(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-size // shard_bytes))
-    out = []
-    for k in range(n):
-        rows = b.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()
-        out.append(spark.sparkContext.broadcast(Automaton([(r["i"], r["t"]) for r in rows], window)))
+
+    def build(shard, rows):
+        made = Automaton(list(zip(rows["i"].to_pylist(), rows["t"].to_pylist(), strict=True)), window)
+        body = squeeze(np.frombuffer(pickle.dumps(made, protocol=5), np.uint8))
+        return pa.table({"shard": pa.array([shard[0].as_py()], pa.int64()), "body": pa.array([body], pa.binary())})
+
+    sharded = b.withColumn("shard", F.pmod(F.xxhash64("i", "t"), F.lit(n))).groupBy("shard")
+    made = written(sharded.applyInArrow(build, "shard long, body binary").repartition(n, "shard"), "automata")
+    out = [spark.sparkContext.broadcast(bytes(r["body"])) for r in made.select("body").toLocalIterator()]
+    discard(made)
     return out
 
 
+def loaded(body) -> Automaton:
+    """A broadcast shard's automaton; the worker lets go of the body itself."""
+    made = pickle.loads(expand(body.value, np.uint8).tobytes())
+    vars(body).pop("_value", None)      # read again from its file when asked again
+    return made
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", text: str = "text",
                   item: str = "item_id", item_text: str = "text", window: int = 10,
                   max_coverage: float = 0.5, carry=(), shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -183,12 +203,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id",
     clean_text (the text without hit words) and kept (false where more than
     ``max_coverage`` of the words are hit)."""
     shards = automata(benchmark, item, item_text, window, shard_bytes)
+    kept: list[Automaton] = []      # in a worker: the automaton, if there is one only
 
     def judge(batch):
         w = Words(Texts(batch.column("text")), NOT_ALNUM, lower=True)
         gone, found = np.zeros(len(w), bool), {}
         for s in shards:
-            s.value.hits(w, gone, found)
+            made = kept[0] if kept else loaded(s)
+            if len(shards) == 1 and not kept:
+                kept.append(made)
+            made.hits(w, gone, found)
+            del made
         n = np.diff(w.offsets)
         total = np.concatenate([[0], np.cumsum(gone)])
         hit = total[w.offsets[1:]] - total[w.offsets[:-1]]
