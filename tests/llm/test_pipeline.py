@@ -36,7 +36,7 @@ def test_stages_on_the_small_table(spark):
     assert set(clean) == {i for i, x in hit.items() if 2 * x[2] <= x[1]}
     assert all(clean[i] == t for i, t in rows if i in clean and not hit[i][2])
     taken = {r["doc_id"]: r for r in held["mix"]}
-    assert set(taken) <= set(clean) and all(r["text"] == clean[i] for i, r in taken.items())
+    assert set(taken) == set(clean) and all(r["text"] == clean[i] for i, r in taken.items())
 
 
 def test_run_with_odd_rows(spark, tmp_path):
@@ -46,7 +46,7 @@ def test_run_with_odd_rows(spark, tmp_path):
     frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, "unrelated words")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     out = P.run(spark, str(tmp_path)).collect()
-    assert {r["doc_id"] for r in out} == {None, 7} or {r["doc_id"] for r in out} == {None}
+    assert {r["doc_id"] for r in out} == {None, 7}
     frame(spark, []).limit(0).write.parquet(str(tmp_path / "none/documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "none/benchmark.parquet"))
     assert P.run(spark, str(tmp_path / "none")).count() == 0
