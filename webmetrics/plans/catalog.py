@@ -647,6 +647,30 @@ def sink_append_visitor_timeseries(spark, sf_dir):
     return rollup.merge_timeseries(_appended(spark, sf_dir, "visitor_timeseries"))
 
 
+@register("section_combined_merge", SQL["section_combined"])
+def section_combined_merge(spark, sf_dir):
+    """The fact by a sort-merge join that the caller asks for."""
+    m = _m(spark, sf_dir)
+    return rollup.section_combined(m.section, m.session, "merge")
+
+
+@register("sorted_insert_order", O.with_model(
+    "SELECT site, count(*) AS page_views, 0 AS out_of_order FROM section GROUP BY site"))
+def sorted_insert_order(spark, sf_dir):
+    """Page views as stored, by site, and how many lie behind a larger key in their file (none:
+    so row groups hold narrow ranges of the key, which scans skip by their statistics)."""
+    from pyspark.sql import Window
+
+    from webmetrics.sources import sinks
+    path = f"{_run_folder(spark, 'sorted')}/section_event"
+    sinks.write_table(_m(spark, sf_dir).section, path, "section_event", "overwrite")
+    t = sinks.read_table(spark, path, "section_event").select(
+        "site", F.struct(*sinks.LAYOUTS["section_event"].sort).alias("k"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("i"))
+    behind = F.lag("k").over(Window.partitionBy("file").orderBy("i")) > F.col("k")
+    return t.withColumn("behind", behind).groupBy("site").agg(
+        F.count(F.lit(1)).alias("page_views"), F.sum(F.when(F.col("behind"), 1).otherwise(0)).cast("int").alias("out_of_order"))
+
+
 @register("sink_compacted_section_combined", SQL["section_combined"])
 def sink_compacted_section_combined(spark, sf_dir):
     """Two batches, compacted; a third one finds its parents and children in the
