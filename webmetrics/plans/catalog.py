@@ -655,7 +655,7 @@ def section_combined_merge(spark, sf_dir):
 
 
 def _colocated(spark, sf_dir):
-    """The hub in two batches that split every visit, by joining id, the first one written again."""
+    """The hub in two batches that split every visit (children before their parents too), by joining id."""
     from webmetrics.plans import facts
     from webmetrics.sources import colocated, sinks
     m = _m(spark, sf_dir)
@@ -664,8 +664,8 @@ def _colocated(spark, sf_dir):
     m = m.rebuild(sinks.read_table(spark, f"{root}/hub").drop("event_date"))
     store = colocated.open_store(spark, f"{root}/store", int(spark.conf.get("spark.sql.shuffle.partitions")))
     first = F.pmod(F.crc32("id"), F.lit(2)) == 0
-    for batch, rows in [(0, first), (1, ~first), (0, first)]:
-        colocated.write_model(facts.build(m.event.where(rows), m.api_key_df, m.rules_df, m.blocks, m.geo_mode), store, batch)
+    for batch, rows in enumerate((first, ~first)):
+        colocated.write_typed(facts.build(m.event.where(rows), m.api_key_df, m.rules_df, m.blocks, m.geo_mode), store, batch)
     return store
 
 
@@ -683,14 +683,6 @@ def colocated_hierarchy(spark, sf_dir):
     return colocated.hierarchy(_colocated(spark, sf_dir))
 
 
-@register("sink_colocated_hierarchy", SQL["hierarchy"])
-def sink_colocated_hierarchy(spark, sf_dir):
-    """The hierarchy that the batches of the co-located store have added."""
-    from webmetrics.sources import sinks
-    path = f"{_colocated(spark, sf_dir).root}/hierarchy_event"
-    return sinks.read_table(spark, path, "hierarchy_event", ("batch",)).select("api_key", "site", "visitor", "session", "section", "ts")
-
-
 @register("sorted_insert_order", O.with_model(
     "SELECT site, count(*) AS page_views, 0 AS out_of_order FROM section GROUP BY site"))
 def sorted_insert_order(spark, sf_dir):

@@ -119,12 +119,22 @@ def write_model(model, store: Store, batch: int, hot_rows: int = HOT_ROWS) -> No
     below ``<root>/<fact>/batch=<id>`` as :func:`webmetrics.sources.sinks.write_model` has them
     (``sinks.read_table`` and ``sinks.compact`` work on them). ``hot_rows`` changes where rows lie,
     never which there are."""
+    write_typed(model, store, batch, hot_rows)
+    write_facts(store, batch)
+
+
+def write_typed(model, store: Store, batch: int, hot_rows: int = HOT_ROWS) -> None:
+    """A batch's typed tables, and the sessions whose visitor it makes known."""
     store.write("visitor_event", model.visitor, batch)
     store.write("session_event", model.session, batch)
     # its rows, enriched, once more by visitor
     _write_children(store, "session_by_visitor", store.read("session_event", batch=batch), batch, hot_rows)
     _write_children(store, "section_event", model.section, batch, hot_rows)
     store.write("session_known", known(store, batch), batch)
+
+
+def write_facts(store: Store, batch: int) -> None:
+    """What a batch adds to the facts."""
     sinks.write_table(section_combined(store, batch), f"{store.root}/section_combined/batch={batch}", "section_combined", "overwrite")
     sinks.write_table(hierarchy(store, batch), f"{store.root}/hierarchy_event/batch={batch}", "hierarchy_event", "overwrite")
     visitors = store.read("visitor_event", batch=batch).drop("folder", "batch")
