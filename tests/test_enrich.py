@@ -161,6 +161,23 @@ def test_large_rule_table(spark):
     assert (got, hit) == (10000, 8000)
 
 
+def test_rules_that_differ_in_a_group_meet_their_own_agents_only(spark):
+    rules = spark.range(500).selectExpr("'device' AS kind", "10 AS priority", "concat('Unit-(', id, ')[);]') AS regex",
+                                        "map('device', concat('U$1 ', id)) AS repl")
+    table = ua_table.rule_table(rules)
+    assert table.select("text").distinct().count() == 500
+    df = spark.range(600).selectExpr("concat('Mozilla (Unit-', id, ') x') AS user_agent").union(spark.createDataFrame([("",), (None,), ("Uni",), ("Unit-3",)], "user_agent string"))
+    got = {r.user_agent: r.device_model for r in enrich.user_agents(df, rules).collect()}
+    assert got == {f"Mozilla (Unit-{i}) x": f"U{i} {i}" if i < 500 else "Other" for i in range(600)} | dict.fromkeys(["", None, "Uni", "Unit-3"], "Other")
+
+
+def test_text_through_plain_groups(spark):
+    want = {"Unit-(12)[);]": "Unit-12", "a(?:bc)(?<n>d)e": "abcde", "a((bc)d)e?f": "abcd", "ab(cd)?efg(gh)*": "efg", "ab(c|d)efg": "efg",
+            "ab(cd)+e": "ab", r"x\(a(b)\)y": "x(ab)y", "(?i)ab(c)": "", r"[(]ab(c)[)]": "abc", r"a(b\d)cde": "cde"}
+    df = spark.createDataFrame([(r,) for r in want], "r string")
+    assert {x.r: x.t for x in df.select("r", ua_table.required_text(df.r, groups=True).alias("t")).collect()} == want
+
+
 def test_range_pieces(spark):
     ranges = [(0, 0), (5, 5), (1, 14), (0, 15), (7, 9), (2 ** 32 - 3, 2 ** 32 - 1), (0, 2 ** 32 - 1), (10, 3000), (9, 8)]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(ranges)], "i int, s long, e long")

@@ -16,6 +16,7 @@ from webmetrics import schema as S
 from webmetrics.functions.net import host_mask, ipv4_to_long, range_to_cidr, shl
 from webmetrics.operators import ua_table
 from webmetrics.plans.strategy import CHECK_TTL_SECONDS, checked_broadcast
+from webmetrics.session import checkpoint_dir
 
 CASE_RULES = 100
 _RULES: dict = {}
@@ -145,7 +146,9 @@ def user_agents(df: DataFrame, rules_df: DataFrame, ua_col: str = "user_agent",
     if rules is not None:
         parsed = parse_user_agent(agents, rules, "_ua")
     else:
-        parsed = ua_table.parse(agents, ua_table.rule_table(rules_df), "_ua")
+        checkpoint_dir(df.sparkSession)
+        # read several times below: made once
+        parsed = ua_table.parse(agents, ua_table.rule_table(rules_df).checkpoint(), "_ua")
     # AQE broadcasts the parsed table when it measures it small (32 MB), which spares
     # the sessions' shuffle by agent text; else it splits popular agents. No count
     # of derived data is run while the plan is built.

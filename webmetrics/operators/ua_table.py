@@ -1,13 +1,14 @@
 """User-agent rules as a table (D2-D5), for rule sets too large for one generated expression.
 
-Every match of most regexes contains some fixed text. A rule is listed under one
-``GRAM``-character piece of that text, the one that fewest rules have; distinct agents are
-exploded into their pieces and joined on them, so a rule meets only the agents that can
-match it. Rules without such text are listed under the empty piece, which all agents have.
-The join is checked by the text, then by the regex; the first rule of each kind wins.
+Every match of most regexes contains some fixed text. A rule is listed under that text; the
+first ``GRAM`` characters of all texts, with the lengths of the texts that begin so, are a
+short table. An agent looks up its pieces of ``GRAM`` characters there, cuts the texts of these
+lengths out of itself and is joined with the rules on them, so it meets only rules whose
+whole text it contains, however many there are. Rules without a text of ``GRAM`` characters are
+tried on all agents. What is met is checked by the regex; the first rule of each kind wins.
 
 The index is made by built-in functions over the rule table, wherever its rows are: neither rules
-nor pieces pass through the driver. It is broadcast where it is proven small.
+nor texts pass through the driver. It is broadcast where it is proven small.
 """
 
 from __future__ import annotations
@@ -25,16 +26,20 @@ _END = "\ue0ff"                         # stands for whatever ends a run of fixe
 _SPECIAL = ".()[]{}+*?^$|"
 _PLAIN = "".join(chr(0xE000 + i) for i in range(len(_SPECIAL)))      # the same, escaped
 _NESTED = 8                             # depth of groups that is looked through
+_PLAIN_GROUP = r"\((?:\?:|\?<[A-Za-z][A-Za-z0-9]*>)?([^()\[\]{}+*?^$|.]+)\)(?![?*+{])"
 
 
-def required_text(regex: Column) -> Column:
-    """The longest run of characters that every match contains; '' where none is certain."""
+def required_text(regex: Column, groups: bool = False) -> Column:
+    """The longest run of characters that every match contains; '' where none is certain. With
+    ``groups`` a run goes on through groups of plain text, which occur once."""
     t = F.regexp_replace(regex, r"\\\\", _END)                       # an escaped backslash
     t = F.regexp_replace(t, r"\\[A-Za-z]", _END)                     # classes and anchors
     for c, p in zip(_SPECIAL, _PLAIN, strict=True):
         t = F.replace(t, F.lit("\\" + c), F.lit(p))
     t = F.regexp_replace(t, r"\\(.)", "$1")
     t = F.regexp_replace(t, r"\[\^?\]?[^\[\]]*\]", _END)
+    for _ in range(_NESTED if groups else 0):
+        t = F.regexp_replace(t, _PLAIN_GROUP, "$1")
     for _ in range(_NESTED):
         t = F.regexp_replace(t, r"\([^()]*\)", _END)
     t = F.regexp_replace(t, r"(?s).\{[^}]*\}", _END)                  # what may come no time at all
@@ -61,36 +66,38 @@ def _parts(template: Column, groups: Column) -> Column:
 
 
 def rule_table(rules: DataFrame) -> DataFrame:
-    """(kind, priority, regex, text, gram, parts) of rules (kind, priority, regex, repl); of rules
-    that are alike but for their replacement the least one (as JSON) stays."""
+    """(kind, priority, regex, text, parts) of rules (kind, priority, regex, repl), text '' if it is
+    shorter than GRAM; of rules that are alike but for their replacement the least one (as JSON) stays."""
     repl = F.coalesce("repl", F.create_map().cast("map<string,string>"))
     one = rules.where("regex is not null").groupBy(*_RULE).agg(F.min_by(repl, F.to_json(repl)).alias("repl"))
-    one = one.withColumn("text", required_text(F.col("regex")))
-    at = F.when(F.length("text") >= GRAM, F.sequence(F.lit(1), F.length("text") - (GRAM - 1))).otherwise(F.array().cast("array<int>"))
-    pieces = one.select(*_RULE, F.explode(F.array_distinct(F.transform(at, lambda i: F.col("text").substr(i, F.lit(GRAM))))).alias("gram"))
-    common = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    rare = pieces.join(common, "gram").groupBy(*_RULE).agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
+    text = required_text(F.col("regex"), groups=True)
     parts = F.transform_values("repl", lambda _, t: _parts(t, group_count(F.col("regex"))))
-    return one.join(rare, list(_RULE), "left").select(*_RULE, "text", F.coalesce("gram", F.lit("")).alias("gram"), parts.alias("parts"))
+    return one.select(*_RULE, text.alias("text"), parts.alias("parts")).withColumn("text", F.when(F.length("text") >= GRAM, F.col("text")).otherwise(F.lit("")))
 
 
 def parse(agents: DataFrame, table: DataFrame, ua: str) -> DataFrame:
     """The agents (distinct column ``ua``) with their device, os and browser columns."""
-    c, table = F.col(ua), checked_broadcast(table)
-    places = F.sequence(F.lit(1), F.greatest(F.length(c) - (GRAM - 1), F.lit(1)))
-    pieces = F.array_distinct(F.array_append(F.transform(places, lambda i: c.substr(i, F.lit(GRAM))), F.lit("")))
-    met = agents.select(ua, F.explode(pieces).alias("gram")).join(table.select(*_RULE, "text", "gram"), "gram")
-    won = met.where(F.contains(c, F.col("text")) & F.rlike(c, F.col("regex"))).groupBy(ua, "kind").agg(
-        F.min(F.struct("priority", "regex")).alias("w")).select(ua, "kind", "w.*")
+    c = F.col(ua)
+    texts = table.where("text <> ''")
+    begins = texts.groupBy(F.substring("text", 1, GRAM).alias("gram")).agg(F.collect_set(F.length("text")).alias("lengths"))
+    at = F.explode(F.sequence(F.lit(1), F.greatest(F.length(c) - (GRAM - 1), F.lit(1)))).alias("at")
+    places = agents.select(ua, at).withColumn("gram", c.substr(F.col("at"), F.lit(GRAM)))
+    cut = places.join(checked_broadcast(begins), "gram").select(ua, "at", F.explode("lengths").alias("n"))
+    cut = cut.where(F.col("at") + F.col("n") - 1 <= F.length(c)).select(ua, c.substr(F.col("at"), F.col("n")).alias("text"))
+    met = cut.join(checked_broadcast(texts), "text").unionByName(
+        agents.select(ua, F.lit("").alias("text")).join(checked_broadcast(table.where("text = ''")), "text"))
+    won = met.where(F.rlike(c, F.col("regex")))
     filled = F.transform_values("parts", lambda _, parts: F.array_join(F.transform(
         parts, lambda p: F.coalesce(p["t"], F.call_function("regexp_extract", c, F.col("regex"), p["g"]))), ""))
-    kinds = won.join(table.select(*_RULE, "parts"), list(_RULE)).select(ua, "kind", filled.alias("a"))
-    wide = kinds.groupBy(ua).agg(*[F.first(F.when(F.col("kind") == k, F.col("a")), ignorenulls=True).alias(f"_{k}") for k in _KINDS])
+    tried = won.select(ua, "kind", F.struct("priority", "regex").alias("rank"), filled.alias("a"))
+    none = agents.select(ua, *[F.lit(None).cast(tried.schema[x].dataType).alias(x) for x in ("kind", "rank", "a")])      # an agent that no rule fits
+    of = lambda k, x: F.when(F.col("kind") == k, F.col(x))
+    wide = tried.unionByName(none).groupBy(ua).agg(*[F.min_by(of(k, "a"), of(k, "rank")).alias(f"_{k}") for k in _KINDS])
 
     def v(kind, attr):
         return F.coalesce(F.col(f"_{kind}")[attr], F.lit(_KINDS[kind].get(attr, "")))
 
-    return agents.join(wide, ua, "left").select(
+    return wide.select(
         ua, v("device", "brand").alias("device_brand"), v("device", "device").alias("device_model"),
         v("os", "os").alias("os"), F.concat_ws(".", *[v("os", x) for x in ("v1", "v2", "v3")]).alias("os_version"),
         v("browser", "family").alias("browser"),
