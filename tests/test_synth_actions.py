@@ -37,6 +37,29 @@ def test_sizes_parents_and_determinism(spark):
     assert orphan == 0
 
 
+def test_page_views_are_compiled_and_tasks_do_not_grow(spark, monkeypatch):
+    import re
+    x = synth.Synth(500, AS_OF, "k", "s").sections(spark)
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    sizes = re.findall(r"maxMethodCodeSize:\s*(\d+)", debug.codegenString(x._jdf.queryExecution().executedPlan()))
+    assert sizes and max(map(int, sizes)) < 8000     # the JVM leaves longer methods to its interpreter
+    monkeypatch.setattr(synth, "ROWS_PER_TASK", 1000)
+    s = synth.Synth(5, AS_OF, "k", "s")
+    assert s.sections(spark).rdd.getNumPartitions() == 10 and s.sections(spark).count() == 10000
+
+
+def test_staged_hub_is_small_and_whole(spark):
+    s, rules = synth.Synth(20, AS_OF, "k", "s"), dims.ua_rules_df(spark)
+    hub = synth.staged_hub(s, spark, rules)
+    want = s.event_hub(spark, synth.browsers(spark, rules))
+    assert hub.columns == want.columns and hub.inputFiles()
+    text = lambda df: df.withColumn("attrs", F.to_json("attrs"))
+    assert text(hub).exceptAll(text(want)).isEmpty() and text(want).exceptAll(text(hub)).isEmpty()
+    fs = spark._jvm.org.apache.hadoop.fs.Path(hub.inputFiles()[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+    size = sum(fs.getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(f)).getLen() for f in hub.inputFiles())
+    assert size < 110 * hub.count()
+
+
 def test_actions_epochs(spark):
     rows = [("k", "c", i, dt.datetime(2024, 1, 1, 0, i), a, "https://h/p" if "S" in a[8:] or a == "registerClick" else None,
              "T" if a in ("registerSection", "registerClick") else None)
