@@ -164,3 +164,39 @@ def test_parent_far_beyond_any_calendar_does_not_stop_the_stream(spark, tmp_path
         sinks.write_model(m, str(tmp_path / "t"), "append", batch)
     assert spark.read.parquet(str(tmp_path / "t/section_event")).count() == 2
     assert spark.read.schema(S.SECTION_COMBINED).parquet(str(tmp_path / "t/section_combined")).count() == 0
+
+
+def test_state_has_no_more_partitions_than_cores(spark, tmp_path):
+    """Each partition of state writes files in every batch, however few rows there are."""
+    import os
+    spark.range(50).selectExpr("'k' AS api_key", "'s' AS site", "'Visitor' AS event_type", "cast(id AS string) AS id",
+                               "timestamp_seconds(id * 60) AS ts").write.parquet(str(tmp_path / "in"))
+    events = spark.readStream.schema("api_key string, site string, event_type string, id string, ts timestamp").parquet(str(tmp_path / "in"))
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        fanout.start_visitor_counts(events, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "32"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    parts = [x for x in os.listdir(tmp_path / "ckpt" / "state" / "0") if x.isdigit()]
+    assert len(parts) == spark.sparkContext.defaultParallelism
+    assert sorted(r.visitors for r in fanout.read_visitor_counts(spark, str(tmp_path / "out")).collect()) == [5] * 10
+
+
+def test_requests_of_an_ordered_stream_are_shaped_once(spark, tmp_path, monkeypatch):
+    from webmetrics.plans import catalog
+    from webmetrics.sources import adapter
+    made = spark.sparkContext.accumulator(0)
+
+    def shaped(rows):
+        for frame in rows:
+            made.add(len(frame))
+            yield frame
+
+    rows = spark.range(40).selectExpr("id AS request_id", "timestamp_seconds(id * 3600) AS received_at").mapInPandas(
+        shaped, "request_id long, received_at timestamp")
+    monkeypatch.setattr(adapter, "requests", lambda spark, sf_dir: rows)
+    run = catalog._stream_source(spark, str(tmp_path), in_order=True)
+    got = spark.read.schema("request_id long, received_at timestamp").json(f"{run}/requests")
+    assert made.value == 40 and sorted(r.request_id for r in got.collect()) == list(range(40))

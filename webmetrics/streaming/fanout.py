@@ -108,6 +108,19 @@ def read_tables(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{table}").drop("batch", "event_date")
 
 
+def _started(writer, spark: SparkSession, trigger: dict | None):
+    """Starts a query with state in as many partitions as there are cores, at most as shuffles have:
+    each partition writes files for each of its stores (four a join) in every batch, and the watermarks
+    bound the state. The number stays with the checkpoint."""
+    name = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(usual), spark.sparkContext.defaultParallelism)))
+    try:
+        return writer.trigger(**(trigger or {"availableNow": True})).start()      # takes a copy of the settings
+    finally:
+        spark.conf.set(name, usual)
+
+
 def validated_events(requests_stream: DataFrame, sources_df: DataFrame) -> DataFrame:
     """Stateless validation of a request stream -> accepted hub events (K1, K5)."""
     return ingest.hub(ingest.validate(requests_stream, sources_df))
@@ -130,7 +143,7 @@ def start_visitor_counts(events_stream: DataFrame, path: str, checkpoint: str, t
     mode, so the state of closed windows goes); a batch run again replaces its own."""
     w = (visitor_counts(events_stream).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(lambda df, bid: df.write.mode("overwrite").parquet(f"{path}/batch={bid}")))
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    return _started(w, events_stream.sparkSession, trigger)
 
 
 def read_visitor_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -226,7 +239,7 @@ def start_hierarchy(links: DataFrame, root: str, checkpoint: str, stored: str, t
             df.unpersist()
 
     w = links.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(store)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    return _started(w, links.sparkSession, trigger)
 
 
 def read_hierarchy(spark: SparkSession, root: str, stored: str) -> DataFrame:
