@@ -904,14 +904,21 @@ def _stream_source(spark, sf_dir, in_order=False):
     if not in_order:
         requests.repartition(8, "request_id").write.json(f"{run}/requests")
         return run
+    requests.write.parquet(f"{run}/shaped")     # from the raw tables once
+    requests = spark.read.schema(requests.schema).parquet(f"{run}/shaped")
     at = F.unix_seconds("received_at")
     lo, hi = requests.agg(F.min(at), F.max(at)).first()
     part = F.least(F.floor((at - F.lit(lo)) * 4 / F.lit(max(1, (hi or 0) - (lo or 0)))), F.lit(3))
     for k in range(4):
-        requests.where(F.coalesce(part, F.lit(0)) == k).repartition(2, "request_id").write.mode("append").json(f"{run}/requests")
+        requests.where(F.coalesce(part, F.lit(0)) == k).repartition(_files(spark), "request_id").write.mode("append").json(f"{run}/requests")
     return run
 
 
+def _files(spark):
+    """Files of a time range, which one trigger reads."""
+    return max(2, spark.sparkContext.defaultParallelism)
+
+
 def _sources(spark, sf_dir):
     from webmetrics.sources import adapter, dims
     return dims.sources(dims.api_key_latest(adapter.api_keys(spark, sf_dir)))
@@ -926,7 +933,7 @@ def stream_visitor_counts(spark, sf_dir):
     from webmetrics import schema as S
     from webmetrics.streaming import fanout
     run = _stream_source(spark, sf_dir, in_order=True)
-    stream = spark.readStream.schema(S.REQUEST).option("maxFilesPerTrigger", 2).json(f"{run}/requests")
+    stream = spark.readStream.schema(S.REQUEST).option("maxFilesPerTrigger", _files(spark)).json(f"{run}/requests")
     out = f"{run}/visitor_counts"
     fanout.start_visitor_counts(fanout.validated_events(stream, _sources(spark, sf_dir)), out, f"{run}/ckpt-vc").awaitTermination()
     return fanout.read_visitor_counts(spark, out)
@@ -964,7 +971,7 @@ def stream_hierarchy(spark, sf_dir):
     for name, df in rows.items():
         cols = ["api_key", "site", "id", "ts", *(["parent"] if "parent" in df.columns else [])]
         for k in range(4):
-            df.where(part == k).select(*cols).coalesce(1).write.mode("append").parquet(f"{run}/in/{name}")
+            df.where(part == k).select(*cols).repartition(1).write.mode("append").parquet(f"{run}/in/{name}")
         streams[name] = spark.readStream.schema(df.select(*cols).schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in/{name}")
     links = fanout.hierarchy_links(streams["section_event"], streams["session_event"], streams["visitor_event"])
     fanout.start_hierarchy(links, f"{run}/links", f"{run}/ckpt", f"{run}/stored").awaitTermination()
