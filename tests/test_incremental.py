@@ -124,6 +124,41 @@ def test_files_read_do_not_grow_with_the_history(spark, tmp_path):
     assert found[0] == found[1] and found[0][0] == ["/new", "/p"] and found[0][1] <= 12, found
 
 
+def test_stages_of_a_batch_do_not_have_a_task_per_shuffle_partition(spark, tmp_path):
+    """Few rows in few tasks, however many shuffle partitions there are; nothing staged is left."""
+    root, before = str(tmp_path / "t"), spark.conf.get("spark.sql.shuffle.partitions")
+    for name, data in zip(COLS, model(3), strict=True):
+        df = spark.createDataFrame(data, COLS[name]).coalesce(1).withColumn("event_date", F.to_date("ts")).repartition(1)
+        df.write.partitionBy("site").parquet(f"{root}/{name}/batch=0")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.sparkContext.setJobGroup("batch", "facts of a batch")
+    try:
+        sinks.write_facts(spark, root, 0)
+        t = spark.sparkContext.statusTracker()
+        stages = {i for j in t.getJobIdsForGroup("batch") for i in t.getJobInfo(j).stageIds}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tasks = [x.numTasks for x in map(t.getStageInfo, stages) if x]
+    assert tasks and max(tasks) < 60, sorted(tasks)
+    assert not [x.name for x in (tmp_path / "t").iterdir() if x.name.startswith("staged-")]
+
+
+def test_only_earlier_batches_are_asked_for(spark, tmp_path):
+    """The days of a batch itself and of later ones, and their children, are not looked up."""
+    path = str(tmp_path / "session_event")
+    days = spark.range(3).select(F.col("id").alias("batch"), F.lit("s").alias("site"), F.date_add(F.lit(at(T0)).cast("date"), F.col("id").cast("int")).alias("event_date"), F.lit(1).alias("x"))
+    days.write.partitionBy("batch", "site", "event_date").parquet(path)
+    first = T0 // DAY
+    assert sinks.stored_days(spark, path) == {first, first + 1, first + 2}
+    assert [sinks.stored_days(spark, path, b) for b in (0, 1, 2)] == [set(), {first}, {first, first + 1}]
+    links = days.where("batch > 0").select("batch", "x", F.lit(first).alias("folder"), F.lit(1).alias("pending"))
+    links.write.partitionBy("pending", "folder", "batch").parquet(str(tmp_path / "link"))
+    schema = links.select("x").schema
+    assert incremental.read_links(spark, str(tmp_path / "link"), schema, 1, [first], 1) is None
+    assert incremental.read_links(spark, str(tmp_path / "link"), schema, 1, [first], 2).count() == 1
+
+
 def test_days_that_are_over_go(spark, tmp_path):
     root = str(tmp_path / "t")
     history(spark, root, 5)

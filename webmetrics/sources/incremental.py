@@ -45,7 +45,10 @@ def day_of(c: str) -> Column:
 
 def folder_of(parent: str, ts: str) -> Column:
     """Folder of a child: its parent's day, or the century of a day far from its own."""
-    day = day_of(parent)
+    return _folder(day_of(parent), ts)
+
+
+def _folder(day: Column, ts: str) -> Column:
     near = F.abs(day - F.floor(F.unix_millis(ts) / _DAY_MS)) <= NEAR_DAYS
     return F.when(near & (day >= 0), day).otherwise(-1 - F.floor(F.greatest(day, F.lit(0)) / _CENTURY)).cast("long")
 
@@ -74,6 +77,7 @@ def days_named(df: DataFrame, day: Column, among) -> list[int]:
 def read_links(spark: SparkSession, path: str, schema: T.StructType, pending: int, folders, batch: int) -> DataFrame | None:
     """Children of earlier batches below the given folders; None if there is none."""
     here = {int(v) for v in subfolders(spark, f"{path}/pending={pending}", "folder")} & set(folders)
+    here = {f for f in here if any(int(b) < batch for b in subfolders(spark, f"{path}/pending={pending}/folder={f}", "batch"))}
     if not here:
         return None
     full = T.StructType([*schema.fields, T.StructField("folder", T.LongType()), T.StructField("batch", T.LongType())])
@@ -104,7 +108,8 @@ def added(spark: SparkSession, path: str, batch: int, children: DataFrame, paren
     met = known.select(*KEY).distinct().withColumn("met", F.lit(True))
     marked = children.join(met, list(KEY), "left")
     pending = F.when(F.col("met"), 0).otherwise(1)
-    out = marked.select(*children.columns, pending.alias("pending"), folder_of("parent", "ts").alias("folder"), F.lit(batch).cast("long").alias("batch"))
+    marked = marked.withColumn("_day", day_of("parent"))       # parsed once a row
+    out = marked.select(*children.columns, pending.alias("pending"), _folder(F.col("_day"), "ts").alias("folder"), F.lit(batch).cast("long").alias("batch"))
     (out.hint("rebalance", "pending", "folder").write.partitionBy("pending", "folder", "batch").mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 

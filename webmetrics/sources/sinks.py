@@ -15,6 +15,7 @@ rows range-partitioned and sorted by the table's key so that
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,10 +147,15 @@ def write_model(model, root: str, mode: str = "append", batch_id: int | None = N
     return paths
 
 
-def stored_days(spark: SparkSession, path: str) -> set[int]:
-    """Day numbers of a batch table's event_date folders (names only, no file is read)."""
+def stored_days(spark: SparkSession, path: str, batch: int | None = None) -> set[int]:
+    """Day numbers of a batch table's event_date folders, or those of the batches before one
+    (names only, no file is read)."""
     m = snapshots.manifest(spark, path)
-    names = incremental.subfolders(spark, f"{path}/batch=*/site=*", "event_date")
+    names = []
+    if batch is None:
+        names += incremental.subfolders(spark, f"{path}/batch=*/site=*", "event_date")
+    elif earlier := [str(b) for b in batches(spark, path) if m.upto < b < batch]:
+        names += incremental.subfolders(spark, f"{path}/batch={{{','.join(earlier)}}}/site=*", "event_date")
     if m.base:
         names += incremental.subfolders(spark, f"{path}/{m.base}/batch=*/site=*", "event_date")
     return {(dt.date.fromisoformat(n) - dt.date(1970, 1, 1)).days for n in names if n[:1].isdigit()}
@@ -183,19 +189,28 @@ def write_facts(spark: SparkSession, root: str, batch: int | None) -> None:
         for name, df in facts:
             write_table(df, at[name], name, "overwrite")
         return
-    pairs = _added_pairs(spark, root, batch, sec, ses).persist()
+    # stored, not cached: a cached plan keeps every shuffle partition as a task of its own, each of
+    # which writes to every partition of the next shuffle, so both grow as their product
+    staged = f"{root}/staged-pairs-{uuid.uuid4().hex}"
     try:
+        _added_pairs(spark, root, batch, sec, ses).write.parquet(staged)
+        pairs = spark.read.schema(PAIRS).parquet(staged)
         facts += [("hierarchy_event", _added_chains(spark, root, batch, pairs, vis)),
                   ("section_combined", pairs.select(*[rollup.bucket5("ts").alias("ts") if c == "ts" else c for c in rollup.FACT_COLS]))]
         for name, df in facts:
             write_table(df, at[name], name, "overwrite")
     finally:
-        pairs.unpersist()
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 #: Link tables: page views by their session's day, and those with a session by its visitor's.
 SECTION_LINK, SESSION_LINK = "section_link", "session_link"
 
+#: New pairs of a batch, as staged for both facts.
+PAIRS = T.StructType([T.StructField(c, T.TimestampType() if c == "ts" else T.StringType()) for c in (
+    "api_key", "site", "parent", "section", "ts", "path", "os", "browser", "country_code", "city", "visitor")])
+
 
 def _added_pairs(spark: SparkSession, root: str, batch: int, sec: DataFrame, ses: DataFrame) -> DataFrame:
     """New pairs of page view and session (E1 before its rounding of ts)."""
@@ -204,7 +219,7 @@ def _added_pairs(spark: SparkSession, root: str, batch: int, sec: DataFrame, ses
 
     path = f"{root}/session_event"
     children = sec.select("api_key", "site", F.col("id").alias("section"), "parent", "ts", "path")
-    return incremental.added(spark, f"{root}/{SECTION_LINK}", batch, children, parents(ses), stored_days(spark, path),
+    return incremental.added(spark, f"{root}/{SECTION_LINK}", batch, children, parents(ses), stored_days(spark, path, batch),
                              lambda days: parents(read_days(spark, path, "session_event", days, batch)))
 
 
@@ -215,7 +230,7 @@ def _added_chains(spark: SparkSession, root: str, batch: int, pairs: DataFrame,
 
     path = f"{root}/visitor_event"
     children = pairs.select("api_key", "site", "section", F.col("parent").alias("session"), F.col("visitor").alias("parent"), "ts")
-    rows = incremental.added(spark, f"{root}/{SESSION_LINK}", batch, children, parents(vis), stored_days(spark, path),
+    rows = incremental.added(spark, f"{root}/{SESSION_LINK}", batch, children, parents(vis), stored_days(spark, path, batch),
                              lambda days: parents(read_days(spark, path, "visitor_event", days, batch)))
     return rows.select("api_key", "site", F.col("parent").alias("visitor"), "session", "section", "ts")
 
