@@ -85,3 +85,11 @@ def test_url_host(spark):
             url_host(F.lit(None).cast("string")).alias("b"), url_host(F.lit("https://")).alias("c"),
             url_host(F.lit("test.com")).alias("d"))
     assert (r.a, r.b, r.c, r.d) == ("test.com", None, None, "test.com")
+
+
+def test_uuid_norm_of_canonical_and_odd_texts(spark):
+    """Text in canonical form stays; a line feed at the end, which $ passes, goes."""
+    u = "018cc252-100b-7003-8000-0000000000ff"
+    forms = [u, u + "\n", u.upper(), "{" + u + "}", "urn:uuid:" + u, u.replace("-", "") + "\n", u + "\n\n", " " + u, u[:-1], "", None]
+    rows = spark.createDataFrame(list(enumerate(forms)), "k int, c string").select("k", uuid_norm("c").alias("n")).orderBy("k").collect()
+    assert [r.n for r in rows] == [u] * 6 + [None] * 5

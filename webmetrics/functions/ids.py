@@ -14,6 +14,9 @@ _HEX = "[0-9a-fA-F]"
 _HYPHENATED = f"{_HEX}{{8}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{12}}"
 UUID_RE = f"^({_HYPHENATED}|\\{{{_HYPHENATED}\\}}|urn:uuid:{_HYPHENATED}|{_HEX}{{32}})$"
 
+# What uuid_norm returns; to the very end (\\z), as $ would let a line feed pass.
+_CANONICAL = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\\z"
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -36,7 +39,7 @@ def uuid_norm(c) -> Column:
     canon = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4),
                         F.substring(h, 13, 4), F.substring(h, 17, 4),
                         F.substring(h, 21, 12))
-    return F.when(is_uuid(c), canon)
+    return F.when(c.rlike(_CANONICAL), c).when(is_uuid(c), canon)
 
 
 def uuid_version(c) -> Column:
