@@ -125,3 +125,56 @@ def test_the_log_is_read_twice_at_most(spark, tmp_path):
     plan = ev._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") <= 2 and plan.count("Exchange hashpartitioning") <= 4
     assert ev.count() == 4
+
+
+def test_hub_in_parts_is_whole_and_small(spark, tmp_path):
+    from webmetrics.operators import route
+    from webmetrics.sources.staged import StagedHub
+    s, rules = synth.Synth(20, AS_OF, "k", "s"), dims.ua_rules_df(spark)
+    ids = [f"0190a0b0-c0d0-7000-8000-{n:012x}" for n in range(0xabc, 0xabc + 40)]
+    odd = [lambda u: u, str.upper, lambda u: "{" + u + "}", lambda u: "urn:uuid:" + u, lambda u: u.replace("-", ""),
+           lambda u: f" {u} ", lambda u: u + "\n", lambda u: "{" + u + "}\r\n", lambda u: u + "\u2028", lambda u: "none", lambda u: "", lambda u: None]
+    late = [AS_OF, dt.datetime(1969, 12, 31, 23, 59, 59, 1), None]
+    rows = [("k", "s", "Session", f(u), late[i % 3], {"parent": g(u), "user_agent": None, "ipv4": "1.2.3.4"})
+            for i, u in enumerate(ids[:12]) for f, g in ((odd[0], odd[i % 12]), (odd[i % 12], odd[0]))]
+    rows += [("k", "s", "Section", u, late[i % 3], {"parent": f(ids[i % 13]), "location": "https://h/p", "title": None})
+             for i, u in enumerate(ids) for f in odd]
+    some = spark.createDataFrame(rows, "api_key string, site string, event_type string, id string, ts timestamp, attrs map<string,string>")
+    want = s.event_hub(spark, synth.browsers(spark, rules)).unionByName(some).cache()
+    store = StagedHub(spark, str(tmp_path / "hub"), synth.HUB_ATTRS, 3).write(want)
+    text = lambda df: df.withColumn("attrs", F.to_json(F.array_sort(F.map_entries("attrs"))))
+    apart = [store.rows(k).cache() for k in range(3)]
+    in_parts = apart[0].unionByName(apart[1]).unionByName(apart[2])
+    for got in (store.rows(), in_parts):
+        assert got.columns == want.columns
+        assert text(got).exceptAll(text(want)).isEmpty() and text(want).exceptAll(text(got)).isEmpty()
+    src = spark.createDataFrame([("k", "s")], "api_key string, site string")
+    pairs = lambda hub: route.sections(hub, src).alias("x").join(
+        route.sessions(hub, src).alias("s"), F.expr("x.parent = s.id")).selectExpr("x.id", "s.id AS sid", "s.parent", "x.ts")
+    whole, one_by_one = pairs(want), pairs(apart[0]).unionByName(pairs(apart[1])).unionByName(pairs(apart[2]))
+    assert whole.count() > 40_000 and one_by_one.exceptAll(whole).isEmpty() and whole.exceptAll(one_by_one).isEmpty()
+    assert sum(f.stat().st_size for f in (tmp_path / "hub").rglob("*.parquet")) < 40 * want.count()
+    for df in apart:
+        df.unpersist()
+    store.drop(2)
+    assert not list((tmp_path / "hub").glob("*/part=2")) and store.rows(2).isEmpty() and not store.rows(1).isEmpty()
+
+
+def test_combined_part_by_part(spark, tmp_path, monkeypatch):
+    from webmetrics.plans import catalog, facts
+    from webmetrics.sources import adapter, staged
+    users, t0 = 12, dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(u, t0 + dt.timedelta(hours=u), u) for u in range(users)], "event_id long, ts timestamp, user_id long").write.parquet(str(tmp_path / "events.parquet"))
+    for t in ("nation", "region"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    sf, rules = str(tmp_path), dims.ua_rules_df(spark)
+    hub = catalog._synth(spark, sf).event_hub(spark, synth.browsers(spark, rules))
+    want = facts.build(hub, adapter.api_keys(spark, sf), rules, facts.geo_blocks(spark, sf)).section_combined.cache()
+    kept, drop = [], staged.StagedHub.drop
+    monkeypatch.setattr(staged, "PART_ROWS", 10_000)
+    monkeypatch.setattr(staged.StagedHub, "drop", lambda self, part: (drop(self, part), kept.append(self)))
+    got = catalog.SPARK["synth_section_combined"](spark, sf)
+    assert len(kept) == kept[0].parts == 3 and kept[0].rows().isEmpty()    # the hub's parts are gone, the rows are there
+    assert got.columns == want.columns and got.count() == 2000 * users
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
