@@ -1,6 +1,7 @@
 """FIXTURES 2.4: joins and rollups."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -97,3 +98,12 @@ def test_daily_rollups_add_up_over_batches(spark, tmp_path):
     assert got == {("/0", 15), ("/1", 15)}
     t = sinks.read_table(spark, f"{tmp_path}/daily_total", "daily_total", ("batch",))
     assert report.from_daily(t, "total_visitors", None, ["k"], ["s"], with_visitors=True).first().visitors == 5
+
+
+def test_page_views_are_sorted_by_id_first(spark):
+    ids = spark.range(50).selectExpr("'k' AS api_key", "'s' AS site", "cast(id AS string) AS id", "timestamp'2024-01-01' AS ts",
+                                     "cast(id % 7 AS string) AS parent", "'/' AS path", "'o' AS os", "'b' AS browser", "'c' AS country_code", "'t' AS city")
+    fact = rollup.section_combined(ids, ids, "merge")
+    sorts = re.findall(r"Sort \[(\w+?)#", fact._jdf.queryExecution().executedPlan().toString())
+    assert sorts and set(sorts) == {"parent"}       # not by the tenant, whose rows are all alike
+    assert fact.count() == 50
